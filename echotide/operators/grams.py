@@ -1,0 +1,37 @@
+"""Substring search of many phrases at once, as an equi-join."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+GRAM = 3
+
+
+def holding(
+    df: DataFrame, phrases: DataFrame, col: str, id: str, phrase: str, small: bool = False
+) -> DataFrame:
+    """Pairs ``(id, *phrases)`` where the text of ``df`` holds the phrase, case ignored.
+
+    Testing every phrase on every text is a product of two tables. Here each text offers its
+    distinct runs of up to three characters, each phrase the one it starts with, the two are
+    joined on equality, and only the pairs that meet are tested.
+
+    ``small`` says that ``phrases`` came from a list in the driver: it is then broadcast and the
+    texts stay where they are. Otherwise only ids and runs are shuffled to the phrases, and the
+    pairs that meet go back to the texts; a run that most texts offer is a skewed key, which
+    adaptive execution splits.
+    """
+    keyed = phrases.withColumn("_phrase", F.lower(phrase)).filter("_phrase != ''")
+    keyed = keyed.withColumn("_gram", F.substring("_phrase", 1, GRAM))
+    texts = df.select(id, F.lower(F.col(col)).alias("_text"))
+
+    def runs(n: int):
+        return F.regexp_extract_all("_text", F.lit(rf"(?s)(?=(.{{{n}}}))"), 1)
+
+    grams = F.explode(F.array_distinct(F.concat(*[runs(n) for n in range(1, GRAM + 1)])))
+    if small:
+        met = texts.withColumn("_gram", grams).join(F.broadcast(keyed), "_gram")
+    else:
+        met = texts.select(id, grams.alias("_gram")).join(keyed, "_gram").join(texts, id)
+    return met.filter(F.contains("_text", "_phrase")).select(id, *phrases.columns).distinct()
