@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import enrichment, measures, model, scalars, selection  # noqa: F401
+from . import enrichment, measures, model, scalars, selection, sources, streams  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -8,6 +8,7 @@ from typing import NamedTuple
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.html import decode_entities, html_to_text, page_title, question_title, strip_inert
 from ..functions.links import short_id, unwrap_redirect
@@ -30,7 +31,7 @@ COMMENT_SELECTORS = (
     ".commentsWrapper p",
 )
 AUTHOR_SELECTORS = ("span.author", "span.name", "a.username", "div.author", ".comment-author")
-MIN_PAGE_COMMENT, COMMENT_ID_CHARS = 20, 80
+MIN_PAGE_COMMENT, COMMENT_ID_CHARS, NEWS = 20, 80, "News"
 
 # Answer blocks of a question page, and the limits on them.
 ANSWER_CLASSES = ("q-text", "spacing_log", "answer_content", "qu-userSelect")
@@ -55,7 +56,8 @@ def _class_attribute(name: str) -> str:
 
 
 def _href(anchor: Column) -> Column:
-    return decode_entities(F.regexp_extract(anchor, r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']([^"']*)""", 1))
+    pattern = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']([^"']*)"""
+    return decode_entities(F.regexp_extract(anchor, pattern, 1))
 
 
 # Links of a result page
@@ -219,7 +221,8 @@ def extract_page_comments(
     Each page is read on its own, so the work needs no shuffle. The same page landed twice gives
     the same ids: keep the first with ``dedup_keep_first``.
     """
-    head = ["url", page_title(F.col("html")).alias("_title"), F.col(source).alias("_source"), *carry]
+    title = page_title(F.col("html")).alias("_title")
+    head = ["url", title, F.col(source).alias("_source"), *carry]
     rows = _blocks_of(
         pages.select(*head, "html"), [Selector.of(s) for s in selectors], per_page, first_only=True
     )
@@ -228,7 +231,7 @@ def extract_page_comments(
         "position",
         *carry,
         review_id=short_id(F.col("url"), truncate(F.col("_text"), COMMENT_ID_CHARS)),
-        platform=F.lit("News"),
+        platform=F.lit(NEWS),
         source=F.col("_source"),
         date=F.date_format(F.lit(as_of).cast("date"), "dd/MM/yyyy"),
         date_is_ingest=F.lit(True),
@@ -250,8 +253,13 @@ def _blocks_of(
     """
     kept = [f for f in pages.schema.fields if f.name != "html"]
     names = [f.name for f in kept]
-    schema = pages.select(*names).schema.add("position", "int").add("_text", "string").add(
-        "_author", "string"
+    schema = StructType(
+        [
+            *kept,
+            StructField("position", IntegerType()),
+            StructField("_text", StringType()),
+            StructField("_author", StringType()),
+        ]
     )
 
     def found(html: str) -> list[tuple[str, str]]:

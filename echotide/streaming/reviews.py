@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.numbers import safe_divide
 from ..operators.measures import is_negative
+from ..operators.select import dedup_keep_first
 from ..schemas import LANDED_REVIEW
 from ..session import checkpoint_root
 
@@ -69,20 +70,43 @@ def months_of_days(daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def run_once(
-    df: DataFrame, name: str, path: str, checkpoint: str | None = None, mode: str = "append"
-) -> StreamingQuery:
+def append_once(df: DataFrame, name: str, path: str) -> StreamingQuery:
     """Take in everything that has landed, append it to Parquet under ``path``, and stop.
 
-    Progress is kept under the shared folder, so the next run, or a restart, goes on from there.
+    Progress is kept in the shared folder, so the next run, or a restart, goes on from there.
     """
-    where = checkpoint or f"{checkpoint_root(df.sparkSession)}/{name}"
     return (
         df.writeStream.queryName(name)
-        .outputMode(mode)
+        .outputMode("append")
         .format("parquet")
         .option("path", path)
-        .option("checkpointLocation", where)
+        .option("checkpointLocation", f"{checkpoint_root(df.sparkSession)}/{name}")
         .trigger(availableNow=True)
         .start()
     )
+
+
+def upsert_once(df: DataFrame, name: str, path: str) -> StreamingQuery:
+    """Take in everything that has landed into running counts, and stop.
+
+    Each batch writes the rows it changed to a folder of its own, over what a failed attempt at
+    the same batch left there; ``latest`` reads the newest row per key.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return (
+        df.writeStream.queryName(name)
+        .outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{checkpoint_root(df.sparkSession)}/{name}")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def latest(spark: SparkSession, path: str, keys: Sequence[str] = ("day",)) -> DataFrame:
+    """The newest row per key of what ``upsert_once`` wrote."""
+    rows = spark.read.parquet(path)
+    return dedup_keep_first(rows, keys, [F.col("batch").desc()], drop_null_keys=False).drop("batch")
