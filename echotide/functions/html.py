@@ -7,13 +7,14 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WHITESPACE
+from .text import WHITESPACE, bind
 
-# Marks where a tag stood while entities are decoded; no page text may hold it afterwards.
-_SEAM = "\u0001"
+# Stands where tags stood; removed from the text of a page beforehand.
+SEAM = "\u0001"
 _INERT = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->"
 _TAG = r"(?s)</?[A-Za-z!][^>]*>"
 _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_HEADING = r"<h1\b[^>]*>"
 _COMMON = ("amp", "lt", "gt", "quot", "nbsp")
 
 
@@ -29,11 +30,18 @@ def _named_entities() -> Column:
     return F.create_map(*[F.lit(v) for pair in pairs for v in pair])
 
 
-def _character(code: Column) -> Column:
-    """The character of a code point; null for what is none."""
-    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    encoded = F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0"))
-    return F.decode(encoded, "UTF-32")
+def _numeric(name: Column) -> Column:
+    """The character of ``#8364`` or ``#x20AC``; null for what is no character."""
+    hexa = F.lower(F.substring(name, 1, 2)) == "#x"
+    digits = F.when(hexa, F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(
+        F.substr(name, F.lit(2))
+    )
+
+    def encoded(code: Column) -> Column:
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32")
+
+    return bind(digits.try_cast("bigint"), encoded)
 
 
 def decode_entities(c: Column) -> Column:
@@ -41,33 +49,36 @@ def decode_entities(c: Column) -> Column:
     named = _named_entities()
 
     def resolve(piece: Column) -> Column:
-        name = F.regexp_extract(piece, _ENTITY, 1)
-        hexa = F.regexp_extract(name, r"^#[xX]([0-9a-fA-F]+)$", 1)
-        deci = F.regexp_extract(name, r"^#([0-9]+)$", 1)
-        char = (
-            F.when(hexa != "", _character(F.conv(hexa, 16, 10).try_cast("bigint")))
-            .when(deci != "", _character(deci.try_cast("bigint")))
-            .otherwise(F.try_element_at(named, name))
-        )
-        rest = F.substr(piece, F.char_length(name) + F.lit(2))
-        return F.when(char.isNotNull(), F.concat(char, rest)).otherwise(
-            F.concat(F.lit("&"), piece)
+        def put(name: Column) -> Column:
+            char = F.when(F.startswith(name, F.lit("#")), _numeric(name)).otherwise(
+                F.try_element_at(named, name)
+            )
+            after = F.substr(piece, F.char_length(name) + F.lit(2))
+            return F.coalesce(F.concat(char, after), F.concat(F.lit("&"), piece))
+
+        return bind(F.regexp_extract(piece, _ENTITY, 1), put)
+
+    def decode(text: Column) -> Column:
+        decoded = F.transform(
+            F.split(text, "&"), lambda piece, i: F.when(i == 0, piece).otherwise(resolve(piece))
         )
+        return F.when(F.contains(text, F.lit("&")), F.array_join(decoded, "")).otherwise(text)
+
+    return bind(c, decode)
 
-    pieces = F.split(c, "&")
-    decoded = F.transform(
-        pieces, lambda piece, i: F.when(i == 0, piece).otherwise(resolve(piece))
-    )
-    return F.when(F.contains(c, F.lit("&")), F.array_join(decoded, "")).otherwise(c)
+
+def seamed_text(c: Column) -> Column:
+    """Text of a fragment: every piece between tags stripped, empty ones dropped, and one
+    ``SEAM`` between two pieces."""
+    live = F.regexp_replace(F.replace(c, F.lit(SEAM), F.lit("")), _INERT, "")
+    decoded = decode_entities(F.regexp_replace(live, _TAG, SEAM))
+    joined = F.regexp_replace(decoded, r"(?U)[\s\x1c-\x1f]*\x01[\s\x01\x1c-\x1f]*", SEAM)
+    return F.trim(joined, F.lit(WHITESPACE + SEAM))
 
 
 def html_to_text(c: Column, sep: str = " ") -> Column:
-    """Text of a fragment: every piece between tags stripped, empty ones dropped, joined by
-    ``sep``."""
-    seamed = F.regexp_replace(F.replace(c, F.lit(_SEAM), F.lit("")), _INERT, "")
-    seamed = decode_entities(F.regexp_replace(seamed, _TAG, _SEAM))
-    joined = F.regexp_replace(seamed, r"(?U)[\s\x1c-\x1f]*\x01[\s\x01\x1c-\x1f]*", _SEAM)
-    return F.replace(F.trim(joined, F.lit(WHITESPACE + _SEAM)), F.lit(_SEAM), F.lit(sep))
+    """Text of a fragment with ``sep`` between the pieces that tags divide."""
+    return F.replace(seamed_text(c), F.lit(SEAM), F.lit(sep))
 
 
 def _element(live: Column, opening: str, name: str) -> Column:
@@ -78,17 +89,24 @@ def _element(live: Column, opening: str, name: str) -> Column:
 
 def page_title(html: Column) -> Column:
     """Text of the first ``h1``, else of ``title``, else empty. An empty ``h1`` still counts."""
-    live = strip_inert(html)
-    return F.coalesce(
-        _element(live, r"<h1\b[^>]*>", "h1"), _element(live, r"<title\b[^>]*>", "title"), F.lit("")
+    title = r"<title\b[^>]*>"
+    return bind(
+        strip_inert(html),
+        lambda live: F.coalesce(
+            _element(live, _HEADING, "h1"), _element(live, title, "title"), F.lit("")
+        ),
     )
 
 
 def question_title(html: Column) -> Column:
     """Text of the first ``h1``, else of a question-text ``span``, else empty."""
-    live = strip_inert(html)
     span = r"""<span\b[^>]*class\s*=\s*["'][^"']*(?:q_text|question_text)[^"']*["'][^>]*>"""
-    return F.coalesce(_element(live, r"<h1\b[^>]*>", "h1"), _element(live, span, "span"), F.lit(""))
+    return bind(
+        strip_inert(html),
+        lambda live: F.coalesce(
+            _element(live, _HEADING, "h1"), _element(live, span, "span"), F.lit("")
+        ),
+    )
 
 
 def script_value(html: Column, name: str) -> Column:

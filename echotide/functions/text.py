@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column
@@ -14,10 +14,18 @@ WHITESPACE = (
     "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+# A run of the same characters. Java reads the class faster than it reads the list.
+SPACES = r"(?U)[\s\x1c-\x1f]+"
+
 # What a removed post leaves behind.
 DELETED_MARKERS = ("[deleted]", "[removed]")
 
 
+def bind(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` applied to ``c``, with ``c`` computed once however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(c), use), 1)
+
+
 def trim_all(c: Column) -> Column:
     """Strip white space of any kind; plain ``trim`` strips spaces only."""
     return F.trim(c, F.lit(WHITESPACE))
@@ -35,7 +43,7 @@ def clean_text(c: Column) -> Column:
 
 def collapse_ws(c: Column) -> Column:
     """Turn every run of white space into one space and strip the ends."""
-    return trim_all(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", " "))
+    return trim_all(F.regexp_replace(c, SPACES, " "))
 
 
 def null_placeholders(c: Column, values: Iterable[str] = DELETED_MARKERS) -> Column:

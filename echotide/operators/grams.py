@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRAM = 3
@@ -14,8 +14,8 @@ def holding(
     """Pairs ``(id, *phrases)`` where the text of ``df`` holds the phrase, case ignored.
 
     Testing every phrase on every text is a product of two tables. Here each text offers its
-    distinct runs of up to three characters, each phrase the one it starts with, the two are
-    joined on equality, and only the pairs that meet are tested.
+    distinct runs of three characters, each phrase the one it starts with, the two are joined on
+    equality, and only the pairs that meet are tested. Shorter phrases meet shorter runs.
 
     ``small`` says that ``phrases`` came from a list in the driver: it is then broadcast and the
     texts stay where they are. Otherwise only ids and runs are shuffled to the phrases, and the
@@ -23,15 +23,26 @@ def holding(
     adaptive execution splits.
     """
     keyed = phrases.withColumn("_phrase", F.lower(phrase)).filter("_phrase != ''")
-    keyed = keyed.withColumn("_gram", F.substring("_phrase", 1, GRAM))
     texts = df.select(id, F.lower(F.col(col)).alias("_text"))
+    short = F.char_length("_phrase") < GRAM
+    parts = [
+        (keyed.filter(~short), _runs(GRAM)),
+        # Without short phrases this join is empty and adaptive execution drops it.
+        (keyed.filter(short), F.concat(*[_runs(n) for n in range(1, GRAM)])),
+    ]
+    met = [_meet(texts, part, runs, id, small) for part, runs in parts]
+    return met[0].unionByName(met[1]).select(id, *phrases.columns).distinct()
+
 
-    def runs(n: int):
-        return F.regexp_extract_all("_text", F.lit(rf"(?s)(?=(.{{{n}}}))"), 1)
+def _runs(n: int) -> Column:
+    return F.regexp_extract_all("_text", F.lit(rf"(?s)(?=(.{{{n}}}))"), 1)
 
-    grams = F.explode(F.array_distinct(F.concat(*[runs(n) for n in range(1, GRAM + 1)])))
+
+def _meet(texts: DataFrame, keyed: DataFrame, runs: Column, id: str, small: bool) -> DataFrame:
+    keyed = keyed.withColumn("_gram", F.substring("_phrase", 1, GRAM))
+    offered = F.explode(F.array_distinct(runs)).alias("_gram")
     if small:
-        met = texts.withColumn("_gram", grams).join(F.broadcast(keyed), "_gram")
+        met = texts.select(id, "_text", offered).join(F.broadcast(keyed), "_gram")
     else:
-        met = texts.select(id, grams.alias("_gram")).join(keyed, "_gram").join(texts, id)
-    return met.filter(F.contains("_text", "_phrase")).select(id, *phrases.columns).distinct()
+        met = texts.select(id, offered).join(keyed, "_gram").join(texts, id)
+    return met.filter(F.contains("_text", "_phrase"))

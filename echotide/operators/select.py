@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import any_of, clean_text, fold, is_blank, lookup
+from ..schemas import computed
 from .grams import holding
 
 DAYS_PER_MONTH = 30
@@ -82,10 +83,11 @@ def dedup_keep_first(
 def dedup_text(df: DataFrame, text: str, order: Sequence[str | Column]) -> DataFrame:
     """The first row per cleaned text. A digest leads the key, so long texts are compared only
     when their digests agree."""
-    keyed = df.withColumn("_text", clean_text(F.col(text))).withColumn(
-        "_digest", F.xxhash64("_text")
+    keyed = computed(df, _text=clean_text(F.col(text))).withColumn("_digest", F.xxhash64("_text"))
+    first = dedup_keep_first(
+        keyed.filter(F.col("_text").isNotNull()), ["_digest", "_text"], order, drop_null_keys=False
     )
-    return dedup_keep_first(keyed, ["_digest", "_text"], order).drop("_digest", "_text")
+    return first.drop("_digest", "_text")
 
 
 # Budgets
@@ -249,8 +251,11 @@ def keyword_match(
         return df.join(first, id)
     if len(keywords) > KEYWORDS_INLINE:
         raise ValueError(f"pass more than {KEYWORDS_INLINE} keywords as a table")
-    text = fold(F.col(col))
-    first = F.coalesce(
-        *[F.when(F.contains(text, F.lit(k.lower())), F.lit(k)) for k in keywords], F.lit(None)
+    tests = lambda text: F.coalesce(
+        *[F.when(F.contains(text, F.lit(k.lower())), F.lit(k)) for k in keywords],
+        F.lit(None).cast("string"),
     )
-    return df.withColumn("keyword", first).filter(F.col("keyword").isNotNull())
+    folded = df.withColumn("_folded", fold(F.col(col)))
+    return computed(folded, keyword=tests(F.col("_folded"))).filter(
+        F.col("keyword").isNotNull()
+    ).drop("_folded")

@@ -11,19 +11,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import SPACES
+from ..schemas import computed
+
 # Fixed values of the published model.
 ALPHA = 15
 POSITIVE, NEGATIVE = 0.05, -0.05
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
-def words(text: Column) -> Column:
-    """Words between white space, without punctuation around them. What would leave two
-    characters or fewer stays as it is, since it may be an emoticon."""
-    pieces = F.filter(F.split(text, _SPACE), lambda w: w != "")
-    bare = lambda w: F.trim(w, F.lit(PUNCTUATION))
-    return F.transform(pieces, lambda w: F.when(F.char_length(bare(w)) <= 2, w).otherwise(bare(w)))
+def words(df: DataFrame, text: str) -> DataFrame:
+    """One row per word of ``text``, as ``word``, next to the other columns of ``df``.
+
+    Words stand between white space, without punctuation around them. What would leave two
+    characters or fewer stays as it is, since it may be an emoticon.
+    """
+    kept = [c for c in df.columns if c != text]
+    pieces = df.select(*kept, F.explode(F.split(text, SPACES)).alias("_piece"))
+    bare = computed(pieces, _bare=F.trim(F.col("_piece"), F.lit(PUNCTUATION)))
+    word = F.when(F.char_length("_bare") <= 2, F.col("_piece")).otherwise(F.col("_bare"))
+    return bare.select(*kept, word.alias("word"))
 
 
 def lexicon_table(df: DataFrame, lexicon: Sequence[tuple[str, float]] | DataFrame) -> DataFrame:
@@ -54,7 +61,7 @@ def lexicon_score(
     Only ids and words meet the lexicon, and each task sums its own words first, so what is
     shuffled is one number per review. Texts without a known word score 0.
     """
-    tokens = df.select(id, F.explode(words(F.lower(text))).alias("word"))
+    tokens = words(df.select(id, F.lower(text).alias("_text")), "_text")
     totals = (
         tokens.join(lexicon_table(df, lexicon), "word")
         .groupBy(id)

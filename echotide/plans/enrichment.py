@@ -48,8 +48,13 @@ def platform_canon(spark, sf_dir):
 @query(f"with {fx.SQL_TAGGED} select distinct review_id, l1, l2 from f")
 def tag_rules(spark, sf_dir):
     rows = enrich.tag_issues(fx.core(spark, sf_dir).select("review_id", "text"), fx.RULES)
-    return rows.select("review_id", F.explode("tags").alias("tag")).select(
-        "review_id", "tag.l1", "tag.l2"
+    return _pairs(rows)
+
+
+def _pairs(rows):
+    tagged = enrich.explode_tags(rows).filter(F.col("l2_specific_issue").isNotNull())
+    return tagged.select(
+        "review_id", F.col("l1_category").alias("l1"), F.col("l2_specific_issue").alias("l2")
     )
 
 
@@ -66,10 +71,10 @@ def tag_rules_table(spark, sf_dir):
         F.concat(F.lit("item "), F.col("item_id") % 7).alias("l2"),
         F.substring("text", 1, 14).alias("keyword"),
     )
-    rows = enrich.tag_issues(fx.core(spark, sf_dir).select("review_id", "text"), rules)
-    return rows.select("review_id", F.explode("tags").alias("tag")).select(
-        "review_id", "tag.l1", "tag.l2"
+    rows = table(spark, sf_dir, "documents", spread="doc_id").select(
+        F.col("doc_id").cast("string").alias("review_id"), "text"
     )
+    return _pairs(enrich.tag_issues(rows, rules))
 
 
 @query(
@@ -98,7 +103,7 @@ scores as (select d.doc_id, coalesce(round(s / sqrt(s * s + 15), 4), 0.0) score
 
 @query(f"with {_SQL_SCORES} select doc_id, score from scores")
 def sentiment_score(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text")
     return lexicon_score(docs, LEXICON, id="doc_id").select(
         "doc_id", F.col("sentiment_score").alias("score")
     )
@@ -110,6 +115,6 @@ def sentiment_score(spark, sf_dir):
     name="sentiment_label",
 )
 def sentiment_labels(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text")
     scored = lexicon_score(docs, LEXICON, id="doc_id")
     return scored.select("doc_id", sentiment_label(F.col("sentiment_score")).alias("label"))

@@ -16,7 +16,7 @@ _PADDED = "chr(9) || ' ' || text || ' ' || chr(160) || chr(10)"
 )
 def clean_text(spark, sf_dir):
     padded = F.concat(F.lit("\t "), "text", F.lit(" \xa0\n"))
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", spread="doc_id").select(
         "doc_id", fn.trim_all(padded).alias("trimmed"), fn.clean_text(padded).alias("cleaned")
     )
 
@@ -24,7 +24,7 @@ def clean_text(spark, sf_dir):
 @query(f"select doc_id, {sql_collapse(_PADDED)} collapsed from documents")
 def collapse_ws(spark, sf_dir):
     padded = F.concat(F.lit("\t "), "text", F.lit(" \xa0\n"))
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", spread="doc_id").select(
         "doc_id", fn.collapse_ws(padded).alias("collapsed")
     )
 
@@ -200,7 +200,7 @@ _SQL_TEXT = (
 
 @query(f"select page_id, {sql_collapse(_SQL_TEXT)} page_text from pages")
 def html_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
+    return table(spark, sf_dir, "pages", spread="page_id").select(
         "page_id", fn.collapse_ws(fn.html_to_text(F.col("html"))).alias("page_text")
     )
 
@@ -220,7 +220,7 @@ def page_title(spark, sf_dir):
     html = F.when(F.col("page_id") % 2 == 0, F.col("html")).otherwise(
         F.regexp_replace("html", "</?h1>", "")
     )
-    return table(spark, sf_dir, "pages").select(
+    return table(spark, sf_dir, "pages", spread="page_id").select(
         "page_id",
         fn.page_title(html).alias("title"),
         fn.question_title(F.col("html")).alias("question"),
@@ -252,7 +252,7 @@ def unwrap_redirect(spark, sf_dir):
     link = F.when(F.col("page_id") % 2 == 0, F.col("url")).otherwise(
         F.concat(F.lit("//search.example/l/?uddg="), F.url_encode("url"), F.lit("&rut=1"))
     )
-    return table(spark, sf_dir, "pages").select(
+    return table(spark, sf_dir, "pages", spread="page_id").select(
         "page_id",
         fn.unwrap_redirect(link).alias("target"),
         fn.short_id(F.col("url"), F.lit("x")).alias("id"),

@@ -169,5 +169,5 @@ def keyword_match_table(spark, sf_dir):
     keywords = table(spark, sf_dir, "benchmark").select(
         F.substring("text", 1, 12).alias("keyword"), F.col("item_id").alias("rank")
     )
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text")
     return sel.keyword_match(docs, keywords, "text", "doc_id").select("doc_id", "keyword")

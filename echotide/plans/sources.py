@@ -14,7 +14,11 @@ APPS = (feeds.App("Alpha", "com.alpha", "One"), feeds.App("Beta", "com.beta", "T
 
 
 def _documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text", "source")
+
+
+def _pages(spark, sf_dir):
+    return table(spark, sf_dir, "pages", spread="page_id")
 
 
 def _escaped(text: str = "text") -> Column:
@@ -330,7 +334,7 @@ _LIVE = (
 )
 def page_links(spark, sf_dir):
     return pages.extract_links(
-        table(spark, sf_dir, "pages"),
+        _pages(spark, sf_dir),
         domain=None,
         exclude="/the",
         cap=4,
@@ -357,7 +361,7 @@ def page_links_redirect(spark, sf_dir):
         F.url_encode("url"),
         F.lit('&amp;rut=2">again</a></div>'),
     )
-    found = table(spark, sf_dir, "pages").select("page_id", "url", html.alias("html"))
+    found = _pages(spark, sf_dir).select("page_id", "url", html.alias("html"))
     return pages.extract_links(
         found, ".com", pages.QUESTION_EXCLUDE, pages.NEWS_LINKS_PER_PAGE, carry=["page_id"]
     )
@@ -375,7 +379,7 @@ _SQL_TITLE = sql_trim(f"replace(replace({_SQL_H1}, '&quot;', '\"'), '&amp;', '&'
 )
 def page_results(spark, sf_dir):
     heading = F.regexp_extract("html", "(?is)<h1>(.*?)</h1>", 1)
-    source = table(spark, sf_dir, "pages")
+    source = _pages(spark, sf_dir)
     link = F.replace("url", F.lit("&"), F.lit("&amp;"))
     primary = F.concat(
         F.lit('<div class="results"><div class="result web"><a class="result__a" href="'),
@@ -428,7 +432,7 @@ _SQL_PIECE_SOLID = sql_trim(
 )
 def page_answers(spark, sf_dir):
     found = pages.extract_answers(
-        table(spark, sf_dir, "pages"), as_of="2026-06-01", carry=["page_id"]
+        _pages(spark, sf_dir), as_of="2026-06-01", carry=["page_id"]
     )
     return found.select(
         "page_id", "position", "review_id", "platform", "date", "date_is_ingest", "title", "text",

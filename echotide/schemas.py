@@ -94,6 +94,13 @@ LANDED_REVIEW = (
 )
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row. A filter on an ordinary column is pushed below
+    it and computes it a second time; one on the output of a generator is not."""
+    values = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(values)))
+
+
 def collected(df: DataFrame, *extra: str, **columns: Column) -> DataFrame:
     """Project ``df`` on the collected row type; columns not given are null of their type.
 

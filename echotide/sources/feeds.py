@@ -26,7 +26,7 @@ from ..functions.text import (
 )
 from ..operators.enrich import product_tag
 from ..operators.select import dedup_keep_first
-from ..schemas import collected
+from ..schemas import collected, computed
 
 # How each platform and its pages are named in collected rows.
 PLAY_STORE, APP_STORE, REDDIT = "Google Play", "Apple App Store", "Reddit"
@@ -207,7 +207,7 @@ def normalize_thread_comments(
     )
     text = collapse_ws(html_to_text(first_present(F.col("post.raw_message")), " "))
     kept = dedup_keep_first(
-        posts.withColumn("_text", text)
+        computed(posts, _text=text)
         .filter(min_chars(F.col("_text"), MIN_COMMENT))
         .withColumn("_id", first_present(F.col("post.id"))),
         ["_id"],
@@ -236,8 +236,8 @@ def normalize_search_results(
 ) -> DataFrame:
     """Search results with a link and enough text, the first per link, with the product that
     the whole text or the link names."""
-    text = trim_all(first_present(F.col("text")))
-    usable = df.withColumn("text", text).filter(
+    text = trim_all(first_present(F.col("_raw")))
+    usable = computed(df.withColumnRenamed("text", "_raw"), text=text).filter(
         (first_present(F.col("url")) != "") & min_chars(F.col("text"), MIN_SEARCH_TEXT)
     )
     return collected(

@@ -10,10 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..functions.html import decode_entities, html_to_text, page_title, question_title, strip_inert
+from ..functions.html import (
+    SEAM,
+    decode_entities,
+    html_to_text,
+    page_title,
+    question_title,
+    seamed_text,
+    strip_inert,
+)
 from ..functions.links import short_id, unwrap_redirect
 from ..functions.text import any_of, collapse_ws, min_chars, truncate
-from ..schemas import collected
+from ..schemas import collected, computed
 from .blocks import Selector, parse, select, text_of
 
 # Where comments and their authors stand in article pages, in order of trial.
@@ -44,6 +52,7 @@ NEWS_LINKS_PER_PAGE, QUESTION_LINKS_PER_PAGE = 8, 30
 QUESTION_SITES = ("https://quora.com", "https://www.quora.com")
 QUESTION_EXCLUDE = "quora.com/q/"
 
+_ALL = 2**31 - 2  # longer than any array
 _BLOCK = (
     "p|div|article|section|ul|ol|table|h[1-6]|footer|nav|header|main|aside|blockquote|form|pre|"
     "hr|body|html"
@@ -131,32 +140,38 @@ def extract_results(
     block, link, snippet = RESULT_LAYOUTS[layout]
     # A mark in front of each result splits the page; the piece before the first is none.
     marked = F.regexp_replace(strip_inert(F.col("html")), rf"(?is)({block})", "\u0002$1")
-    blocks = F.slice(F.split(marked, "\u0002"), 2, 2147483646)
+    blocks = F.slice(F.split(marked, "\u0002"), 2, _ALL)
     rows = pages.select(*carry, F.posexplode(blocks).alias("position", "_block"))
     piece = F.col("_block")
-    found = rows.select(
-        *carry,
-        "position",
-        _href(F.regexp_extract(piece, f"(?is){link}", 1)).alias("url"),
-        html_to_text(F.regexp_extract(piece, f"(?is){link}", 2), "").alias("title"),
-        html_to_text(F.regexp_extract(piece, f"(?is){snippet}", 1), "").alias("text"),
-        F.lit("").alias("author"),
-        F.lit("").alias("date"),
+    found = computed(
+        rows.select(*carry, "position", "_block"),
+        url=_href(F.regexp_extract(piece, f"(?is){link}", 1)),
+        title=html_to_text(F.regexp_extract(piece, f"(?is){link}", 2), ""),
+        text=html_to_text(F.regexp_extract(piece, f"(?is){snippet}", 1), ""),
+        author=F.lit(""),
+        date=F.lit(""),
     )
-    return found.filter(F.contains("url", F.lit(domain)))
+    return found.filter(F.contains("url", F.lit(domain))).drop("_block")
 
 
 # Answers of a question page
 
 
-def paragraphs(html: Column, longer_than: int = 0) -> Column:
-    """Texts of the ``p`` elements in order. A paragraph ends at its end tag or at the next
-    block, closed or not; its length is that of its stripped pieces put together."""
-    pieces = F.slice(F.split(strip_inert(html), r"(?i)<p\b[^>]*>"), 2, 2147483646)
+def paragraphs(html: Column, longer_than: int, first: int) -> Column:
+    """Texts of the ``first`` ``p`` elements that are long enough, in order. A paragraph ends at
+    its end tag or at the next block, closed or not; its length is that of its pieces alone."""
+    pieces = F.slice(F.split(strip_inert(html), r"(?i)<p\b[^>]*>"), 2, _ALL)
     ends = rf"(?is)</?(?:{_BLOCK})\b.*$"
     cut = F.transform(pieces, lambda piece: F.regexp_replace(piece, ends, ""))
-    long = F.filter(cut, lambda piece: F.char_length(html_to_text(piece, "")) > longer_than)
-    return F.transform(long, lambda piece: collapse_ws(html_to_text(piece, " ")))
+    # No text is longer than its markup, so short pieces are dropped before they are decoded.
+    raw = F.filter(cut, lambda piece: F.char_length(piece) > longer_than)
+    seamed = F.transform(raw, seamed_text)
+    long = F.filter(
+        seamed, lambda t: F.char_length(F.replace(t, F.lit(SEAM), F.lit(""))) > longer_than
+    )
+    return F.transform(
+        F.slice(long, 1, first), lambda t: collapse_ws(F.replace(t, F.lit(SEAM), F.lit(" ")))
+    )
 
 
 def extract_answers(
@@ -183,9 +198,7 @@ def extract_answers(
     )
     plain = pages.filter(~has_blocks).select(
         *head,
-        F.posexplode(
-            F.slice(paragraphs(F.col("html"), MIN_PARAGRAPH), 1, per_page)
-        ).alias("position", "_text"),
+        F.posexplode(paragraphs(F.col("html"), MIN_PARAGRAPH, per_page)).alias("position", "_text"),
     )
     rows = nested.select(*plain.columns).unionByName(plain)
     return collected(
