@@ -14,7 +14,7 @@ SEAM = "\u0001"
 _INERT = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->"
 _TAG = r"(?s)</?[A-Za-z!][^>]*>"
 _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
-_HEADING = r"<h1\b[^>]*>"
+_HEADING = (r"<h1\b[^>]*>", "h1")
 _COMMON = ("amp", "lt", "gt", "quot", "nbsp")
 
 
@@ -23,11 +23,19 @@ def strip_inert(html: Column) -> Column:
     return F.regexp_replace(html, _INERT, "")
 
 
-def _named_entities() -> Column:
+def _entity_text() -> str:
     # A map literal is searched from the front, so the frequent names come first.
-    names = [*_COMMON, "apos", *(n for n in sorted(name2codepoint) if n not in _COMMON)]
-    pairs = [(n, "'" if n == "apos" else chr(name2codepoint[n])) for n in names]
-    return F.create_map(*[F.lit(v) for pair in pairs for v in pair])
+    characters = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+    names = [*_COMMON, *sorted(characters.keys() - set(_COMMON))]
+    return "\n".join(f"{name}\t{characters[name]}" for name in names)
+
+
+_ENTITIES = _entity_text()
+
+
+def _named_entities() -> Column:
+    """Entity names with their characters, as one constant."""
+    return F.str_to_map(F.lit(_ENTITIES), F.lit("\n"), F.lit("\t"))
 
 
 def _numeric(name: Column) -> Column:
@@ -81,32 +89,30 @@ def html_to_text(c: Column, sep: str = " ") -> Column:
     return F.replace(seamed_text(c), F.lit(SEAM), F.lit(sep))
 
 
-def _element(live: Column, opening: str, name: str) -> Column:
-    """Text of the first element that ``opening`` matches, null if there is none."""
+def _inner(live: Column, opening: str, name: str) -> Column:
+    """What the first element that ``opening`` matches holds; null if there is none."""
     inner = F.regexp_extract(live, rf"(?is){opening}(.*?)(?:</{name}\s*>|$)", 1)
-    return F.when(live.rlike(rf"(?is){opening}"), html_to_text(inner, ""))
+    return F.when(live.rlike(rf"(?is){opening}"), inner)
 
 
-def page_title(html: Column) -> Column:
-    """Text of the first ``h1``, else of ``title``, else empty. An empty ``h1`` still counts."""
-    title = r"<title\b[^>]*>"
-    return bind(
+def _first_text(html: Column, *elements: tuple[str, str]) -> Column:
+    """Text of the first of the elements that the page has, even if that is empty."""
+    found = bind(
         strip_inert(html),
-        lambda live: F.coalesce(
-            _element(live, _HEADING, "h1"), _element(live, title, "title"), F.lit("")
-        ),
+        lambda live: F.coalesce(*[_inner(live, *element) for element in elements], F.lit("")),
     )
+    return html_to_text(found, "")
+
+
+def page_title(html: Column) -> Column:
+    """Text of the first ``h1``, else of ``title``, else empty. An empty ``h1`` still counts."""
+    return _first_text(html, _HEADING, (r"<title\b[^>]*>", "title"))
 
 
 def question_title(html: Column) -> Column:
     """Text of the first ``h1``, else of a question-text ``span``, else empty."""
     span = r"""<span\b[^>]*class\s*=\s*["'][^"']*(?:q_text|question_text)[^"']*["'][^>]*>"""
-    return bind(
-        strip_inert(html),
-        lambda live: F.coalesce(
-            _element(live, _HEADING, "h1"), _element(live, span, "span"), F.lit("")
-        ),
-    )
+    return _first_text(html, _HEADING, (span, "span"))
 
 
 def script_value(html: Column, name: str) -> Column:

@@ -1,12 +1,18 @@
-"""Lexicon sentiment: words looked up by a join, their valences summed and normalised.
+"""Lexicon sentiment: words looked up, their valences summed and normalised.
 
-The lexicon is the caller's table ``(word, valence)``, one row per word. Normalisation and
-thresholds are those of the published VADER model (Hutto and Gilbert, 2014).
+The lexicon is the caller's ``(word, valence)``, one row per word. Normalisation and thresholds
+are those of the published VADER model (Hutto and Gilbert, 2014).
+
+A lexicon given as a list is in the driver already. It becomes a constant of the plan, and a text
+is scored where it stands, without a shuffle. A lexicon given as a table may be of any size and is
+joined to the words.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import zlib
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,51 +25,68 @@ ALPHA = 15
 POSITIVE, NEGATIVE = 0.05, -0.05
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
+UNIT = 1_000_000  # valences are summed as whole millionths: exact in any order of rows
+WORDS_INLINE = 50_000
+WORDS_PER_BUCKET = 4
 
-def words(df: DataFrame, text: str) -> DataFrame:
-    """One row per word of ``text``, as ``word``, next to the other columns of ``df``.
+Lexicon = Sequence[tuple[str, float]]
 
-    Words stand between white space, without punctuation around them. What would leave two
-    characters or fewer stays as it is, since it may be an emoticon.
-    """
-    kept = [c for c in df.columns if c != text]
-    pieces = df.select(*kept, F.explode(F.split(text, SPACES)).alias("_piece"))
-    bare = computed(pieces, _bare=F.trim(F.col("_piece"), F.lit(PUNCTUATION)))
-    word = F.when(F.char_length("_bare") <= 2, F.col("_piece")).otherwise(F.col("_bare"))
-    return bare.select(*kept, word.alias("word"))
 
+def bare_word(piece: Column) -> Column:
+    """A word without the punctuation around it. What would leave two characters or fewer stays
+    as it is, since it may be an emoticon."""
+    bare = F.trim(piece, F.lit(PUNCTUATION))
+    return F.when(F.char_length(bare) <= 2, piece).otherwise(bare)
 
-def lexicon_table(df: DataFrame, lexicon: Sequence[tuple[str, float]] | DataFrame) -> DataFrame:
-    """The lexicon with exact valences, so that sums do not depend on the order of rows. A list
-    is in the driver already and is broadcast; for a table the size decides."""
-    rows = lexicon
-    if not isinstance(lexicon, DataFrame):
-        rows = df.sparkSession.createDataFrame(list(lexicon), "word string, valence double")
-    exact = rows.select(F.lower("word").alias("word"), F.col("valence").cast("decimal(18, 6)"))
-    return exact if isinstance(lexicon, DataFrame) else F.broadcast(exact)
+
+def lookup_in(lexicon: Lexicon) -> Callable[[Column], Column]:
+    """A function from a lower-case word to its valence in units, null for unknown words.
+
+    Spark searches a map from its front. The words are therefore hashed to many small maps.
+    """
+    if len(lexicon) > WORDS_INLINE:
+        raise ValueError(f"pass more than {WORDS_INLINE} words as a table")
+    size = max(1, len(lexicon) // WORDS_PER_BUCKET)
+    buckets: list[dict[str, int]] = [{} for _ in range(size)]
+    for word, valence in lexicon:
+        folded = word.lower()
+        buckets[zlib.crc32(folded.encode()) % size][folded] = round(valence * UNIT)
+    index = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,bigint>>")
+    return lambda word: F.try_element_at(F.get(index, F.crc32(word) % size), word)
 
 
 def normalize_score(total: Column, alpha: int = ALPHA) -> Column:
-    """A sum of valences squeezed into -1 to 1, to four places."""
-    s = total.cast("double")
+    """A sum of valences in units squeezed into -1 to 1, to four places."""
+    s = total / F.lit(float(UNIT))
     return F.coalesce(F.round(s / F.sqrt(s * s + F.lit(alpha)), 4), F.lit(0.0))
 
 
 def lexicon_score(
     df: DataFrame,
-    lexicon: Sequence[tuple[str, float]] | DataFrame,
+    lexicon: Lexicon | DataFrame,
     text: str = "text",
     id: str = "review_id",
     alpha: int = ALPHA,
 ) -> DataFrame:
-    """Add ``sentiment_score`` to reviews that are unique by ``id``.
+    """Add ``sentiment_score``; texts without a known word score 0.
 
-    Only ids and words meet the lexicon, and each task sums its own words first, so what is
-    shuffled is one number per review. Texts without a known word score 0.
+    With a table as lexicon, reviews must be unique by ``id``: their words are joined to it, each
+    task sums its own words first, and one number per review goes back to the reviews.
     """
-    tokens = words(df.select(id, F.lower(text).alias("_text")), "_text")
+    if not isinstance(lexicon, DataFrame):
+        valence = lookup_in(lexicon)
+        total = F.aggregate(
+            F.transform(F.split(F.lower(text), SPACES), bare_word),
+            F.lit(0).cast("bigint"),
+            lambda total, word: total + F.coalesce(valence(word), F.lit(0).cast("bigint")),
+        )
+        return df.withColumn("sentiment_score", normalize_score(total, alpha))
+    units = F.round(F.col("valence") * UNIT).cast("bigint")
+    known = lexicon.select(F.lower("word").alias("word"), units.alias("valence"))
+    pieces = df.select(id, F.explode(F.split(F.lower(text), SPACES)).alias("_piece"))
     totals = (
-        tokens.join(lexicon_table(df, lexicon), "word")
+        computed(pieces, word=bare_word(F.col("_piece")))
+        .join(known, "word")
         .groupBy(id)
         .agg(F.sum("valence").alias("_total"))
     )

@@ -109,6 +109,15 @@ def sentiment_score(spark, sf_dir):
     )
 
 
+@query(f"with {_SQL_SCORES} select doc_id, score from scores")
+def sentiment_score_table(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text")
+    lexicon = spark.createDataFrame(list(LEXICON), "word string, valence double")
+    return lexicon_score(docs, lexicon, id="doc_id").select(
+        "doc_id", F.col("sentiment_score").alias("score")
+    )
+
+
 @query(
     f"""with {_SQL_SCORES} select doc_id, case when score >= 0.05 then 'Positive'
               when score <= -0.05 then 'Negative' else 'Neutral' end label from scores""",
