@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -52,6 +52,7 @@ NEWS_LINKS_PER_PAGE, QUESTION_LINKS_PER_PAGE = 8, 30
 QUESTION_SITES = ("https://quora.com", "https://www.quora.com")
 QUESTION_EXCLUDE = "quora.com/q/"
 
+PAGES_AT_ONCE = 64
 _ALL = 2**31 - 2  # longer than any array
 _BLOCK = (
     "p|div|article|section|ul|ol|table|h[1-6]|footer|nav|header|main|aside|blockquote|form|pre|"
@@ -290,17 +291,29 @@ def _blocks_of(
                 break
         return rows
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blocks = batch["html"].map(found)
-            sizes = blocks.map(len)
-            rows = batch.loc[batch.index.repeat(sizes), names].reset_index(drop=True)
-            rows["position"] = [i for size in sizes for i in range(size)]
-            rows["_text"] = [text for page in blocks for text, _ in page]
-            rows["_author"] = [author for page in blocks for _, author in page]
-            yield rows
-
-    return pages.mapInPandas(read, schema)
+            # A few pages at a time, so that long pages do not pile up as Python objects.
+            for start in range(0, batch.num_rows, PAGES_AT_ONCE):
+                some = batch.slice(start, PAGES_AT_ONCE)
+                rows = [
+                    (page, place, *block)
+                    for page, html in enumerate(some.column("html").to_pylist())
+                    for place, block in enumerate(found(html))
+                ]
+                page, place, text, author = zip(*rows) if rows else ((), (), (), ())
+                kept_rows = some.select(names).take(pa.array(page, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *kept_rows.columns,
+                        pa.array(place, pa.int32()),
+                        pa.array(text, pa.string()),
+                        pa.array(author, pa.string()),
+                    ],
+                    names=schema.names,
+                )
+
+    return pages.mapInArrow(read, schema)
 
 
 _AUTHORS = [Selector.of(s) for s in AUTHOR_SELECTORS]
