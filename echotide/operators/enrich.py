@@ -75,11 +75,10 @@ def tag_issues(
         tags = F.array_compact(F.array(*hits)) if hits else _no_tags()
         folded = df.withColumn("_folded", F.coalesce(fold(F.col(text)), F.lit("")))
         return folded.withColumn("tags", tags).drop("_folded")
-    small = not isinstance(rules, DataFrame)
-    if small:
+    if not isinstance(rules, DataFrame):
         rules = df.sparkSession.createDataFrame(rules, "l1 string, l2 string, keyword string")
     found = (
-        holding(df, rules, text, id, "keyword", small)
+        holding(df, rules, text, id, "keyword")
         .groupBy(id)
         .agg(F.sort_array(F.collect_set(F.struct("l1", "l2"))).alias("tags"))
     )

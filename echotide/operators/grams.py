@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRAM = 3
+BROADCAST_PHRASES, BROADCAST_CHARACTERS = 100_000, 10_000_000
 
 
 def holding(
-    df: DataFrame, phrases: DataFrame, col: str, id: str, phrase: str, small: bool = False
+    df: DataFrame, phrases: DataFrame, col: str, id: str, phrase: str
 ) -> DataFrame:
     """Pairs ``(id, *phrases)`` where the text of ``df`` holds the phrase, case ignored.
 
@@ -17,12 +18,12 @@ def holding(
     distinct runs of three characters, each phrase the one it starts with, the two are joined on
     equality, and only the pairs that meet are tested. Shorter phrases meet shorter runs.
 
-    ``small`` says that ``phrases`` came from a list in the driver: it is then broadcast and the
-    texts stay where they are. Otherwise only ids and runs are shuffled to the phrases, and the
-    pairs that meet go back to the texts; a run that most texts offer is a skewed key, which
-    adaptive execution splits.
+    Phrases that are counted to be few are broadcast, and the texts stay where they are. If there
+    are more, only ids and runs are shuffled to the phrases, and the pairs that meet go back to
+    the texts; a run that most texts offer is a skewed key, which adaptive execution splits.
     """
     keyed = phrases.withColumn("_phrase", F.lower(phrase)).filter("_phrase != ''")
+    small = _few(phrases, phrase)
     texts = df.select(id, F.lower(F.col(col)).alias("_text"))
     short = F.char_length("_phrase") < GRAM
     parts = [
@@ -34,6 +35,13 @@ def holding(
     return met[0].unionByName(met[1]).select(id, *phrases.columns).distinct()
 
 
+def _few(phrases: DataFrame, phrase: str) -> bool:
+    """Whether a bounded look at ``phrases`` finds few enough of them to broadcast."""
+    size = F.sum(F.char_length(phrase))
+    seen = phrases.limit(BROADCAST_PHRASES + 1).agg(F.count(F.lit(1)), size).first()
+    return seen[0] <= BROADCAST_PHRASES and (seen[1] or 0) <= BROADCAST_CHARACTERS
+
+
 def _runs(n: int) -> Column:
     return F.regexp_extract_all("_text", F.lit(rf"(?s)(?=(.{{{n}}}))"), 1)
 

@@ -12,12 +12,12 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import SPACES
+from ..functions.text import SPACES, any_of, bind
 from ..schemas import computed
 
 # Fixed values of the published model.
@@ -25,6 +25,36 @@ ALPHA = 15
 POSITIVE, NEGATIVE = 0.05, -0.05
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
+# Fixed values of the published model: how words around a word of the lexicon change its valence.
+BOOST, DAMPEN = 0.293, -0.293
+CAPITALS, NEGATION, NEVER_SO = 0.733, -0.74, 1.25
+DISTANCE = (1.0, 0.95, 0.9)  # weight of a booster one, two and three words before
+BEFORE_BUT, AFTER_BUT = 0.5, 1.5
+EXCLAMATION, EXCLAMATIONS = 0.292, 4
+QUESTION, QUESTIONS, MANY_QUESTIONS = 0.18, 3, 0.96
+
+BOOSTERS = dict.fromkeys(
+    """absolutely amazingly awfully completely considerable considerably decidedly deeply effing
+    enormous enormously entirely especially exceptional exceptionally extreme extremely fabulously
+    flippin flipping frackin fracking frickin fricking friggin frigging fuckin fucking fuggin
+    fugging fully greatly hella highly hugely incredible incredibly intensely major majorly more
+    most particularly purely quite really remarkably so substantially thoroughly total totally
+    tremendous tremendously uber unbelievably unusually utter utterly very""".split(),
+    BOOST,
+) | dict.fromkeys(
+    """almost barely hardly kind-of kinda kindof less little marginal marginally occasional
+    occasionally partly scarce scarcely slight slightly somewhat sort-of sorta sortof""".split(),
+    DAMPEN,
+)
+
+NEGATIONS = tuple(
+    """ain't aint aren't arent can't cannot cant couldn't couldnt daren't darent despite didn't
+    didnt doesn't doesnt don't dont hadn't hadnt hasn't hasnt haven't havent isn't isnt mightn't
+    mightnt mustn't mustnt needn't neednt neither never none nope nor not nothing nowhere oughtn't
+    oughtnt rarely seldom shan't shant shouldn't shouldnt uh-uh uhuh wasn't wasnt weren't werent
+    without won't wont wouldn't wouldnt""".split()
+)
+
 UNIT = 1_000_000  # valences are summed as whole millionths: exact in any order of rows
 WORDS_INLINE = 50_000
 WORDS_PER_BUCKET = 4
@@ -96,6 +126,119 @@ def lexicon_score(
     )
 
 
+def rule_score(
+    df: DataFrame,
+    lexicon: Lexicon,
+    text: str = "text",
+    alpha: int = ALPHA,
+    boosters: Mapping[str, float] = BOOSTERS,
+    negations: Sequence[str] = NEGATIONS,
+) -> DataFrame:
+    """Add ``sentiment_score`` with the model's rules for context: boosters and negations up to
+    three words before, capitals among other case, what follows a "but", and ``!`` and ``?``.
+
+    All rules look at neighbours in the same text, so each text is scored where it stands.
+    Idioms and the word "least", which the model also knows, are not looked at.
+    """
+    valence = lookup_in(lexicon)
+    boost = lookup_in(list(boosters.items()))
+    pieces = F.filter(F.split(F.col(text), SPACES), lambda w: w != "")
+
+    def scored(words: Column) -> Column:
+        lows = F.transform(words, F.lower)
+        return bind(
+            F.struct(
+                words.alias("words"),
+                lows.alias("lows"),
+                F.transform(lows, valence).alias("known"),
+                F.transform(lows, boost).alias("boosts"),
+                _mixed_case(words).alias("mixed"),
+                F.array_position(lows, "but").alias("but"),
+            ),
+            lambda t: F.aggregate(
+                F.sequence(F.lit(0), F.size(words) - 1),
+                F.lit(0.0),
+                lambda total, i: total + _in_context(t, i, negations),
+            ),
+        )
+
+    words = F.transform(pieces, bare_word)
+    total = F.when(F.size(words) > 0, bind(words, scored)).otherwise(F.lit(0.0))
+    marked = bind(total, lambda s: s + F.signum(s) * _emphasis(F.col(text)))
+    return df.withColumn("sentiment_score", normalize_score(marked * UNIT, alpha))
+
+
+def _is_capitals(word: Column) -> Column:
+    return (word == F.upper(word)) & (word != F.lower(word))
+
+
+def _mixed_case(words: Column) -> Column:
+    capitals = F.size(F.filter(words, _is_capitals))
+    return (capitals > 0) & (capitals < F.size(words))
+
+
+def _in_context(t: Column, i: Column, negations: Sequence[str]) -> Column:
+    """The valence of word ``i`` of text ``t`` under the words before it; 0 if it has none."""
+
+    def low(back: int) -> Column:
+        return F.coalesce(F.get(t["lows"], i - back), F.lit(""))
+
+    def towards(v: Column, amount: float) -> Column:
+        return F.when(v > 0, F.lit(amount)).otherwise(F.lit(-amount))
+
+    def negated(back: int) -> Column:
+        return low(back).isin(*negations) | F.contains(low(back), F.lit("n't"))
+
+    def among(back: int, *words: str) -> Column:
+        return any_of(low(b).isin(*words) for b in range(1, back))
+
+    def step(back: int) -> Callable[[Column], Column]:
+        return lambda v: stepped(v, back)
+
+    def stepped(v: Column, back: int) -> Column:
+        base = F.get(t["boosts"], i - back) / F.lit(float(UNIT))
+        capitals = t["mixed"] & _is_capitals(F.get(t["words"], i - back))
+        signed = F.when(v < 0, -base).otherwise(base) + F.when(
+            capitals, towards(v, CAPITALS)
+        ).otherwise(F.lit(0.0))
+        boosted = v + F.coalesce(signed * DISTANCE[back - 1], F.lit(0.0))
+        turned = (
+            F.when((low(back) == "never") & among(back, "so", "this"), F.lit(NEVER_SO))
+            .when((low(back) == "without") & among(back, "doubt"), F.lit(1.0))
+            .when(negated(back), F.lit(NEGATION))
+            .otherwise(F.lit(1.0))
+        )
+        # A word of the lexicon, and the front of the text, change nothing.
+        counts = (i >= back) & F.get(t["known"], i - back).isNull()
+        return F.when(counts, boosted * turned).otherwise(v)
+
+    own = F.get(t["known"], i) / F.lit(float(UNIT))
+    value = own + F.when(
+        t["mixed"] & _is_capitals(F.get(t["words"], i)), towards(own, CAPITALS)
+    ).otherwise(F.lit(0.0))
+    for back in (1, 2, 3):
+        value = bind(value, step(back))
+    side = (
+        F.when((t["but"] == 0) | (i + 1 == t["but"]), F.lit(1.0))
+        .when(i + 1 < t["but"], F.lit(BEFORE_BUT))
+        .otherwise(F.lit(AFTER_BUT))
+    )
+    speaks = F.get(t["known"], i).isNotNull() & F.get(t["boosts"], i).isNull()
+    return F.when(speaks, value * side).otherwise(F.lit(0.0))
+
+
+def _emphasis(text: Column) -> Column:
+    """What exclamation and question marks add to the size of a sum."""
+    loud = F.least(F.regexp_count(text, F.lit("!")), F.lit(EXCLAMATIONS)) * F.lit(EXCLAMATION)
+    asked = F.regexp_count(text, F.lit(r"\?"))
+    doubt = (
+        F.when(asked <= 1, F.lit(0.0))
+        .when(asked <= QUESTIONS, asked * F.lit(QUESTION))
+        .otherwise(F.lit(MANY_QUESTIONS))
+    )
+    return loud + doubt
+
+
 def sentiment_label(score: Column, pos: float = POSITIVE, neg: float = NEGATIVE) -> Column:
     """Positive, Negative or Neutral."""
     return (

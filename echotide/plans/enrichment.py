@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WHITESPACE
 from ..operators import enrich
-from ..operators.sentiment import lexicon_score, sentiment_label
+from ..operators.sentiment import lexicon_score, rule_score, sentiment_label
 from . import fixtures as fx
 from .registry import query, table
 
@@ -127,3 +127,78 @@ def sentiment_labels(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text")
     scored = lexicon_score(docs, LEXICON, id="doc_id")
     return scored.select("doc_id", sentiment_label(F.col("sentiment_score")).alias("label"))
+
+
+BOOST_WORDS = {"this": 0.293, "as": 0.293, "le": 0.293, "from": -0.293}
+NEGATION_WORDS = ("not", "be", "on", "never", "without")
+
+
+def _quoted(words) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
+def _sql_step(back: int) -> str:
+    """One step of the context rules over columns that hold the words before."""
+    nearer = " or ".join(f"l{b} in ('so', 'this')" for b in range(1, back)) or "false"
+    doubt = " or ".join(f"l{b} = 'doubt'" for b in range(1, back)) or "false"
+    weight = (1.0, 0.95, 0.9)[back - 1]
+    return f"""case when n > {back} and k{back} is null then
+        (v + coalesce(((case when v < 0 then -b{back} else b{back} end)
+                       + case when mixed and w{back} = upper(w{back}) and w{back} <> lower(w{back})
+                              then case when v > 0 then 0.733 else -0.733 end else 0 end)
+                      * {weight}::double, 0))
+        * case when l{back} = 'never' and ({nearer}) then 1.25
+               when l{back} = 'without' and ({doubt}) then 1.0
+               when l{back} in ({_quoted(NEGATION_WORDS)}) or contains(l{back}, 'n''t')
+               then -0.74 else 1.0 end::double
+        else v end"""
+
+
+_SQL_LAGS = ", ".join(
+    f"lag({c}, {b}) over w {c[0]}{b}"
+    for b in (1, 2, 3)
+    for c in ("word", "low", "known", "boost")
+)
+
+
+@query(
+    f"""with lexicon(word, valence) as (values {", ".join(
+            f"('{w}', {v}::double)" for w, v in LEXICON)}),
+        boosters(word, boost) as (values {", ".join(
+            f"('{w}', {v}::double)" for w, v in BOOST_WORDS.items())}),
+        pieces as (select doc_id, unnest(list_filter(string_split_regex(text, '[{_WS}]+'),
+                          lambda x: x <> '')) p,
+                          generate_subscripts(list_filter(string_split_regex(text, '[{_WS}]+'),
+                          lambda x: x <> ''), 1) n from documents),
+        words as (select doc_id, n, case when length(trim(p, '{_PUNCTUATION}')) <= 2 then p
+                         else trim(p, '{_PUNCTUATION}') end word from pieces),
+        looked as (select doc_id, n, w.word, lower(w.word) low, l.valence known, b.boost
+                   from words w left join lexicon l on lower(w.word) = l.word
+                        left join boosters b on lower(w.word) = b.word),
+        texts as (select doc_id, count(*) size,
+                         count_if(word = upper(word) and word <> lower(word)) capitals,
+                         min(case when low = 'but' then n end) but_at from looked group by 1),
+        ctx as (select looked.*, capitals > 0 and capitals < size mixed, but_at, {_SQL_LAGS}
+                from looked join texts using (doc_id)
+                window w as (partition by doc_id order by n)),
+        s0 as (select *, known + case when mixed and word = upper(word) and word <> lower(word)
+                      then case when known > 0 then 0.733 else -0.733 end else 0 end::double v
+               from ctx where known is not null and boost is null),
+        s1 as (select * replace ({_sql_step(1)} as v) from s0),
+        s2 as (select * replace ({_sql_step(2)} as v) from s1),
+        s3 as (select * replace ({_sql_step(3)} as v) from s2),
+        sums as (select doc_id, sum(v * case when but_at is null or n = but_at then 1.0
+                        when n < but_at then 0.5 else 1.5 end::double order by n) s
+                 from s3 group by 1),
+        marks as (select doc_id, length(text) - length(replace(text, '!', '')) e,
+                         length(text) - length(replace(text, '?', '')) q from documents),
+        total as (select doc_id, coalesce(s, 0) s, least(e, 4) * 0.292::double
+                         + case when q <= 1 then 0 when q <= 3 then q * 0.18 else 0.96 end::double m
+                  from marks left join sums using (doc_id)),
+        final as (select doc_id, s + sign(s) * m s from total)
+        select doc_id, round(s / sqrt(s * s + 15), 4) score from final"""
+)
+def sentiment_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text")
+    scored = rule_score(docs, LEXICON, boosters=BOOST_WORDS, negations=NEGATION_WORDS)
+    return scored.select("doc_id", F.col("sentiment_score").alias("score"))

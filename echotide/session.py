@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,10 +38,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so that a fan-out does not recompute it."""
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    A fan-out then neither recomputes it nor depends on the executors that computed it, and each
+    branch reads only its columns. The written copy stays until the folder is emptied.
+    """
     spark = df.sparkSession
-    root = checkpoint_root(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from echotide.operators import enrich, sentiment
+from echotide.operators import enrich, grams, sentiment
 from echotide.operators.enrich import IssueRule
 
 RULES = [
@@ -34,12 +34,14 @@ def tags(df):
     return {r["review_id"]: [tuple(t) for t in r["tags"]] for r in df.collect()}
 
 
-@pytest.mark.parametrize("kind", ["inline", "list", "table"])
-def test_all_ways_to_tag_agree(spark, reviews, kind):
+@pytest.mark.parametrize("kind", ["inline", "list", "table", "large table"])
+def test_all_ways_to_tag_agree(spark, reviews, kind, monkeypatch):
     rules = RULES
     if kind == "list":  # long enough to be matched by a join
         rules = RULES + [IssueRule("None", "None", f"never {i}") for i in range(200)]
-    elif kind == "table":
+    elif kind.endswith("table"):
+        if kind == "large table":  # too many to broadcast
+            monkeypatch.setattr(grams, "BROADCAST_PHRASES", 2)
         rules = spark.createDataFrame(RULES, "l1 string, l2 string, keyword string")
     got = tags(enrich.tag_issues(reviews, rules))
     assert {k: set(v) for k, v in got.items()} == {
@@ -115,3 +117,44 @@ def test_label_thresholds(values):
     assert values(sentiment.sentiment_label, scores, "double") == [
         "Positive", "Neutral", "Neutral", "Neutral", "Negative",
     ]
+
+
+# Valences of a few words, and the scores the model's authors state for these sentences.
+STATED = [("smart", 1.7), ("handsome", 2.2), ("funny", 1.9), ("good", 1.9), ("horrible", -2.5)]
+SENTENCES = [
+    ("VADER is smart, handsome, and funny.", 0.8316),
+    ("VADER is smart, handsome, and funny!", 0.8439),
+    ("VADER is very smart, handsome, and funny.", 0.8545),
+    ("VADER is VERY SMART, handsome, and FUNNY.", 0.9227),
+    ("VADER is VERY SMART, handsome, and FUNNY!!!", 0.9342),
+    ("VADER is not smart, handsome, nor funny.", -0.7424),
+    ("The book was good.", 0.4404),
+    ("At least it isn't a horrible book.", 0.431),
+    ("", 0.0),
+    (None, 0.0),
+    ("nothing known!!", 0.0),
+]
+
+
+def test_context_rules(spark):
+    df = spark.createDataFrame(
+        [(i, t) for i, (t, _) in enumerate(SENTENCES)], "review_id int, text string"
+    )
+    rows = sentiment.rule_score(df, STATED).orderBy("review_id").collect()
+    assert [r["sentiment_score"] for r in rows] == [score for _, score in SENTENCES]
+
+
+def test_but_never_and_questions(spark):
+    said = ["good but horrible", "never so good", "without doubt good", "horrible??", "good???? ok"]
+    df = spark.createDataFrame(list(enumerate(said)), "review_id int, text string")
+    rows = sentiment.rule_score(df, STATED).orderBy("review_id").collect()
+    sums = [
+        1.9 * 0.5 - 2.5 * 1.5,
+        # "so" boosts by itself, then "never so" strengthens.
+        (1.9 + 0.293) * 1.25,
+        1.9,
+        -2.5 - 2 * 0.18,
+        1.9 + 0.96,
+    ]
+    want = [round(s / math.sqrt(s * s + 15), 4) for s in sums]
+    assert [r["sentiment_score"] for r in rows] == want
