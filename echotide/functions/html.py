@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -23,19 +24,19 @@ def strip_inert(html: Column) -> Column:
     return F.regexp_replace(html, _INERT, "")
 
 
-def _entity_text() -> str:
+def _entity_json() -> str:
     # A map literal is searched from the front, so the frequent names come first.
     characters = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
     names = [*_COMMON, *sorted(characters.keys() - set(_COMMON))]
-    return "\n".join(f"{name}\t{characters[name]}" for name in names)
+    return json.dumps({name: characters[name] for name in names})
 
 
-_ENTITIES = _entity_text()
+_ENTITIES = _entity_json()
 
 
 def _named_entities() -> Column:
-    """Entity names with their characters, as one constant."""
-    return F.str_to_map(F.lit(_ENTITIES), F.lit("\n"), F.lit("\t"))
+    """Entity names with their characters. Spark evaluates this to one constant when it plans."""
+    return F.from_json(F.lit(_ENTITIES), "map<string,string>")
 
 
 def _numeric(name: Column) -> Column:

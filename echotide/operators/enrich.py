@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import any_of, fold, lookup
-from .grams import holding
+from ..schemas import computed
+from . import grams
 
 # Fixed value: the issue of a review that states none.
 DEFAULT_ISSUE = "No Specific Issue Stated"
@@ -55,30 +56,43 @@ def tag_issues(
     text: str = "text",
     id: str = "review_id",
 ) -> DataFrame:
-    """Add ``tags``, the array of ``(l1, l2)`` whose rule keyword the text holds, in rule order.
+    """Add ``tags``, the array of ``(l1, l2)`` whose rule keyword the text holds.
 
-    A list of rules is tested in place, one scan of the text per rule and no join. A table
-    ``(l1, l2, keyword)``, or a longer list, is matched by ``grams.holding``; ``id`` must then be
-    unique, and the tags come in sorted order.
+    A few rules are tested one by one, more by ``grams.finder``; both are constants of the plan
+    and leave each text where it stands. Only a rule table ``(l1, l2, keyword)`` too large for
+    that is joined, by ``grams.holding``, and reviews must then be unique by ``id``.
     """
-    if not isinstance(rules, DataFrame) and len(rules) <= RULES_INLINE:
-        words: dict[tuple[str, str], list[str]] = {}
-        for rule in rules:
-            words.setdefault((rule.l1, rule.l2), []).append(rule.keyword.lower())
-        hits = [
-            F.when(
-                any_of(F.contains("_folded", F.lit(w)) for w in ws),
-                F.struct(F.lit(l1).alias("l1"), F.lit(l2).alias("l2")),
-            )
-            for (l1, l2), ws in words.items()
-        ]
-        tags = F.array_compact(F.array(*hits)) if hits else _no_tags()
-        folded = df.withColumn("_folded", F.coalesce(fold(F.col(text)), F.lit("")))
-        return folded.withColumn("tags", tags).drop("_folded")
-    if not isinstance(rules, DataFrame):
-        rules = df.sparkSession.createDataFrame(rules, "l1 string, l2 string, keyword string")
+    if isinstance(rules, DataFrame):
+        listed = grams.few(rules.select("l1", "l2", "keyword"), "keyword")
+        if listed is None:
+            return _joined_tags(df, rules, text, id)
+        rules = [IssueRule(**row) for row in listed]
+    rules = [rule for rule in rules if rule.keyword]
+    folded = df.withColumn("_folded", F.coalesce(fold(F.col(text)), F.lit("")))
+    if len(rules) > RULES_INLINE:
+        rows = [rule._asdict() for rule in rules]
+        find = grams.finder(rows, "keyword", "l1: string, l2: string, keyword: string")
+        pairs = F.transform(
+            find(F.col("_folded")), lambda r: F.struct(r["l1"].alias("l1"), r["l2"].alias("l2"))
+        )
+        return computed(folded, tags=F.array_distinct(pairs)).drop("_folded")
+    words: dict[tuple[str, str], list[str]] = {}
+    for rule in rules:
+        words.setdefault((rule.l1, rule.l2), []).append(rule.keyword.lower())
+    hits = [
+        F.when(
+            any_of(F.contains("_folded", F.lit(w)) for w in ws),
+            F.struct(F.lit(l1).alias("l1"), F.lit(l2).alias("l2")),
+        )
+        for (l1, l2), ws in words.items()
+    ]
+    tags = F.array_compact(F.array(*hits)) if hits else _no_tags()
+    return computed(folded, tags=tags).drop("_folded")
+
+
+def _joined_tags(df: DataFrame, rules: DataFrame, text: str, id: str) -> DataFrame:
     found = (
-        holding(df, rules, text, id, "keyword")
+        grams.holding(df, rules, text, id, "keyword")
         .groupBy(id)
         .agg(F.sort_array(F.collect_set(F.struct("l1", "l2"))).alias("tags"))
     )

@@ -1,56 +1,83 @@
-"""Substring search of many phrases at once, as an equi-join."""
+"""Substring search of many phrases at once.
+
+Testing every phrase on every text is a product of two tables. Instead each text offers its
+distinct runs of three characters, each phrase the run it starts with, and only phrases whose run
+the text offers are tested. Shorter phrases meet runs of their own length.
+"""
 
 from __future__ import annotations
 
+import json
+import zlib
+from collections.abc import Callable, Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import bind
+
 GRAM = 3
-BROADCAST_PHRASES, BROADCAST_CHARACTERS = 100_000, 10_000_000
+PHRASES_INLINE, CHARACTERS_INLINE = 20_000, 2_000_000
+
+
+def few(phrases: DataFrame, phrase: str) -> list[dict] | None:
+    """The phrases as a list if a bounded look finds them few and short enough, else None."""
+    rows = phrases.limit(PHRASES_INLINE + 1).collect()
+    listed = [r.asDict() for r in rows if r[phrase]]
+    fits = sum(len(r[phrase]) for r in listed) <= CHARACTERS_INLINE
+    return listed if len(rows) <= PHRASES_INLINE and fits else None
+
 
+def finder(phrases: Sequence[dict], phrase: str, schema: str) -> Callable[[Column], Column]:
+    """A function from a text to the array of those ``phrases``, as structs of ``schema``, that it
+    holds, case ignored. They are a constant of the plan: texts stay where they are."""
+    size = max(1, len(phrases) // 2)
+    buckets: list[dict[str, list[dict]]] = [{} for _ in range(size)]
+    lengths = set()
+    for row in phrases:
+        folded = row[phrase].lower()
+        gram = folded[:GRAM]
+        lengths.add(len(gram))
+        known = buckets[zlib.crc32(gram.encode()) % size].setdefault(gram, [])
+        known.append({"phrase": folded, "row": row})
+    found = f"array<struct<phrase: string, row: struct<{schema}>>>"
+    index = F.from_json(F.lit(json.dumps(buckets)), f"array<map<string, {found}>>")
 
-def holding(
-    df: DataFrame, phrases: DataFrame, col: str, id: str, phrase: str
-) -> DataFrame:
-    """Pairs ``(id, *phrases)`` where the text of ``df`` holds the phrase, case ignored.
+    def meet(gram: Column) -> Column:
+        return F.try_element_at(F.get(index, F.crc32(gram) % size), gram)
 
-    Testing every phrase on every text is a product of two tables. Here each text offers its
-    distinct runs of three characters, each phrase the one it starts with, the two are joined on
-    equality, and only the pairs that meet are tested. Shorter phrases meet shorter runs.
+    def find(folded: Column) -> Column:
+        offered = F.array_distinct(F.concat(*[_runs(folded, n) for n in sorted(lengths)]))
+        met = F.flatten(F.array_compact(F.transform(offered, meet)))
+        held = F.filter(met, lambda m: F.contains(folded, m["phrase"]))
+        return F.transform(held, lambda m: m["row"])
 
-    Phrases that are counted to be few are broadcast, and the texts stay where they are. If there
-    are more, only ids and runs are shuffled to the phrases, and the pairs that meet go back to
-    the texts; a run that most texts offer is a skewed key, which adaptive execution splits.
+    none = F.array().cast(f"array<struct<{schema}>>")
+    if not phrases:
+        return lambda text: none
+    return lambda text: F.coalesce(bind(F.lower(text), find), none)
+
+
+def holding(df: DataFrame, phrases: DataFrame, col: str, id: str, phrase: str) -> DataFrame:
+    """Distinct ``(id, *phrases)`` where the text of ``df`` holds the phrase, case ignored, for
+    any number of phrases.
+
+    Only ids and runs are shuffled to the phrases, and the pairs that meet go back to the texts.
+    A run that most texts offer is a skewed key, which adaptive execution splits.
     """
     keyed = phrases.withColumn("_phrase", F.lower(phrase)).filter("_phrase != ''")
-    small = _few(phrases, phrase)
     texts = df.select(id, F.lower(F.col(col)).alias("_text"))
-    short = F.char_length("_phrase") < GRAM
-    parts = [
-        (keyed.filter(~short), _runs(GRAM)),
-        # Without short phrases this join is empty and adaptive execution drops it.
-        (keyed.filter(short), F.concat(*[_runs(n) for n in range(1, GRAM)])),
-    ]
-    met = [_meet(texts, part, runs, id, small) for part, runs in parts]
-    return met[0].unionByName(met[1]).select(id, *phrases.columns).distinct()
-
-
-def _few(phrases: DataFrame, phrase: str) -> bool:
-    """Whether a bounded look at ``phrases`` finds few enough of them to broadcast."""
-    size = F.sum(F.char_length(phrase))
-    seen = phrases.limit(BROADCAST_PHRASES + 1).agg(F.count(F.lit(1)), size).first()
-    return seen[0] <= BROADCAST_PHRASES and (seen[1] or 0) <= BROADCAST_CHARACTERS
-
-
-def _runs(n: int) -> Column:
-    return F.regexp_extract_all("_text", F.lit(rf"(?s)(?=(.{{{n}}}))"), 1)
-
-
-def _meet(texts: DataFrame, keyed: DataFrame, runs: Column, id: str, small: bool) -> DataFrame:
-    keyed = keyed.withColumn("_gram", F.substring("_phrase", 1, GRAM))
-    offered = F.explode(F.array_distinct(runs)).alias("_gram")
-    if small:
-        met = texts.select(id, "_text", offered).join(F.broadcast(keyed), "_gram")
-    else:
-        met = texts.select(id, offered).join(keyed, "_gram").join(texts, id)
-    return met.filter(F.contains("_text", "_phrase"))
+    size = F.char_length("_phrase")
+    met = []
+    for n in range(1, GRAM + 1):
+        part = keyed.filter(size >= n if n == GRAM else size == n)
+        grams = F.explode(F.array_distinct(_runs(F.col("_text"), n))).alias("_gram")
+        starts = part.withColumn("_gram", F.substring("_phrase", 1, n))
+        met.append(texts.select(id, grams).join(starts, "_gram").drop("_gram"))
+    pairs = reduce(DataFrame.unionByName, met).join(texts, id)
+    return pairs.filter(F.contains("_text", "_phrase")).select(id, *phrases.columns).distinct()
+
+
+def _runs(text: Column, n: int) -> Column:
+    return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{n}}}))"), 1)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import any_of, clean_text, fold, is_blank, lookup
 from ..schemas import computed
-from .grams import holding
+from . import grams
 
 DAYS_PER_MONTH = 30
 # Spark cuts groups before the shuffle up to spark.sql.optimizer.windowGroupLimitThreshold,
@@ -242,20 +242,27 @@ def keyword_match(
 ) -> DataFrame:
     """Rows whose text holds a keyword, with the first matching one in the given order.
 
-    A list is tested in place, as one ordered case. A table ``(keyword, rank)`` of any size is
-    matched by ``grams.holding``, which needs ``id``, the unique key of ``df``.
+    A few keywords are tested in place, as one ordered case; a table ``(keyword, rank)`` by
+    ``grams.finder``. One too large for that is joined, which needs ``id``, the key of ``df``.
     """
-    if isinstance(keywords, DataFrame):
-        hits = holding(df, keywords, col, id, "keyword")
-        first = hits.groupBy(id).agg(F.min_by("keyword", "rank").alias("keyword"))
-        return df.join(first, id)
-    if len(keywords) > KEYWORDS_INLINE:
-        raise ValueError(f"pass more than {KEYWORDS_INLINE} keywords as a table")
-    tests = lambda text: F.coalesce(
-        *[F.when(F.contains(text, F.lit(k.lower())), F.lit(k)) for k in keywords],
-        F.lit(None).cast("string"),
-    )
-    folded = df.withColumn("_folded", fold(F.col(col)))
-    return computed(folded, keyword=tests(F.col("_folded"))).filter(
-        F.col("keyword").isNotNull()
-    ).drop("_folded")
+    if not isinstance(keywords, DataFrame):
+        if len(keywords) <= KEYWORDS_INLINE:
+            first = F.coalesce(
+                *[F.when(F.contains("_folded", F.lit(k.lower())), F.lit(k)) for k in keywords],
+                F.lit(None).cast("string"),
+            )
+            return _matched(df.withColumn("_folded", fold(F.col(col))), first).drop("_folded")
+        listed = [{"rank": i, "keyword": k} for i, k in enumerate(keywords)]
+    else:
+        keywords = keywords.select(F.col("rank").cast("bigint").alias("rank"), "keyword")
+        listed = grams.few(keywords, "keyword")
+    if listed is not None:
+        find = grams.finder(listed, "keyword", "rank: bigint, keyword: string")
+        return _matched(df, F.array_min(find(F.col(col)))["keyword"])
+    hits = grams.holding(df, keywords, col, id, "keyword")
+    first = hits.groupBy(id).agg(F.min(F.struct("rank", "keyword")).alias("_first"))
+    return df.join(first, id).withColumn("keyword", F.col("_first.keyword")).drop("_first")
+
+
+def _matched(df: DataFrame, keyword: Column) -> DataFrame:
+    return computed(df, keyword=keyword).filter(F.col("keyword").isNotNull())

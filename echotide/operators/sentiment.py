@@ -3,9 +3,8 @@
 The lexicon is the caller's ``(word, valence)``, one row per word. Normalisation and thresholds
 are those of the published VADER model (Hutto and Gilbert, 2014).
 
-A lexicon given as a list is in the driver already. It becomes a constant of the plan, and a text
-is scored where it stands, without a shuffle. A lexicon given as a table may be of any size and is
-joined to the words.
+A lexicon of ordinary size becomes a constant of the plan, and a text is scored where it stands,
+without a shuffle. A larger one is joined to the words.
 """
 
 from __future__ import annotations
@@ -74,8 +73,6 @@ def lookup_in(lexicon: Lexicon) -> Callable[[Column], Column]:
 
     Spark searches a map from its front. The words are therefore hashed to many small maps.
     """
-    if len(lexicon) > WORDS_INLINE:
-        raise ValueError(f"pass more than {WORDS_INLINE} words as a table")
     size = max(1, len(lexicon) // WORDS_PER_BUCKET)
     buckets: list[dict[str, int]] = [{} for _ in range(size)]
     for word, valence in lexicon:
@@ -91,6 +88,14 @@ def normalize_score(total: Column, alpha: int = ALPHA) -> Column:
     return F.coalesce(F.round(s / F.sqrt(s * s + F.lit(alpha)), 4), F.lit(0.0))
 
 
+def _as_list(lexicon: Lexicon | DataFrame) -> Lexicon | None:
+    """The lexicon as a list if a bounded look finds it small enough, else None."""
+    if not isinstance(lexicon, DataFrame):
+        return lexicon
+    rows = lexicon.select("word", F.col("valence").cast("double")).limit(WORDS_INLINE + 1).collect()
+    return [tuple(r) for r in rows] if len(rows) <= WORDS_INLINE else None
+
+
 def lexicon_score(
     df: DataFrame,
     lexicon: Lexicon | DataFrame,
@@ -100,17 +105,30 @@ def lexicon_score(
 ) -> DataFrame:
     """Add ``sentiment_score``; texts without a known word score 0.
 
-    With a table as lexicon, reviews must be unique by ``id``: their words are joined to it, each
-    task sums its own words first, and one number per review goes back to the reviews.
+    A lexicon of up to ``WORDS_INLINE`` words becomes a constant of the plan, and each text is
+    scored where it stands. A larger table is joined, see ``joined_score``.
     """
-    if not isinstance(lexicon, DataFrame):
-        valence = lookup_in(lexicon)
-        total = F.aggregate(
-            F.transform(F.split(F.lower(text), SPACES), bare_word),
-            F.lit(0).cast("bigint"),
-            lambda total, word: total + F.coalesce(valence(word), F.lit(0).cast("bigint")),
-        )
-        return df.withColumn("sentiment_score", normalize_score(total, alpha))
+    listed = _as_list(lexicon)
+    if listed is None:
+        return joined_score(df, lexicon, text, id, alpha)
+    valence = lookup_in(listed)
+    total = F.aggregate(
+        F.transform(F.split(F.lower(text), SPACES), bare_word),
+        F.lit(0).cast("bigint"),
+        lambda total, word: total + F.coalesce(valence(word), F.lit(0).cast("bigint")),
+    )
+    return _normalized(computed(df, _total=total), alpha)
+
+
+def joined_score(
+    df: DataFrame,
+    lexicon: DataFrame,
+    text: str = "text",
+    id: str = "review_id",
+    alpha: int = ALPHA,
+) -> DataFrame:
+    """``lexicon_score`` for a lexicon of any size and reviews that are unique by ``id``: words
+    are joined, each task sums its own first, and one number per review goes back to it."""
     units = F.round(F.col("valence") * UNIT).cast("bigint")
     known = lexicon.select(F.lower("word").alias("word"), units.alias("valence"))
     pieces = df.select(id, F.explode(F.split(F.lower(text), SPACES)).alias("_piece"))
@@ -120,15 +138,17 @@ def lexicon_score(
         .groupBy(id)
         .agg(F.sum("valence").alias("_total"))
     )
-    scored = df.join(totals, id, "left")
-    return scored.withColumn("sentiment_score", normalize_score(F.col("_total"), alpha)).drop(
-        "_total"
-    )
+    return _normalized(df.join(totals, id, "left"), alpha)
+
+
+def _normalized(df: DataFrame, alpha: int) -> DataFrame:
+    score = normalize_score(F.col("_total"), alpha)
+    return df.withColumn("sentiment_score", score).drop("_total")
 
 
 def rule_score(
     df: DataFrame,
-    lexicon: Lexicon,
+    lexicon: Lexicon | DataFrame,
     text: str = "text",
     alpha: int = ALPHA,
     boosters: Mapping[str, float] = BOOSTERS,
@@ -140,7 +160,10 @@ def rule_score(
     All rules look at neighbours in the same text, so each text is scored where it stands.
     Idioms and the word "least", which the model also knows, are not looked at.
     """
-    valence = lookup_in(lexicon)
+    listed = _as_list(lexicon)
+    if listed is None:
+        raise ValueError(f"the rules take a lexicon of up to {WORDS_INLINE} words")
+    valence = lookup_in(listed)
     boost = lookup_in(list(boosters.items()))
     pieces = F.filter(F.split(F.col(text), SPACES), lambda w: w != "")
 
@@ -165,7 +188,7 @@ def rule_score(
     words = F.transform(pieces, bare_word)
     total = F.when(F.size(words) > 0, bind(words, scored)).otherwise(F.lit(0.0))
     marked = bind(total, lambda s: s + F.signum(s) * _emphasis(F.col(text)))
-    return df.withColumn("sentiment_score", normalize_score(marked * UNIT, alpha))
+    return _normalized(computed(df, _total=marked * UNIT), alpha)
 
 
 def _is_capitals(word: Column) -> Column:

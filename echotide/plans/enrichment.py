@@ -6,7 +6,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WHITESPACE
 from ..operators import enrich
-from ..operators.sentiment import lexicon_score, rule_score, sentiment_label
+from ..operators.sentiment import (
+    joined_score,
+    lexicon_score,
+    rule_score,
+    sentiment_label,
+)
 from . import fixtures as fx
 from .registry import query, table
 
@@ -113,7 +118,7 @@ def sentiment_score(spark, sf_dir):
 def sentiment_score_table(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text")
     lexicon = spark.createDataFrame(list(LEXICON), "word string, valence double")
-    return lexicon_score(docs, lexicon, id="doc_id").select(
+    return joined_score(docs, lexicon, id="doc_id").select(
         "doc_id", F.col("sentiment_score").alias("score")
     )
 

@@ -41,7 +41,7 @@ def test_all_ways_to_tag_agree(spark, reviews, kind, monkeypatch):
         rules = RULES + [IssueRule("None", "None", f"never {i}") for i in range(200)]
     elif kind.endswith("table"):
         if kind == "large table":  # too many to broadcast
-            monkeypatch.setattr(grams, "BROADCAST_PHRASES", 2)
+            monkeypatch.setattr(grams, "PHRASES_INLINE", 2)
         rules = spark.createDataFrame(RULES, "l1 string, l2 string, keyword string")
     got = tags(enrich.tag_issues(reviews, rules))
     assert {k: set(v) for k, v in got.items()} == {
@@ -91,11 +91,13 @@ def brute_score(text):
     return round(total / math.sqrt(total * total + 15), 4)
 
 
-@pytest.mark.parametrize("kind", ["list", "table"])
-def test_scores(spark, kind):
+@pytest.mark.parametrize("kind", ["list", "table", "large table"])
+def test_scores(spark, kind, monkeypatch):
     df = spark.createDataFrame(list(enumerate(SAID)), "review_id int, text string")
     lexicon = LEXICON
-    if kind == "table":
+    if kind == "large table":
+        monkeypatch.setattr(sentiment, "WORDS_INLINE", 2)
+    if kind.endswith("table"):
         lexicon = spark.createDataFrame(LEXICON, "word string, valence double")
     rows = sentiment.lexicon_score(df, lexicon).orderBy("review_id").collect()
     assert [r["sentiment_score"] for r in rows] == [brute_score(t) for t in SAID]

@@ -132,16 +132,20 @@ def test_cutoff_is_thirty_days_a_month(spark):
     assert ids(sel.since_months(df, "ts", "2026-06-01", 2)) == set(range(61))
 
 
-def test_first_keyword_wins(spark):
+@pytest.mark.parametrize("kind", ["few", "many", "table", "large table"])
+def test_first_keyword_wins(spark, kind, monkeypatch):
     df = spark.createDataFrame([(1, "Gold refund"), (2, "refund"), (3, "none"), (4, None)],
                                "id int, title string")
-    got = sel.keyword_match(df, ["refund", "gold"], "title")
+    keywords = ["refund", "gold"]
+    if kind == "many":
+        keywords += [f"never {i}" for i in range(300)]
+    if kind == "large table":
+        monkeypatch.setattr(sel.grams, "PHRASES_INLINE", 1)
+    if kind.endswith("table"):
+        keywords = spark.createDataFrame([("gold", 1), ("refund", 0)], "keyword string, rank int")
+    got = sel.keyword_match(df, keywords, "title", "id")
+    assert got.columns == ["id", "title", "keyword"]
     assert {(r["id"], r["keyword"]) for r in got.collect()} == {(1, "refund"), (2, "refund")}
-    table = spark.createDataFrame([("refund", 0), ("gold", 1)], "keyword string, rank int")
-    same = sel.keyword_match(df, table, "title", "id")
-    assert {(r["id"], r["keyword"]) for r in same.collect()} == {(1, "refund"), (2, "refund")}
-    with pytest.raises(ValueError):
-        sel.keyword_match(df, [str(i) for i in range(999)], "title")
 
 
 def test_order(skewed):
