@@ -6,11 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values: (shape of the leading part that counts, pattern it is read with).
-DATE_SHAPES = (
-    (r"^\d{4}-\d{2}-\d{2}", "yyyy-MM-dd"),
-    (r"^[A-Za-z]{3} \d{1,2}, \d{4}", "MMM d, yyyy"),
-    (r"^\d{2}/\d{2}/\d{4}", "dd/MM/yyyy"),
-)
+_ISO = (r"^\d{4}-\d{2}-\d{2}", "yyyy-MM-dd")
+_MONTH_NAME = (r"^[A-Za-z]{3} \d{1,2}, \d{4}", "MMM d, yyyy")
+_DMY = (r"^\d{2}/\d{2}/\d{4}", "dd/MM/yyyy")
+DATE_SHAPES = (_ISO, _MONTH_NAME, _DMY)
 
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 # Seconds of the years 1 to 9999, the range in which a timestamp can be written.
@@ -31,19 +30,26 @@ def parse_epoch_or_iso(c: Column) -> Column:
     return F.when(F.contains(text, F.lit("T")), iso).otherwise(epoch)
 
 
+def _read(text: Column, pattern: str, when: Column) -> Column:
+    """Read a date where ``when`` holds: a text of another shape would cost an exception."""
+    return F.try_to_date(F.when(when, text), pattern)
+
+
 def parse_date_any(c: Column, shapes=DATE_SHAPES) -> Column:
     """The date a text starts with, by the first shape that reads as a date."""
-    return F.coalesce(
-        *[
-            F.try_to_date(F.initcap(F.regexp_extract(c, shape, 0)), pattern)
-            for shape, pattern in shapes
-        ]
-    )
+
+    def read(shape: str, pattern: str) -> Column:
+        head = F.regexp_extract(c, shape, 0)
+        return _read(F.initcap(head), pattern, head != "")
+
+    return F.coalesce(*[read(*shape) for shape in shapes])
 
 
 def parse_dmy(c: Column) -> Column:
     """DD/MM/YYYY, or the YYYY-MM-DD that collectors fall back to; both strict."""
-    return F.coalesce(F.try_to_date(c, "dd/MM/yyyy"), F.try_to_date(c, "yyyy-MM-dd"))
+    return F.coalesce(
+        *[_read(c, pattern, c.rlike(f"{shape}$")) for shape, pattern in (_DMY, _ISO)]
+    )
 
 
 def format_dmy(c: Column) -> Column:
@@ -62,7 +68,8 @@ def format_iso_utc(c: Column) -> Column:
 
 def iso_wall_date(c: Column) -> Column:
     """The calendar date an ISO text shows, in its own offset and never shifted to UTC."""
-    return F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd")
+    shape, pattern = _ISO
+    return _read(F.substring(c, 1, 10), pattern, c.rlike(shape))
 
 
 def wall_dmy(c: Column) -> Column:

@@ -78,7 +78,7 @@ def type_collected(df: DataFrame) -> DataFrame:
     platform = canonical_platform(F.col("platform"))
     return (
         df.withColumn("platform", platform)
-        .withColumn("review_date", parse_dmy("date"))
+        .withColumn("review_date", parse_dmy(F.col("date")))
         .withColumn("star_rating", star_rating(F.col("score_raw"), F.col("platform")))
         .withColumn("text", first_present(F.col("text")))
         .drop("date")
