@@ -21,6 +21,7 @@ DAYS_PER_MONTH = 30
 # Spark cuts groups before the shuffle up to spark.sql.optimizer.windowGroupLimitThreshold,
 # whose default this is.
 GROUP_LIMIT = 1000
+BINS = 4096
 KEYWORDS_INLINE = 200
 
 
@@ -157,6 +158,22 @@ def binned_rank(
     return ranked.select(*df.columns, "_rank")
 
 
+def even_bins(df: DataFrame, order: Sequence[str | Column]) -> Column | None:
+    """A bin for ``binned_rank``: equal parts of the range of the leading order column. None where
+    that is no plain rising number, date or time."""
+    name = order[0]
+    kind = dict(df.dtypes).get(name) if isinstance(name, str) else None
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        x = F.unix_micros(F.col(name).cast("timestamp"))
+    elif kind in ("tinyint", "smallint", "int", "bigint", "float", "double"):
+        x = F.col(name)
+    else:
+        return None
+    x = x.cast("double")
+    low, high = df.select(F.min(x)).scalar(), df.select(F.max(x)).scalar()
+    return F.floor(F.try_divide(x - low, high - low) * BINS)
+
+
 def budget_per_group(
     df: DataFrame,
     keys: Sequence[str],
@@ -167,13 +184,16 @@ def budget_per_group(
     """The first ``n`` rows per group; a mapping gives each value of the first key its own
     ``n`` (groups it does not name are dropped).
 
-    Give ``bin`` for budgets beyond ``GROUP_LIMIT`` over large groups; see ``binned_rank``.
+    Budgets beyond ``GROUP_LIMIT`` are ranked by ``binned_rank``, in ``bin`` where given and else
+    in even parts of the leading order column.
     """
     if isinstance(n, Mapping):
         df = df.filter(F.col(keys[0]).isin(*n))
     limit = _limit(n, keys[0])
+    at_most = max(n.values(), default=0) if isinstance(n, Mapping) else n
+    if bin is None and at_most > GROUP_LIMIT:
+        bin = even_bins(df, order)
     if bin is None:
-        at_most = max(n.values(), default=0) if isinstance(n, Mapping) else n
         return first_rows(df, keys, order, at_most, limit)
     ranked = binned_rank(df, keys, bin, order, n)
     return ranked.filter(F.col("_rank") <= limit).drop("_rank")
@@ -212,6 +232,8 @@ def budget_global(
         return open_rows.select(*df.columns)
     whole = open_rows.filter(F.col("_size") <= F.col("_room"))
     edge = open_rows.filter(F.col("_size") > F.col("_room")).drop("_size")
+    if bin is None and n > GROUP_LIMIT:
+        bin = even_bins(df, order)
     if bin is None:
         edge = first_rows(edge, [group_rank], order, n, F.col("_room"))
     else:

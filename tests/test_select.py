@@ -55,6 +55,26 @@ def test_budget_does_not_depend_on_partitions(skewed, partitions):
     assert ids(got) == first(skewed_rows(), 25)
 
 
+@pytest.mark.parametrize("order", [["t", "id"], ["when", "id"], ["name", "id"]])
+def test_large_budgets_are_binned_by_themselves(skewed, order, monkeypatch):
+    monkeypatch.setattr(sel, "GROUP_LIMIT", 10)
+    df = skewed.withColumn("when", F.timestamp_seconds("t")).withColumn(
+        "name", F.lpad(F.col("t").cast("string"), 4, "0")
+    )
+    assert (sel.even_bins(df, order) is None) == (order[0] == "name")
+    got = sel.budget_per_group(df, ["g"], order, {"hot": 333, "g1": 20})
+    assert ids(got) == first(skewed_rows(), {"hot": 333, "g1": 20})
+
+
+def test_bins_of_equal_and_missing_orders(spark):
+    rows = [("a", 5, i) for i in range(20)] + [("b", None, i) for i in range(20, 25)]
+    df = spark.createDataFrame(rows, "g string, t int, id int")
+    got = sel.binned_rank(df, ["g"], sel.even_bins(df, ["t", "id"]), ["t", "id"])
+    assert {r["id"]: r["_rank"] for r in got.collect()} == {
+        i: i % 20 + 1 for i in range(25)
+    }
+
+
 def test_binned_rank_is_row_number(skewed):
     got = sel.binned_rank(skewed, ["g"], F.expr("t div 25"), ["t", "id"])
     for group, members in itertools.groupby(sorted(skewed_rows()), key=lambda r: r[0]):
