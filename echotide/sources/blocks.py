@@ -31,6 +31,7 @@ class Selector:
     class_word: str | None = None
     class_parts: tuple[str, ...] = ()
     within: Selector | None = None
+    ignore_case: bool = False  # of class parts
 
     @classmethod
     def of(cls, text: str) -> Selector:
@@ -39,7 +40,7 @@ class Selector:
         for step in text.split():
             if "[class*=" in step:
                 tag, _, part = step.partition("[class*=")
-                outer = cls(tag or None, None, (part.rstrip("]").strip("'\"").lower(),), outer)
+                outer = cls(tag or None, None, (part.rstrip("]").strip("'\""),), outer)
             else:
                 tag, _, word = step.partition(".")
                 outer = cls(tag or None, word or None, (), outer)
@@ -50,7 +51,8 @@ class Selector:
             return False
         if self.class_word and self.class_word not in node.classes.split():
             return False
-        if self.class_parts and not any(p in node.classes.lower() for p in self.class_parts):
+        classes = node.classes.lower() if self.ignore_case else node.classes
+        if self.class_parts and not any(part in classes for part in self.class_parts):
             return False
         if self.within is None:
             return True

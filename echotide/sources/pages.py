@@ -187,13 +187,14 @@ def extract_answers(
 
     Pages show no dates: ``as_of``, the day of collection, stands in for one.
     """
-    opening = r"""(?is)<div\b[^>]*class\s*=\s*["'][^"']*(?:%s)""" % "|".join(classes)
-    has_blocks = F.col("html").rlike(opening)
+    named = "(?:%s)" % "|".join(classes)
+    value = rf"""(?:"[^"]*{named}|'[^']*{named}|[^\s"'>]*{named})"""
+    has_blocks = F.col("html").rlike(rf"(?is)<div\b[^>]*\sclass\s*=\s*{value}")
     head = ["url", question_title(F.col("html")).alias("_title"), *carry]
     # Nested blocks need the tree of the page; the other pages stay in the JVM.
     nested = _blocks_of(
         pages.filter(has_blocks).select(*head, "html"),
-        [Selector(tag="div", class_parts=tuple(c.lower() for c in classes))],
+        [Selector("div", class_parts=tuple(c.lower() for c in classes), ignore_case=True)],
         per_page,
         first_only=False,
     )
@@ -263,7 +264,8 @@ def _blocks_of(
     """Blocks of each page as ``(position, _text, _author)`` next to its other columns.
 
     With ``first_only`` a page stops at the first selector that yields a long enough text, equal
-    texts counting once; otherwise all blocks of the one selector are returned.
+    texts counting once; otherwise all blocks of the one selector are returned, or long paragraphs
+    where there is no block.
     """
     kept = [f for f in pages.schema.fields if f.name != "html"]
     names = [f.name for f in kept]
@@ -289,6 +291,9 @@ def _blocks_of(
                 rows.append((text, _author_near(node) if first_only else ""))
             if rows:
                 break
+        if not rows and not first_only:  # the class stood in a comment or a script only
+            long = [p for p in select(tree, _PARAGRAPH) if len(text_of(p, "")) > MIN_PARAGRAPH]
+            rows = [(" ".join(text_of(p, " ").split()), "") for p in long[:per_page]]
         return rows
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,6 +321,7 @@ def _blocks_of(
     return pages.mapInArrow(read, schema)
 
 
+_PARAGRAPH = Selector("p")
 _AUTHORS = [Selector.of(s) for s in AUTHOR_SELECTORS]
 
 

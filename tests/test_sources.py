@@ -226,6 +226,19 @@ def test_nested_answer_blocks(spark):
     assert answers(spark, html) == [f"{P} {P} inner", f"{P} inner"]
 
 
+def test_answer_class_outside_the_tree(spark):
+    html = f'<!-- <div class="q-text">no</div> --><div data-x=1 CLASS=other>x</div><p>{P} 1<p>{P} 2'
+    assert answers(spark, html) == [f"{P} 1", f"{P} 2"]
+    unquoted = f"<div id=a class=Q-Text>{P} A</div><p>{P}</p>"
+    assert answers(spark, unquoted) == [f"{P} A"]
+    other = f'<div data-class="q-text">x</div><p>{P} 1</p>'
+    assert answers(spark, other) == [f"{P} 1"]
+
+
+def test_comment_classes_are_case_sensitive(spark):
+    assert comments(spark, f'<div class="Comment">{LONG}</div>') == []
+
+
 def test_links(spark):
     wrapped = '<a class="result__a" href="//s/?uddg=https%3A%2F%2Fwww.quora.com%2F{}&amp;rut=1">x</a>'
     html = "".join(
