@@ -50,11 +50,11 @@ def test_known_values(spark, known):
 def dim(spark):
     return spark.createDataFrame(
         [
-            ("1", D(2025, 12, 1), "negative", "ZOMATO GOLD is bad", "A"),
-            ("2", D(2025, 12, 31), "Positive", "zomato gold ok", "A"),
-            ("3", D(2025, 11, 30), "Negative", "zomato gold", "B"),
+            ("1", D(2025, 12, 1), "negative", "ACME GOLD is bad", "A"),
+            ("2", D(2025, 12, 31), "Positive", "acme gold ok", "A"),
+            ("3", D(2025, 11, 30), "Negative", "acme gold", "B"),
             ("4", D(2026, 1, 5), None, "other", "B"),
-            ("5", D(2026, 1, 6), "Neutral", "zomato gold", "C"),
+            ("5", D(2026, 1, 6), "Neutral", "acme gold", "C"),
             ("6", D(2026, 1, 7), "Negative", None, "C"),
         ],
         "review_id string, review_date date, sentiment string, text string, platform string",
@@ -69,7 +69,7 @@ def l2(spark):
     )
 
 
-PHRASE = "Zomato Gold"
+PHRASE = "Acme Gold"
 
 
 def test_floor_is_inclusive_and_case_is_ignored(dim):
@@ -159,7 +159,7 @@ def negative_mentions(dim, by, **filters):
         [F.count_distinct("review_id").alias("n")],
         by,
         override={
-            "text": F.contains(F.lower("text"), F.lit("zomato gold")),
+            "text": F.contains(F.lower("text"), F.lit("acme gold")),
             "sentiment": ms.is_negative(),
         },
         **filters,

@@ -24,8 +24,8 @@ def post(i, text, day):
 
 def test_landed_posts_to_measure(spark, tmp_path):
     posts = [
-        post("a", "zomato gold is bad, no reply, and a fee\n", "2025-12-03"),
-        post("b", "zomato gold is good", "2025-12-04"),
+        post("a", "acme gold is bad, no reply, and a fee\n", "2025-12-03"),
+        post("b", "acme gold is good", "2025-12-04"),
         post("c", "awful fee", "2026-01-04"),
         post("d", "bad", "2025-11-04"),
         post("a", "the same id again, good", "2025-12-05"),
@@ -45,10 +45,10 @@ def test_landed_posts_to_measure(spark, tmp_path):
     assert [(r["n_negative"], r["n_reviews"]) for r in months] == [(1, 2), (1, 1)]
     by = {r[0]: r[1] for r in measures.negative_reviews(l1, floor="2025-12-01").collect()}
     assert by == {"Support": 1, "Price": 2}
-    row = measures.phrase_sentiment(dim, "Zomato Gold").first()
+    row = measures.phrase_sentiment(dim, "Acme Gold").first()
     assert (row["total"], row["negative"], row["negative_pct"]) == (2, 1, 0.5)
     pct = {r["l2_specific_issue"]: r["n_rows"] for r in
-           measures.phrase_issue_pct(dim, l2, "zomato gold").collect()}
+           measures.phrase_issue_pct(dim, l2, "acme gold").collect()}
     # Facts keep a row per collected copy, so the repeated post counts with its default issue.
     assert pct == {"No Reply": 1, "Fee": 1, enrich.DEFAULT_ISSUE: 1}
     assert star.duplicate_keys(dim).count() == 0
