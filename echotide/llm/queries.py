@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, packing
+from . import ann, language, minhash, mixing, packing, quality, suffixes, toxicity
+from .common import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,3 +45,50 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return ann.search(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+def fold(parts: int):
+    """The remainder that splits learning from held-out rows."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    filters = language.fit(docs.filter(fold(4) != 2))
+    out = language.predict(docs, filters)
+    return out.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = staged(quality.statistics(documents(spark, sf_dir)), "statistics")
+    rules = quality.fit(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.judge(stats, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "rule", "kept",
+    )
+
+
+@query
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(documents(spark, sf_dir), unique_ids=True).drop("spans")
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(fold(5) != 0)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.withColumn("held_out", fold(5) == 0)
+
+
+@query
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = documents(spark, sf_dir).select("doc_id", "source", mixing.words().alias("size"))
+    return mixing.mix(sizes)
