@@ -38,9 +38,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def document_part(docs: DataFrame, parts: int):
-    """A column that deals rows evenly over ``parts`` by their id."""
-    return F.pmod(F.xxhash64(*docs.columns), F.lit(parts))
+def numbered(docs: DataFrame, name: str = "rows") -> DataFrame:
+    """``docs`` with a unique long ``row``: ``doc_id`` itself where it is unique and never null, and
+    else a number of its own, fixed by writing the rows once."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("row"))
+    doubtful = ids.groupBy("row").agg(F.count("*").alias("n")).filter("n > 1 or row is null")
+    if doubtful.isEmpty():
+        return docs.withColumn("row", F.col("doc_id").cast("long"))
+    return staged(docs.withColumn("row", F.monotonically_increasing_id()), name)
 
 
 def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -265,7 +265,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     an empty set and is linked with nothing. Documents are linked when their sets have a
     similarity of at least 0.75. ``component_id`` is the smallest id reachable, the document's own
     included, and ``kept`` marks the rows that carry it. Rows without an id stay, with a null
-    component, and are kept. Rows that share an id share a component.
+    component, and are kept. Of repeated ids each text is judged for itself. An empty table gives
+    an empty one.
     """
     signed = staged(signatures(docs), "signatures")
     known = signed.filter(F.col("doc_id").isNotNull())

@@ -9,10 +9,14 @@ numbers, so a rerun takes the same blocks.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import slices, staged
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -126,7 +130,8 @@ def mix(
     docs: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS, seed: int = SEED
 ) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken`` of every row of ``docs`` (``doc_id,
-    source, size``).
+    source, size``), with ``turns``, how often the whole document is taken, and ``parts``, the
+    ranges of words (from 0, end excluded) taken once more.
 
     ``taken`` counts the words that the mix takes of a document, repeats counted; it is never above
     ``MOST_TIMES`` its size. Each source's taken words are its target, rounded to a word, short only of what
@@ -230,8 +235,20 @@ def mix(
         - F.greatest("start", F.col("b") * block),
         F.lit(0),
     )
-    parts = spans.join(chosen, ["rank", "shard", "b"]).groupBy("row").agg(
-        F.sum(overlap).alias("part")
+    begin = F.greatest("start", F.col("b") * block) - F.col("start")
+    parts = (
+        spans.join(chosen, ["rank", "shard", "b"])
+        .select("row", overlap.alias("part"), begin.alias("begin"))
+        .filter("part > 0")
+        .groupBy("row")
+        .agg(
+            F.sum("part").alias("part"),
+            F.array_sort(
+                F.collect_list(
+                    F.struct(F.col("begin").alias("start"), (F.col("begin") + F.col("part")).alias("end"))
+                )
+            ).alias("parts"),
+        )
     )
     turns = on_line.join(line.select("rank", "shard", "turns"), ["rank", "shard"]).select(
         "row", "turns"
@@ -241,6 +258,53 @@ def mix(
         known.join(turns, "row", "left")
         .join(parts, "row", "left")
         .select(
-            "doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken")
+            "doc_id",
+            "source",
+            "size",
+            "source_size",
+            "target",
+            taken.cast("long").alias("taken"),
+            F.coalesce("turns", F.lit(0)).cast("long").alias("turns"),
+            "parts",
         )
     )
+
+
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def cut_words(text: str, parts: list[dict]) -> str:
+    """The ranges of words of a text, as written, one line for each range that does not touch the
+    one before."""
+    joined: list[list[int]] = []
+    for p in parts:
+        if joined and joined[-1][1] == p["start"]:
+            joined[-1][1] = p["end"]
+        else:
+            joined.append([p["start"], p["end"]])
+    places = [m.span() for m in _WORD.finditer(text)]
+    return "\n".join(text[places[a][0] : places[b - 1][1]] for a, b in joined)
+
+
+def taken_texts(rows: DataFrame) -> DataFrame:
+    """The rows as often as the mix takes them: ``turns`` times as they are, and once more cut to
+    ``parts``, where there are any. Columns other than ``turns`` and ``parts`` are kept."""
+    whole = rows.filter("turns > 0").withColumn(
+        "_turn", F.explode(F.array_repeat(F.lit(0), F.col("turns").cast("int")))
+    )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = [
+                cut_words(t or "", p)
+                for t, p in zip(
+                    batch.column("text").to_pylist(), batch.column("parts").to_pylist(), strict=True
+                )
+            ]
+            at = batch.schema.get_field_index("text")
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, pa.string()))
+
+    some = rows.filter(F.col("parts").isNotNull())
+    return (
+        whole.drop("_turn").unionByName(some.mapInArrow(cut, rows.schema)).drop("turns", "parts")
+    )

@@ -81,8 +81,8 @@ def repeated_lines(text: bytes) -> tuple[int, int]:
     return len(lines) - len(set(lines)), len(lines)
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the counts of ``COUNTS`` over the whole text of every row.
+def statistics(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` and the counts of ``COUNTS`` over the whole text of every row.
 
     Words are runs of characters other than space and U+0009-U+000D; a null text has none. Rows
     stand alone: null or repeated ids and repeated rows are counted row by row.
@@ -122,12 +122,12 @@ def statistics(docs: DataFrame) -> DataFrame:
                 )
             columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *columns], ["doc_id", *COUNTS]
+                [*(batch.column(c) for c in keep), *columns], [*keep, *COUNTS]
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        count, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS)
-    )
+    kinds = dict(docs.dtypes)
+    schema = [*(f"`{c}` {kinds[c]}" for c in keep), *(f"{c} long" for c in COUNTS)]
+    return docs.select(*dict.fromkeys((*keep, "text"))).mapInArrow(count, ", ".join(schema))
 
 
 def base_failed() -> Column:
@@ -236,24 +236,29 @@ def learn(rows: pd.DataFrame, bad: np.ndarray, seed: int = 10) -> list[Rule]:
     return rules
 
 
-def fit(stats: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> list[Rule]:
-    """Rules from at most about ``most`` labelled rows, chosen by a hash of their id.
+def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> list[Rule]:
+    """Rules from at most ``most`` labelled documents, those of the least hash of their id.
 
     ``labels`` has ``doc_id`` and ``quality`` (0 or 1; other rows are left out). Without labelled
     rows of both kinds there are no rules."""
-    known = stats.join(
-        labels.filter(F.col("quality").isin(0, 1)).select("doc_id", "quality").dropDuplicates(),
-        "doc_id",
-    ).filter(~base_failed())
-    n = known.count()
-    if n > most:
-        share = int(most / n * 1_000_000)
-        known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
-    rows = known.select(
-        "doc_id", "quality", *(feature(f).alias(f) for f in FEATURES)
-    ).toPandas().sort_values(["doc_id", "quality"], kind="stable")
+    chosen = (
+        labels.filter("doc_id is not null and quality in (0, 1)")
+        .select("doc_id", "quality")
+        .dropDuplicates(["doc_id"])
+        .orderBy(F.xxhash64("doc_id", F.lit(10)), "doc_id")
+        .limit(most)
+    )
+    # At most `most` rows of two numbers.
+    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = (
+        statistics(known, ("doc_id", "quality"))
+        .filter(~base_failed())
+        .select("doc_id", "quality", *(feature(f).alias(f) for f in FEATURES))
+        .toPandas()
+        .sort_values(["doc_id", "quality"], kind="stable", ignore_index=True)
+    )
     bad = rows["quality"].to_numpy() == 0
-    return learn(rows.reset_index(drop=True), bad) if bad.any() and not bad.all() else []
+    return learn(rows, bad) if bad.any() and not bad.all() else []
 
 
 def verdict(rules: list[Rule]) -> Column:

@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, language, minhash, mixing, packing, quality, suffixes, toxicity
-from .common import staged
+from . import ann, chat, language, lines, minhash, mixing, packing, quality, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,9 +61,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = staged(quality.statistics(documents(spark, sf_dir)), "statistics")
-    rules = quality.fit(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.judge(stats, rules).select(
+    docs = documents(spark, sf_dir)
+    rules = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.judge(quality.statistics(docs), rules).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "rule", "kept",
     )
@@ -77,7 +76,7 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.remove_repeats(documents(spark, sf_dir), unique_ids=True).drop("spans")
+    return suffixes.remove_repeats(documents(spark, sf_dir)).drop("spans")
 
 
 @query
@@ -92,3 +91,19 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = documents(spark, sf_dir).select("doc_id", "source", mixing.words().alias("size"))
     return mixing.mix(sizes)
+
+
+@query
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+ORACLES["op1_chat_formatting"] = chat.SQL
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(documents(spark, sf_dir))
+    return out.select(
+        "doc_id", "n_lines", "n_copies", "n_near", F.sha2("text", 256).alias("text_sha256")
+    )

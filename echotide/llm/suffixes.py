@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, prefix_hashes, slices, staged
+from .common import mix, numbered, prefix_hashes, slices, staged
 
 LENGTH = 400
 WINDOW = 96
@@ -252,22 +252,15 @@ def merge(ranges: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, window: int = WINDOW, unique_ids: bool = False
-) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW) -> DataFrame:
     """Every row's ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans``.
 
     Texts are UTF-8 bytes, a null text is empty. Each byte covered by a ``length``-byte string that
     starts at another place too, in this text or another, is removed; strings are judged on the
-    input. Rows count one by one, also with null or repeated ids; a caller who knows that ids are
-    unique and never null says so, which saves a copy of the texts with row numbers. An empty table
-    gives an empty one.
+    input. Rows count one by one, also with null or repeated ids. An empty table gives an empty
+    one.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    if unique_ids:
-        rows = rows.withColumn("row", F.col("doc_id"))
-    else:
-        rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "texts")
+    rows = numbered(docs.select(F.col("doc_id").cast("long"), "text"), "texts")
     found = repeated_starts(rows, length, window).groupBy("row").agg(
         F.collect_list(F.struct("low", "high")).alias("ranges")
     )
