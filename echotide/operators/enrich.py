@@ -7,10 +7,11 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import any_of, fold, lookup
+from ..functions.text import fold, lookup
 from ..schemas import computed
-from . import grams
+from .phrases import finder
 
 # Fixed value: the issue of a review that states none.
 DEFAULT_ISSUE = "No Specific Issue Stated"
@@ -22,8 +23,6 @@ DEFAULT_PRODUCT = "Zomato"
 # Collected platform name to the documented one.
 PLATFORM_NAMES = {"Google Play": "Google Play Store"}
 
-RULES_INLINE = 100
-
 
 class IssueRule(NamedTuple):
     """A review whose text holds ``keyword`` has the issue ``l2`` of the pillar ``l1``."""
@@ -50,57 +49,24 @@ def canonical_platform(c: Column, mapping: Mapping[str, str] = PLATFORM_NAMES) -
     return lookup(c, mapping, c)
 
 
+_TAG = T.StructType([T.StructField("l1", T.StringType()), T.StructField("l2", T.StringType())])
+
+
 def tag_issues(
-    df: DataFrame,
-    rules: Sequence[IssueRule] | DataFrame,
-    text: str = "text",
-    id: str = "review_id",
+    df: DataFrame, rules: Sequence[IssueRule] | DataFrame, text: str = "text"
 ) -> DataFrame:
-    """Add ``tags``, the array of ``(l1, l2)`` whose rule keyword the text holds.
+    """Add ``tags``, the array of ``(l1, l2)`` whose rule keyword the text holds, each once, sorted.
 
-    A few rules are tested one by one, more by ``grams.finder``; both are constants of the plan
-    and leave each text where it stands. Only a rule table ``(l1, l2, keyword)`` too large for
-    that is joined, by ``grams.holding``, and reviews must then be unique by ``id``.
+    ``rules`` is a list or a table ``(l1, l2, keyword)`` of any size; empty keywords hold nothing.
+    Each text is tagged where it stands, whatever its id: rows with repeated or null ids each get
+    the tags of their own text.
     """
-    if isinstance(rules, DataFrame):
-        listed = grams.few(rules.select("l1", "l2", "keyword"), "keyword")
-        if listed is None:
-            return _joined_tags(df, rules, text, id)
-        rules = [IssueRule(**row) for row in listed]
-    rules = [rule for rule in rules if rule.keyword]
-    folded = df.withColumn("_folded", F.coalesce(fold(F.col(text)), F.lit("")))
-    if len(rules) > RULES_INLINE:
-        rows = [rule._asdict() for rule in rules]
-        find = grams.finder(rows, "keyword", "l1: string, l2: string, keyword: string")
-        pairs = F.transform(
-            find(F.col("_folded")), lambda r: F.struct(r["l1"].alias("l1"), r["l2"].alias("l2"))
+    if not isinstance(rules, DataFrame):
+        rules = df.sparkSession.createDataFrame(
+            list(rules), "l1 string, l2 string, keyword string"
         )
-        return computed(folded, tags=F.array_distinct(pairs)).drop("_folded")
-    words: dict[tuple[str, str], list[str]] = {}
-    for rule in rules:
-        words.setdefault((rule.l1, rule.l2), []).append(rule.keyword.lower())
-    hits = [
-        F.when(
-            any_of(F.contains("_folded", F.lit(w)) for w in ws),
-            F.struct(F.lit(l1).alias("l1"), F.lit(l2).alias("l2")),
-        )
-        for (l1, l2), ws in words.items()
-    ]
-    tags = F.array_compact(F.array(*hits)) if hits else _no_tags()
-    return computed(folded, tags=tags).drop("_folded")
-
-
-def _joined_tags(df: DataFrame, rules: DataFrame, text: str, id: str) -> DataFrame:
-    found = (
-        grams.holding(df, rules, text, id, "keyword")
-        .groupBy(id)
-        .agg(F.sort_array(F.collect_set(F.struct("l1", "l2"))).alias("tags"))
-    )
-    return df.join(found, id, "left").withColumn("tags", F.coalesce("tags", _no_tags()))
-
-
-def _no_tags() -> Column:
-    return F.array().cast("array<struct<l1:string,l2:string>>")
+    find = finder(rules.select("l1", "l2", "keyword"), "keyword", ["l1", "l2"], _TAG)
+    return computed(df, tags=find(F.col(text)))
 
 
 def with_default_issue(df: DataFrame, label: str = DEFAULT_ISSUE) -> DataFrame:

@@ -90,24 +90,40 @@ def negative_reviews_with_total(
     return with_totals(slim, by, [F.count_distinct("review_id").alias("negative_reviews")])
 
 
-def negative_share(fact: DataFrame, share_of: str = "reviews", floor=None) -> DataFrame:
-    """Each category's share of the negative reviews.
+def negative_share(
+    fact: DataFrame, share_of: str = "reviews", floor=None, by: Sequence[str] = ()
+) -> DataFrame:
+    """Each category's share of the negative reviews, within each slice of ``by``.
 
     Of all negative reviews (shares may exceed one in total, since a review can have several
     categories), or with ``share_of="categories"`` of the sum over categories.
     """
-    counted = negative_reviews_with_total(fact, floor=floor)
-    alone = Window.partitionBy(F.lit(0))  # one row per category
-    rows = F.col("level") == 0
-    whole = F.max(F.when(~rows, F.col("negative_reviews"))).over(alone)
-    if share_of == "categories":
-        whole = F.sum(F.when(rows, F.col("negative_reviews"))).over(alone)
-    elif share_of != "reviews":
+    if share_of not in ("reviews", "categories"):
         raise ValueError("share_of is 'reviews' or 'categories'")
-    return (
-        counted.withColumn("share", safe_divide(F.col("negative_reviews"), whole))
-        .filter(rows)
-        .drop("level")
+    slices = [*by, "l1_category"]
+    counted = negative_reviews(fact, slices, floor)
+    # One row per slice and category.
+    alone = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    if share_of == "categories":
+        counted = counted.withColumn("_whole", F.sum("negative_reviews").over(alone))
+    else:
+        rows = fact.filter(is_negative())
+        if floor is not None:
+            rows = date_floor(rows, "review_date", floor)
+        whole = rows.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(
+            F.count_distinct("review_id").alias("_whole")
+        )
+        if by:
+            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+            counted = counted.join(whole, same).drop(*[f"_{c}" for c in by])
+        else:
+            counted = counted.withColumn("_one", F.lit(1)).join(
+                whole.withColumn("_one", F.lit(1)), "_one"
+            )
+    return counted.select(
+        *slices,
+        "negative_reviews",
+        safe_divide(F.col("negative_reviews"), F.col("_whole")).alias("share"),
     )
 
 

@@ -1,8 +1,8 @@
 """Filters, duplicates, budgets and order.
 
 Every per-group operator here is written so that no group meets in one task unreduced: a
-``row_number`` compared with a constant lets Spark cut each group before the shuffle, and where
-the number is too large for that, groups are split by a bin of their order.
+``row_number`` compared with a constant lets Spark cut each group before the shuffle, and larger
+cuts are made in hashed parts first.
 """
 
 from __future__ import annotations
@@ -12,17 +12,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import any_of, clean_text, fold, is_blank, lookup
+from ..functions.text import any_of, clean_text, is_blank
 from ..schemas import computed
-from . import grams
+from .phrases import finder
 
 DAYS_PER_MONTH = 30
-# Spark cuts groups before the shuffle up to spark.sql.optimizer.windowGroupLimitThreshold,
-# whose default this is.
-GROUP_LIMIT = 1000
-BINS = 4096
-KEYWORDS_INLINE = 200
 
 
 def _columns(columns: Sequence[str | Column]) -> list[Column]:
@@ -81,66 +77,65 @@ def dedup_keep_first(
     return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
-def dedup_text(df: DataFrame, text: str, order: Sequence[str | Column]) -> DataFrame:
-    """The first row per cleaned text. A digest leads the key, so long texts are compared only
-    when their digests agree."""
-    keyed = computed(df, _text=clean_text(F.col(text))).withColumn("_digest", F.xxhash64("_text"))
-    first = dedup_keep_first(
-        keyed.filter(F.col("_text").isNotNull()), ["_digest", "_text"], order, drop_null_keys=False
-    )
-    return first.drop("_digest", "_text")
+def dedup_text(
+    df: DataFrame, text: str, order: Sequence[str | Column], keep_null: bool = True
+) -> DataFrame:
+    """The first row per cleaned text. Rows without a text are no copies of each other and stay,
+    unless ``keep_null`` is false. Texts are told apart by a digest, so that they are not sorted."""
+    keyed = df.withColumn("_digest", F.sha2(clean_text(F.col(text)), 256))
+    known = keyed.filter(F.col("_digest").isNotNull())
+    first = dedup_keep_first(known, ["_digest"], order)
+    if keep_null:
+        first = first.unionByName(keyed.filter(F.col("_digest").isNull()))
+    return first.drop("_digest")
 
 
 # Budgets
 
 
+PARTS = (64, 8)
+
+Budget = int | Mapping[str, int] | DataFrame
+
+
 def first_rows(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str | Column],
     at_most: int,
     room: Column | None = None,
-    spread: int = 64,
 ) -> DataFrame:
     """The first ``at_most`` rows per group, or the first ``room`` of them where given.
 
-    Groups are first cut in ``spread`` parts by a hash of the order, then as a whole, so the last
-    task sees at most ``spread * at_most`` rows of a group of any size. ``order`` must be total.
+    Groups are cut in 64 parts by a hash of the row, then in 8, then as a whole, so a task sees at
+    most 8 times ``at_most`` rows of a group of any size once the first cut is made, whatever the
+    order: it may carry directions, hold outliers and repeat. ``order`` must be total.
     """
     by = _columns(order)
-    parts = Window.partitionBy(*keys, "_part").orderBy(*by)
-    whole = Window.partitionBy(*keys).orderBy(*by)
-    cut = (
-        df.withColumn("_part", F.pmod(F.xxhash64(*_plain(order)), F.lit(spread)))
-        .withColumn("_n", F.row_number().over(parts))
-        .filter(F.col("_n") <= at_most)
-        .withColumn("_n", F.row_number().over(whole))
-        .filter(F.col("_n") <= at_most)
-    )
+    cut = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(PARTS[0])))
+    for parts in (*PARTS, 1):
+        w = Window.partitionBy(*keys, "_part").orderBy(*by)
+        cut = (
+            cut.withColumn("_part", F.col("_part") % parts)
+            .withColumn("_n", F.row_number().over(w))
+            .filter(F.col("_n") <= at_most)
+        )
     if room is not None:
         cut = cut.filter(F.col("_n") <= room)
     return cut.drop("_part", "_n")
 
 
-def _plain(order: Sequence[str | Column]) -> list[Column]:
-    """Order columns for hashing. A column that carries a direction cannot be hashed, so the
-    hash takes the named ones; any choice keeps the result exact."""
-    named = [F.col(c) for c in order if isinstance(c, str)]
-    return named or [F.monotonically_increasing_id()]
-
-
 def binned_rank(
     df: DataFrame,
     keys: Sequence[str],
     bin: Column,
     order: Sequence[str | Column],
-    up_to: int | Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Exact ``row_number`` per group as ``_rank``, with no group in one task.
 
     ``bin`` must rise with the order (an hour of the time, a range of the id). Rows are counted
     per bin, the counts summed over the bins before, and only rows of one bin are ranked
-    together. With ``up_to``, bins that start beyond it are left out before any row is moved.
+    together.
     """
     binned = df.withColumn("_bin", bin)
     named = [F.col(k).alias(f"_key{i}") for i, k in enumerate((*keys, "_bin"))]
@@ -148,8 +143,6 @@ def binned_rank(
     *groups, at = (f"_key{i}" for i in range(len(named)))
     before = Window.partitionBy(*groups).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_bin_size").over(before), F.lit(0)))
-    if up_to is not None:
-        starts = starts.filter(F.col("_start") < _limit(up_to, "_key0"))
     on = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate((*keys, "_bin"))]
     within = Window.partitionBy(*keys, "_bin").orderBy(*_columns(order))
     ranked = binned.join(starts, on).withColumn(
@@ -158,52 +151,23 @@ def binned_rank(
     return ranked.select(*df.columns, "_rank")
 
 
-def even_bins(df: DataFrame, order: Sequence[str | Column]) -> Column | None:
-    """A bin for ``binned_rank``: equal parts of the range of the leading order column. None where
-    that is no plain rising number, date or time."""
-    name = order[0]
-    kind = dict(df.dtypes).get(name) if isinstance(name, str) else None
-    if kind in ("date", "timestamp", "timestamp_ntz"):
-        x = F.unix_micros(F.col(name).cast("timestamp"))
-    elif kind in ("tinyint", "smallint", "int", "bigint", "float", "double"):
-        x = F.col(name)
-    else:
-        return None
-    x = x.cast("double")
-    low, high = df.select(F.min(x)).scalar(), df.select(F.max(x)).scalar()
-    return F.floor(F.try_divide(x - low, high - low) * BINS)
-
-
 def budget_per_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str | Column],
-    n: int | Mapping[str, int],
-    bin: Column | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: Budget
 ) -> DataFrame:
-    """The first ``n`` rows per group; a mapping gives each value of the first key its own
-    ``n`` (groups it does not name are dropped).
-
-    Budgets beyond ``GROUP_LIMIT`` are ranked by ``binned_rank``, in ``bin`` where given and else
-    in even parts of the leading order column.
-    """
+    """The first ``n`` rows per group. A mapping gives each value of the first key its own ``n``, a
+    table ``(*keys, target)`` each group; groups that these do not name are dropped."""
+    if isinstance(n, int):
+        return first_rows(df, keys, order, n)
     if isinstance(n, Mapping):
-        df = df.filter(F.col(keys[0]).isin(*n))
-    limit = _limit(n, keys[0])
-    at_most = max(n.values(), default=0) if isinstance(n, Mapping) else n
-    if bin is None and at_most > GROUP_LIMIT:
-        bin = even_bins(df, order)
-    if bin is None:
-        return first_rows(df, keys, order, at_most, limit)
-    ranked = binned_rank(df, keys, bin, order, n)
-    return ranked.filter(F.col("_rank") <= limit).drop("_rank")
-
-
-def _limit(n: int | Mapping[str, int], key: str) -> Column:
-    """The budget of a row's group: the same for all, or looked up by the value of ``key``."""
-    if not isinstance(n, Mapping):
-        return F.lit(n)
-    return lookup(F.col(key), n, F.lit(0))
+        kind = dict(df.dtypes)[keys[0]]
+        rows = [(k, v) for k, v in n.items()]
+        n = df.sparkSession.createDataFrame(rows, f"`{keys[0]}` {kind}, target long")
+        on = [keys[0]]
+    else:
+        on = list(keys)
+    targets = n.select(*on, F.col("target").cast("long").alias("_room")).filter("_room > 0")
+    most = targets.agg(F.max("_room")).first()[0] or 0
+    return first_rows(df.join(targets, on), keys, order, most, F.col("_room")).select(*df.columns)
 
 
 def budget_global(
@@ -212,7 +176,6 @@ def budget_global(
     order: Sequence[str | Column],
     n: int,
     overshoot: bool = False,
-    bin: Column | None = None,
 ) -> DataFrame:
     """The first ``n`` rows when groups are taken one after the other by ``group_rank``.
 
@@ -232,14 +195,7 @@ def budget_global(
         return open_rows.select(*df.columns)
     whole = open_rows.filter(F.col("_size") <= F.col("_room"))
     edge = open_rows.filter(F.col("_size") > F.col("_room")).drop("_size")
-    if bin is None and n > GROUP_LIMIT:
-        bin = even_bins(df, order)
-    if bin is None:
-        edge = first_rows(edge, [group_rank], order, n, F.col("_room"))
-    else:
-        edge = binned_rank(edge, [group_rank], bin, order).filter(
-            F.col("_rank") <= F.col("_room")
-        )
+    edge = first_rows(edge, [group_rank], order, n, F.col("_room"))
     return whole.select(*df.columns).unionByName(edge.select(*df.columns))
 
 
@@ -259,32 +215,20 @@ def top_n(df: DataFrame, by: str, tie: str, n: int) -> DataFrame:
 # Search
 
 
-def keyword_match(
-    df: DataFrame, keywords: Sequence[str] | DataFrame, col: str, id: str | None = None
-) -> DataFrame:
-    """Rows whose text holds a keyword, with the first matching one in the given order.
+_RANKED = T.StructType([T.StructField("rank", T.LongType()), T.StructField("keyword", T.StringType())])
+
 
-    A few keywords are tested in place, as one ordered case; a table ``(keyword, rank)`` by
-    ``grams.finder``. One too large for that is joined, which needs ``id``, the key of ``df``.
+def keyword_match(df: DataFrame, keywords: Sequence[str] | DataFrame, col: str) -> DataFrame:
+    """Rows whose text holds a keyword, case ignored, with the matching one of the least rank.
+
+    ``keywords`` is a list in order or a table ``(keyword, rank)`` of any size. Equal ranks go by
+    the keyword. Each text is searched where it stands.
     """
     if not isinstance(keywords, DataFrame):
-        if len(keywords) <= KEYWORDS_INLINE:
-            first = F.coalesce(
-                *[F.when(F.contains("_folded", F.lit(k.lower())), F.lit(k)) for k in keywords],
-                F.lit(None).cast("string"),
-            )
-            return _matched(df.withColumn("_folded", fold(F.col(col))), first).drop("_folded")
-        listed = [{"rank": i, "keyword": k} for i, k in enumerate(keywords)]
-    else:
-        keywords = keywords.select(F.col("rank").cast("bigint").alias("rank"), "keyword")
-        listed = grams.few(keywords, "keyword")
-    if listed is not None:
-        find = grams.finder(listed, "keyword", "rank: bigint, keyword: string")
-        return _matched(df, F.array_min(find(F.col(col)))["keyword"])
-    hits = grams.holding(df, keywords, col, id, "keyword")
-    first = hits.groupBy(id).agg(F.min(F.struct("rank", "keyword")).alias("_first"))
-    return df.join(first, id).withColumn("keyword", F.col("_first.keyword")).drop("_first")
-
-
-def _matched(df: DataFrame, keyword: Column) -> DataFrame:
-    return computed(df, keyword=keyword).filter(F.col("keyword").isNotNull())
+        keywords = df.sparkSession.createDataFrame(
+            list(enumerate(keywords)), "rank long, keyword string"
+        )
+    table = keywords.select(F.col("rank").cast("long").alias("rank"), "keyword")
+    find = finder(table, "keyword", ["rank", "keyword"], _RANKED)
+    first = F.get(find(F.col(col)), F.lit(0))["keyword"]
+    return computed(df, keyword=first).filter(F.col("keyword").isNotNull())

@@ -3,20 +3,18 @@
 The lexicon is the caller's ``(word, valence)``, one row per word. Normalisation and thresholds
 are those of the published VADER model (Hutto and Gilbert, 2014).
 
-A lexicon of ordinary size becomes a constant of the plan, and a text is scored where it stands,
-without a shuffle. A larger one is joined to the words.
+Words are joined with the lexicon, whatever its size; Spark decides how. Texts are known by their
+hash, so ids may repeat or be missing.
 """
 
 from __future__ import annotations
 
-import json
-import zlib
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import SPACES, any_of, bind
+from ..functions.text import SPACES, any_of
 from ..schemas import computed
 
 # Fixed values of the published model.
@@ -55,8 +53,6 @@ NEGATIONS = tuple(
 )
 
 UNIT = 1_000_000  # valences are summed as whole millionths: exact in any order of rows
-WORDS_INLINE = 50_000
-WORDS_PER_BUCKET = 4
 
 Lexicon = Sequence[tuple[str, float]]
 
@@ -68,82 +64,62 @@ def bare_word(piece: Column) -> Column:
     return F.when(F.char_length(bare) <= 2, piece).otherwise(bare)
 
 
-def lookup_in(lexicon: Lexicon) -> Callable[[Column], Column]:
-    """A function from a lower-case word to its valence in units, null for unknown words.
-
-    Spark searches a map from its front. The words are therefore hashed to many small maps.
-    """
-    size = max(1, len(lexicon) // WORDS_PER_BUCKET)
-    buckets: list[dict[str, int]] = [{} for _ in range(size)]
-    for word, valence in lexicon:
-        folded = word.lower()
-        buckets[zlib.crc32(folded.encode()) % size][folded] = round(valence * UNIT)
-    index = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,bigint>>")
-    return lambda word: F.try_element_at(F.get(index, F.crc32(word) % size), word)
-
-
 def normalize_score(total: Column, alpha: int = ALPHA) -> Column:
     """A sum of valences in units squeezed into -1 to 1, to four places."""
     s = total / F.lit(float(UNIT))
     return F.coalesce(F.round(s / F.sqrt(s * s + F.lit(alpha)), 4), F.lit(0.0))
 
 
-def _as_list(lexicon: Lexicon | DataFrame) -> Lexicon | None:
-    """The lexicon as a list if a bounded look finds it small enough, else None."""
+def unique_words(lexicon: Lexicon | DataFrame, df: DataFrame) -> DataFrame:
+    """``word, valence``: one row per lower-cased word, valences in units. Of words that differ in
+    case only, the first by spelling counts, and of equal ones the least valence."""
     if not isinstance(lexicon, DataFrame):
-        return lexicon
-    rows = lexicon.select("word", F.col("valence").cast("double")).limit(WORDS_INLINE + 1).collect()
-    return [tuple(r) for r in rows] if len(rows) <= WORDS_INLINE else None
+        lexicon = df.sparkSession.createDataFrame(list(lexicon), "word string, valence double")
+    units = F.round(F.col("valence") * UNIT).cast("bigint")
+    return (
+        lexicon.filter("word is not null and valence is not null")
+        .groupBy(F.lower("word").alias("low"))
+        .agg(F.min(F.struct("word", units.alias("valence"))).alias("first"))
+        .select(F.col("low").alias("word"), F.col("first.valence").alias("valence"))
+    )
+
+
+def _text_key(text: str) -> list[Column]:
+    """What a text is known by in joins: two hashes. The score depends on the text alone, so it
+    needs no id, and repeated texts share one."""
+    return [F.xxhash64(text).alias("_a"), F.xxhash64(F.lit(1), text).alias("_b")]
 
 
 def lexicon_score(
-    df: DataFrame,
-    lexicon: Lexicon | DataFrame,
-    text: str = "text",
-    id: str = "review_id",
-    alpha: int = ALPHA,
+    df: DataFrame, lexicon: Lexicon | DataFrame, text: str = "text", alpha: int = ALPHA
 ) -> DataFrame:
-    """Add ``sentiment_score``; texts without a known word score 0.
+    """Add ``sentiment_score``; null texts and those without a known word score 0.
 
-    A lexicon of up to ``WORDS_INLINE`` words becomes a constant of the plan, and each text is
-    scored where it stands. A larger table is joined, see ``joined_score``.
+    ``lexicon`` is a list or a table of any size, see ``unique_words``. Words are joined with it,
+    each task sums its own first, and one number per text goes back. Ids play no part.
     """
-    listed = _as_list(lexicon)
-    if listed is None:
-        return joined_score(df, lexicon, text, id, alpha)
-    valence = lookup_in(listed)
-    total = F.aggregate(
-        F.transform(F.split(F.lower(text), SPACES), bare_word),
-        F.lit(0).cast("bigint"),
-        lambda total, word: total + F.coalesce(valence(word), F.lit(0).cast("bigint")),
+    known = unique_words(lexicon, df)
+    pieces = df.filter(F.col(text).isNotNull()).select(
+        *_text_key(text), F.posexplode(F.split(F.lower(text), SPACES)).alias("_at", "_piece")
     )
-    return _normalized(computed(df, _total=total), alpha)
-
-
-def joined_score(
-    df: DataFrame,
-    lexicon: DataFrame,
-    text: str = "text",
-    id: str = "review_id",
-    alpha: int = ALPHA,
-) -> DataFrame:
-    """``lexicon_score`` for a lexicon of any size and reviews that are unique by ``id``: words
-    are joined, each task sums its own first, and one number per review goes back to it."""
-    units = F.round(F.col("valence") * UNIT).cast("bigint")
-    known = lexicon.select(F.lower("word").alias("word"), units.alias("valence"))
-    pieces = df.select(id, F.explode(F.split(F.lower(text), SPACES)).alias("_piece"))
+    words = computed(pieces, word=bare_word(F.col("_piece")))
+    # A repeated text is summed as often as it occurs: its first pieces count how often.
+    copies = F.count_if(F.col("_at") == 0)
     totals = (
-        computed(pieces, word=bare_word(F.col("_piece")))
-        .join(known, "word")
-        .groupBy(id)
-        .agg(F.sum("valence").alias("_total"))
+        words.join(known, "word", "left")
+        .groupBy("_a", "_b")
+        .agg((F.coalesce(F.sum("valence"), F.lit(0)) / copies).alias("_total"))
+        .filter("_total != 0")
     )
-    return _normalized(df.join(totals, id, "left"), alpha)
+    return _scored(df, totals, text, F.col("_total"), alpha)
 
 
-def _normalized(df: DataFrame, alpha: int) -> DataFrame:
-    score = normalize_score(F.col("_total"), alpha)
-    return df.withColumn("sentiment_score", score).drop("_total")
+def _scored(
+    df: DataFrame, totals: DataFrame, text: str, total: Column, alpha: int
+) -> DataFrame:
+    keyed = df.select("*", *_text_key(text)).join(totals, ["_a", "_b"], "left")
+    score = normalize_score(F.coalesce(total, F.lit(0.0)), alpha)
+    return keyed.withColumn("sentiment_score", score).drop("_a", "_b", *totals.columns[2:])
 
 
 def rule_score(
@@ -157,38 +133,60 @@ def rule_score(
     """Add ``sentiment_score`` with the model's rules for context: boosters and negations up to
     three words before, capitals among other case, what follows a "but", and ``!`` and ``?``.
 
-    All rules look at neighbours in the same text, so each text is scored where it stands.
-    Idioms and the word "least", which the model also knows, are not looked at.
+    Each word carries the three before it; only words of the lexicon, of any size, go on to look at
+    them. Idioms and the word "least", which the model also knows, are not looked at.
     """
-    listed = _as_list(lexicon)
-    if listed is None:
-        raise ValueError(f"the rules take a lexicon of up to {WORDS_INLINE} words")
-    valence = lookup_in(listed)
-    boost = lookup_in(list(boosters.items()))
-    pieces = F.filter(F.split(F.col(text), SPACES), lambda w: w != "")
-
-    def scored(words: Column) -> Column:
-        lows = F.transform(words, F.lower)
-        return bind(
-            F.struct(
-                words.alias("words"),
-                lows.alias("lows"),
-                F.transform(lows, valence).alias("known"),
-                F.transform(lows, boost).alias("boosts"),
-                _mixed_case(words).alias("mixed"),
-                F.array_position(lows, "but").alias("but"),
-            ),
-            lambda t: F.aggregate(
-                F.sequence(F.lit(0), F.size(words) - 1),
-                F.lit(0.0),
-                lambda total, i: total + _in_context(t, i, negations),
-            ),
+    known = unique_words(lexicon, df)
+    boost = unique_words(list(boosters.items()), df).withColumnRenamed("valence", "boost")
+    split = F.filter(F.split(F.col(text), SPACES), lambda w: w != "")
+    texts = computed(
+        df.filter(F.col(text).isNotNull()).select(*_text_key(text), split.alias("_pieces")),
+        _words=F.transform("_pieces", bare_word),
+    )
+    texts = computed(
+        texts,
+        _mixed=_mixed_case(F.col("_words")),
+        _but=F.array_position(F.transform("_words", F.lower), "but"),
+    )
+    before = [
+        F.when(F.col("_at") >= back, F.get("_words", F.col("_at") - back)).alias(f"w{back}")
+        for back in (1, 2, 3)
+    ]
+    words = texts.select(
+        "_a", "_b", "_mixed", "_but", "_words", F.posexplode("_words").alias("_at", "w0")
+    ).select("_a", "_b", "_mixed", "_but", "_at", "w0", *before)
+    rows = words.withColumn("word", F.lower("w0")).join(known, "word").join(
+        boost.select("word"), "word", "left_anti"
+    )
+    for back in (1, 2, 3):
+        own = F.lower(f"w{back}")
+        rows = (
+            rows.withColumn("word", own)
+            .join(known.select("word", F.lit(True).alias(f"k{back}")), "word", "left")
+            .join(boost.withColumnRenamed("boost", f"b{back}"), "word", "left")
         )
-
-    words = F.transform(pieces, bare_word)
-    total = F.when(F.size(words) > 0, bind(words, scored)).otherwise(F.lit(0.0))
-    marked = bind(total, lambda s: s + F.signum(s) * _emphasis(F.col(text)))
-    return _normalized(computed(df, _total=marked * UNIT), alpha)
+    value = F.col("valence") / F.lit(float(UNIT))
+    rows = rows.withColumn("v", value + _capitals_of("w0", value))
+    for back in (1, 2, 3):
+        rows = rows.withColumn("v", _step(back, negations))
+    side = (
+        F.when((F.col("_but") == 0) | (F.col("_at") + 1 == F.col("_but")), F.lit(1.0))
+        .when(F.col("_at") + 1 < F.col("_but"), F.lit(BEFORE_BUT))
+        .otherwise(F.lit(AFTER_BUT))
+    )
+    # Exact in any order of rows: decimals. A repeated text counts once per occurrence.
+    sums = rows.groupBy("_a", "_b").agg(
+        F.sum((F.col("v") * side).cast("decimal(28,15)")).alias("_sum")
+    )
+    copies = df.filter(F.col(text).isNotNull()).groupBy(*_text_key(text)).agg(
+        F.count("*").alias("_copies")
+    )
+    totals = sums.join(copies, ["_a", "_b"]).select(
+        "_a", "_b", (F.col("_sum").cast("double") / F.col("_copies")).alias("_total")
+    )
+    total = F.coalesce("_total", F.lit(0.0))
+    marked = (total + F.signum(total) * _emphasis(F.col(text))) * UNIT
+    return _scored(df, totals, text, marked, alpha)
 
 
 def _is_capitals(word: Column) -> Column:
@@ -200,54 +198,31 @@ def _mixed_case(words: Column) -> Column:
     return (capitals > 0) & (capitals < F.size(words))
 
 
-def _in_context(t: Column, i: Column, negations: Sequence[str]) -> Column:
-    """The valence of word ``i`` of text ``t`` under the words before it; 0 if it has none."""
-
-    def low(back: int) -> Column:
-        return F.coalesce(F.get(t["lows"], i - back), F.lit(""))
-
-    def towards(v: Column, amount: float) -> Column:
-        return F.when(v > 0, F.lit(amount)).otherwise(F.lit(-amount))
+def _capitals_of(word: str, value: Column) -> Column:
+    """What capitals among other case add to a value, in its direction."""
+    amount = F.when(value > 0, F.lit(CAPITALS)).otherwise(F.lit(-CAPITALS))
+    return F.when(F.col("_mixed") & _is_capitals(F.col(word)), amount).otherwise(F.lit(0.0))
 
-    def negated(back: int) -> Column:
-        return low(back).isin(*negations) | F.contains(low(back), F.lit("n't"))
 
-    def among(back: int, *words: str) -> Column:
-        return any_of(low(b).isin(*words) for b in range(1, back))
+def _step(back: int, negations: Sequence[str]) -> Column:
+    """The value ``v`` under the word ``back`` places before. A word of the lexicon, and the front
+    of the text, change nothing."""
+    v, low = F.col("v"), F.lower(f"w{back}")
 
-    def step(back: int) -> Callable[[Column], Column]:
-        return lambda v: stepped(v, back)
+    def nearer(*words: str) -> Column:
+        return F.coalesce(any_of(F.lower(f"w{b}").isin(*words) for b in range(1, back)), F.lit(False))
 
-    def stepped(v: Column, back: int) -> Column:
-        base = F.get(t["boosts"], i - back) / F.lit(float(UNIT))
-        capitals = t["mixed"] & _is_capitals(F.get(t["words"], i - back))
-        signed = F.when(v < 0, -base).otherwise(base) + F.when(
-            capitals, towards(v, CAPITALS)
-        ).otherwise(F.lit(0.0))
-        boosted = v + F.coalesce(signed * DISTANCE[back - 1], F.lit(0.0))
-        turned = (
-            F.when((low(back) == "never") & among(back, "so", "this"), F.lit(NEVER_SO))
-            .when((low(back) == "without") & among(back, "doubt"), F.lit(1.0))
-            .when(negated(back), F.lit(NEGATION))
-            .otherwise(F.lit(1.0))
-        )
-        # A word of the lexicon, and the front of the text, change nothing.
-        counts = (i >= back) & F.get(t["known"], i - back).isNull()
-        return F.when(counts, boosted * turned).otherwise(v)
-
-    own = F.get(t["known"], i) / F.lit(float(UNIT))
-    value = own + F.when(
-        t["mixed"] & _is_capitals(F.get(t["words"], i)), towards(own, CAPITALS)
-    ).otherwise(F.lit(0.0))
-    for back in (1, 2, 3):
-        value = bind(value, step(back))
-    side = (
-        F.when((t["but"] == 0) | (i + 1 == t["but"]), F.lit(1.0))
-        .when(i + 1 < t["but"], F.lit(BEFORE_BUT))
-        .otherwise(F.lit(AFTER_BUT))
+    base = F.col(f"b{back}") / F.lit(float(UNIT))
+    signed = F.when(v < 0, -base).otherwise(base) + _capitals_of(f"w{back}", v)
+    boosted = v + F.coalesce(signed * DISTANCE[back - 1], F.lit(0.0))
+    turned = (
+        F.when((low == "never") & nearer("so", "this"), F.lit(NEVER_SO))
+        .when((low == "without") & nearer("doubt"), F.lit(1.0))
+        .when(low.isin(*negations) | F.contains(low, F.lit("n't")), F.lit(NEGATION))
+        .otherwise(F.lit(1.0))
     )
-    speaks = F.get(t["known"], i).isNotNull() & F.get(t["boosts"], i).isNull()
-    return F.when(speaks, value * side).otherwise(F.lit(0.0))
+    counts = F.col(f"w{back}").isNotNull() & F.col(f"k{back}").isNull()
+    return F.when(counts, boosted * turned).otherwise(v)
 
 
 def _emphasis(text: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
 from ..schemas import CORE_COLUMNS
-from ..session import cut_lineage
+from ..session import drop_folder, stage
 from .enrich import DEFAULT_ISSUE
 from .select import dedup_keep_first, drop_blank
 
@@ -88,31 +88,46 @@ def check_keys(dim: DataFrame, fact: DataFrame) -> DataFrame:
     return counted
 
 
-def build_star(base: DataFrame, order: str | Column = "arrival") -> dict[str, DataFrame]:
-    """The three tables over one cleaned and tagged base (one row per review and tag)."""
+def build_star(
+    base: DataFrame, order: str | Column = "arrival", reviews: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """The three tables over one cleaned and tagged base (one row per review and tag). The dimension
+    needs no tags: with ``reviews``, the base before tagging, it is made without them."""
     return {
-        "dim_reviews_core": dim_reviews_core(base, order),
+        "dim_reviews_core": dim_reviews_core(base if reviews is None else reviews, order),
         "fact_l1_tags": fact_l1(base, order),
         "fact_l2_tags": fact_l2(base),
     }
 
 
 def write_star(
-    base: DataFrame, path: str, order: str | Column = "arrival", mode: str = "errorifexists"
+    base: DataFrame,
+    path: str,
+    staging: str,
+    order: str | Column = "arrival",
+    mode: str = "errorifexists",
 ) -> None:
     """Write the three tables under ``path``, the dimension split by month.
 
-    The base is materialised once in the shared folder, so that cleaning and tagging do not run
-    three times; the base itself is not part of the model and is not written to ``path``.
+    The base is first written once to a folder of its own under ``staging``, a place that all
+    executors share, so that cleaning and tagging do not run three times; the copy is removed
+    afterwards. The base itself is not part of the model and is not written to ``path``.
     """
-    star = build_star(cut_lineage(base), order)
-    dim = star.pop("dim_reviews_core").withColumn("review_month", F.trunc("review_date", "MM"))
-    # Rebalancing cuts a month that holds most rows into files of even size.
-    dim.hint("rebalance", "review_month").write.mode(mode).partitionBy("review_month").parquet(
-        f"{path}/dim_reviews_core"
-    )
-    for name, fact in star.items():
-        fact.write.mode(mode).parquet(f"{path}/{name}")
+    spark = base.sparkSession
+    staged, folder = stage(base, staging, "star")
+    try:
+        star = build_star(staged, order)
+        dim = star.pop("dim_reviews_core").withColumn(
+            "review_month", F.trunc("review_date", "MM")
+        )
+        # Rebalancing cuts a month that holds most rows into files of even size.
+        dim.hint("rebalance", "review_month").write.mode(mode).partitionBy(
+            "review_month"
+        ).parquet(f"{path}/dim_reviews_core")
+        for name, fact in star.items():
+            fact.write.mode(mode).parquet(f"{path}/{name}")
+    finally:
+        drop_folder(spark, folder)
 
 
 def read_star(spark, path: str) -> dict[str, DataFrame]:

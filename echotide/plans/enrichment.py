@@ -6,12 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WHITESPACE
 from ..operators import enrich
-from ..operators.sentiment import (
-    joined_score,
-    lexicon_score,
-    rule_score,
-    sentiment_label,
-)
+from ..operators.sentiment import lexicon_score, rule_score, sentiment_label
 from . import fixtures as fx
 from .registry import query, table
 
@@ -65,7 +60,7 @@ def _pairs(rows):
 
 @query(
     f"""with {fx.SQL_CORE}, rules as (
-          select 'Benchmark' l1, 'item ' || (item_id % 7) l2, substring(text, 1, 14) kw
+          select 'Benchmark' l1, 'item ' || (item_id % 7) l2, text kw
           from benchmark)
         select distinct review_id, l1, l2 from core join rules
         on contains(lower(text), lower(kw))"""
@@ -74,14 +69,45 @@ def tag_rules_table(spark, sf_dir):
     rules = table(spark, sf_dir, "benchmark").select(
         F.lit("Benchmark").alias("l1"),
         F.concat(F.lit("item "), F.col("item_id") % 7).alias("l2"),
-        F.substring("text", 1, 14).alias("keyword"),
+        F.col("text").alias("keyword"),
     )
-    rows = table(spark, sf_dir, "documents", spread="doc_id").select(
+    rows = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("review_id"), "text"
     )
     return _pairs(enrich.tag_issues(rows, rules))
 
 
+# Rows as they may arrive: ids repeated and missing.
+_SQL_ODD = """odd as (
+  select case when doc_id % 5 > 0 then doc_id // 3 end id, text from documents
+  union all select doc_id // 3, text from documents where doc_id % 4 = 0)"""
+
+
+def _odd(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    third = F.floor(F.col("doc_id") / 3)
+    first = docs.select(F.when(F.col("doc_id") % 5 > 0, third).alias("id"), "text")
+    return first.unionByName(
+        docs.filter(F.col("doc_id") % 4 == 0).select(third.alias("id"), "text")
+    )
+
+
+@query(
+    f"""with {_SQL_ODD}, {fx.SQL_RULES}
+        select id, (select count(distinct (l1, l2)) from rules where contains(lower(text), kw)) n,
+               (select string_agg(distinct l1 || '/' || l2, ',' order by l1 || '/' || l2)
+                from rules where contains(lower(text), kw)) tags from odd"""
+)
+def tag_rules_dups(spark, sf_dir):
+    rules = spark.createDataFrame([*fx.RULES, *fx.RULES], "l1 string, l2 string, keyword string")
+    rows = enrich.tag_issues(_odd(spark, sf_dir), rules)
+    names = F.transform("tags", lambda t: F.concat(t["l1"], F.lit("/"), t["l2"]))
+    tags = F.array_join(F.array_sort(names), ",")
+    return rows.select(
+        "id", F.size("tags").cast("long").alias("n"), F.when(F.size("tags") > 0, tags).alias("tags")
+    )
+
+
 @query(
     f"""with {fx.SQL_TAGGED}
         select c.review_id, f.l1 l1_category, coalesce(f.l2, '{enrich.DEFAULT_ISSUE}')
@@ -108,29 +134,46 @@ scores as (select d.doc_id, coalesce(round(s / sqrt(s * s + 15), 4), 0.0) score
 
 @query(f"with {_SQL_SCORES} select doc_id, score from scores")
 def sentiment_score(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text")
-    return lexicon_score(docs, LEXICON, id="doc_id").select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexicon_score(docs, LEXICON).select(
         "doc_id", F.col("sentiment_score").alias("score")
     )
 
 
 @query(f"with {_SQL_SCORES} select doc_id, score from scores")
 def sentiment_score_table(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = spark.createDataFrame(list(LEXICON), "word string, valence double")
-    return joined_score(docs, lexicon, id="doc_id").select(
+    return lexicon_score(docs, lexicon).select(
         "doc_id", F.col("sentiment_score").alias("score")
     )
 
 
+@query(
+    f"""with {_SQL_SCORES}
+        select case when doc_id % 5 > 0 then doc_id // 3 end id, score from scores
+        union all select doc_id // 3, score from scores where doc_id % 4 = 0"""
+)
+def sentiment_dups(spark, sf_dir):
+    words = [(w, v) for w, v in LEXICON] + [("tHE", 9.0), ("the", 9.0), ("wAs", 3.0)]
+    lexicon = spark.createDataFrame(words, "word string, valence double")
+    # Of words that differ in case, the first by spelling counts: capitals come before letters.
+    lexicon = lexicon.withColumn("word", F.when(F.col("valence") < 3, F.upper("word")).otherwise(
+        F.col("word")
+    ))
+    return lexicon_score(_odd(spark, sf_dir), lexicon).select(
+        "id", F.col("sentiment_score").alias("score")
+    )
+
+
 @query(
     f"""with {_SQL_SCORES} select doc_id, case when score >= 0.05 then 'Positive'
               when score <= -0.05 then 'Negative' else 'Neutral' end label from scores""",
     name="sentiment_label",
 )
 def sentiment_labels(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text")
-    scored = lexicon_score(docs, LEXICON, id="doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lexicon_score(docs, LEXICON)
     return scored.select("doc_id", sentiment_label(F.col("sentiment_score")).alias("label"))
 
 
@@ -204,6 +247,6 @@ _SQL_LAGS = ", ".join(
         select doc_id, round(s / sqrt(s * s + 15), 4) score from final"""
 )
 def sentiment_rules(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = rule_score(docs, LEXICON, boosters=BOOST_WORDS, negations=NEGATION_WORDS)
     return scored.select("doc_id", F.col("sentiment_score").alias("score"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WHITESPACE
 from ..operators.enrich import IssueRule, explode_tags, tag_issues
-from ..operators.star import clean_base, dim_reviews_core, fact_l1, fact_l2
+from ..operators.star import build_star, clean_base, fact_l1, fact_l2
 from .registry import table
 
 FLOOR = "2025-12-01"
@@ -105,9 +105,9 @@ def l2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_l2(tagged(spark, sf_dir))
 
 
-def collected_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews of which every fourth was collected again later, in another community and with
-    blanks around the text; cleaned and tagged, one row per issue."""
+    blanks around the text; cleaned."""
     first = core(spark, sf_dir)
     again = first.filter(F.col("arrival") % 4 == 0).withColumns(
         {
@@ -116,16 +116,17 @@ def collected_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
             "text": F.concat(F.lit("\t"), "text", F.lit(" \n")),
         }
     )
-    return explode_tags(tag_issues(clean_base(first.unionByName(again)), RULES))
+    return clean_base(first.unionByName(again))
+
+
+def collected_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, tagged, one row per issue."""
+    return explode_tags(tag_issues(reviews_twice(spark, sf_dir), RULES))
 
 
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    base = collected_twice(spark, sf_dir)
-    return {
-        "dim_reviews_core": dim_reviews_core(base),
-        "fact_l1_tags": fact_l1(base),
-        "fact_l2_tags": fact_l2(base),
-    }
+    reviews = reviews_twice(spark, sf_dir)
+    return build_star(explode_tags(tag_issues(reviews, RULES)), reviews=reviews)
 
 
 SQL_STAR = f"""{SQL_CORE}, {SQL_RULES},

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import measures as ms
 from ..operators.select import top_n
+from ..operators.star import with_dim
 from . import fixtures as fx
 from .registry import day, query, table
 
@@ -97,6 +98,31 @@ def neg_share_l1_of_categories(spark, sf_dir):
     return ms.negative_share(fx.l1(spark, sf_dir), share_of="categories", floor=fx.FLOOR)
 
 
+_SQL_SLICED = f"""with {fx.SQL_FACT_L1},
+  sliced as (select f.*, c.platform from fact_l1 f join core c using (review_id)
+             where f.sentiment = 'Negative' and f.review_date >= date '{fx.FLOOR}'),
+  n as (select platform, l1_category, count(distinct review_id) negative_reviews from sliced
+        group by all)"""
+
+
+def _sliced(spark, sf_dir):
+    return with_dim(fx.l1(spark, sf_dir), fx.dim(spark, sf_dir))
+
+
+@query(f"{_SQL_SLICED} select * from n")
+def neg_by_l1_platform(spark, sf_dir):
+    return ms.negative_reviews(_sliced(spark, sf_dir), ["platform", "l1_category"], fx.FLOOR)
+
+
+@query(
+    f"""{_SQL_SLICED} select n.*, cast(negative_reviews as double) / w as share
+        from n join (select platform, count(distinct review_id) w from sliced group by 1)
+        using (platform)"""
+)
+def neg_share_l1_platform(spark, sf_dir):
+    return ms.negative_share(_sliced(spark, sf_dir), floor=fx.FLOOR, by=["platform"])
+
+
 _MENTIONS = f"contains(lower(text), '{fx.PHRASE}')"
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import star as st
+from ..session import checkpoint_root
 from . import fixtures as fx
 from .registry import day, query
 
@@ -39,6 +42,30 @@ def fact_l2(spark, sf_dir):
     return fx.star(spark, sf_dir)["fact_l2_tags"]
 
 
+@query(
+    f"""with {fx.SQL_STAR}
+        select 'dim' as part, review_id, strftime(review_date, '%Y-%m') as what, text
+        from (select distinct on (review_id) * from cleaned order by review_id, arrival)
+        union all select distinct 'l1', review_id, l1, null from base where l1 is not null
+        union all select 'l2', review_id, l2, null from base where l2 is not null"""
+)
+def star_roundtrip(spark, sf_dir):
+    """The star written and read back."""
+    place = f"{checkpoint_root(spark)}/star-{uuid.uuid4().hex}"
+    st.write_star(fx.collected_twice(spark, sf_dir), f"{place}/star", f"{place}/staging")
+    back = st.read_star(spark, f"{place}/star")
+    none = F.lit(None).cast("string")
+    dim = back["dim_reviews_core"].select(
+        F.lit("dim").alias("part"),
+        "review_id",
+        F.date_format("review_month", "yyyy-MM").alias("what"),
+        "text",
+    )
+    l1 = back["fact_l1_tags"].select(F.lit("l1"), "review_id", "l1_category", none)
+    l2 = back["fact_l2_tags"].select(F.lit("l2"), "review_id", "l2_specific_issue", none)
+    return dim.union(l1).union(l2)
+
+
 # Facts of reviews that the dimension lacks: every seventh review is left out of it.
 _SQL_PART = f"{fx.SQL_TAGGED}, part as (select * from core where arrival % 7 <> 0)"
 

@@ -29,14 +29,9 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: str | None = None) -> DataFrame:
-    """A given table. ``spread`` names a key to spread rows over all cores by, for work that is
-    heavy per row; a table of as many files as cores needs no such shuffle and gets none."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread is not None and len(df.inputFiles()) < cores:
-        return df.repartition(cores, spread)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Its read splits spread the work."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def day(c: str | Column) -> Column:

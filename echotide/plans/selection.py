@@ -91,10 +91,66 @@ def budget_per_app(spark, sf_dir):
         ["event_type"],
         ["ts", "event_id"],
         TYPE_BUDGET,
-        bin=F.date_trunc("hour", "ts"),
     ).select("event_id", "event_type")
 
 
+@query(
+    """select event_id, event_type from events
+       qualify row_number() over (partition by event_type order by ts desc, event_id) <= 1500"""
+)
+def budget_newest(spark, sf_dir):
+    order = [F.col("ts").desc(), "event_id"]
+    rows = sel.budget_per_group(_events(spark, sf_dir), ["event_type"], order, 1500)
+    return rows.select("event_id", "event_type")
+
+
+_SQL_OUTLIERS = """e as (
+  select event_id, event_type, case when event_id = 7 then timestamp '0001-01-02 00:00:00'
+         when event_id = 11 then timestamp '9999-12-30 00:00:00' else ts end ts from events)"""
+
+
+@query(
+    f"""with {_SQL_OUTLIERS} select event_id, event_type from e
+        qualify row_number() over (partition by event_type order by ts, event_id) <= 1200"""
+)
+def budget_outlier(spark, sf_dir):
+    ts = (
+        F.when(F.col("event_id") == 7, F.lit("0001-01-02 00:00:00").cast("timestamp"))
+        .when(F.col("event_id") == 11, F.lit("9999-12-30 00:00:00").cast("timestamp"))
+        .otherwise(F.col("ts"))
+    )
+    rows = _events(spark, sf_dir).withColumn("ts", ts)
+    return sel.budget_per_group(rows, ["event_type"], ["ts", "event_id"], 1200).select(
+        "event_id", "event_type"
+    )
+
+
+_SQL_TARGETS = """targets as (
+  select event_type, user_id, 1 + user_id % 3 target from events group by all having user_id % 2 = 0)"""
+
+
+@query(
+    f"""with {_SQL_TARGETS}, kept as (
+          select event_id, e.event_type, e.ts, {_SQL_RANK.replace("event_type", "e.event_type")} r
+          from events e join targets t on e.event_type = t.event_type and e.user_id = t.user_id
+          qualify row_number() over (partition by e.event_type, e.user_id
+                                     order by e.ts, event_id) <= target)
+        select event_id, event_type from kept
+        qualify row_number() over (order by r, ts, event_id) <= 700"""
+)
+def budget_nested(spark, sf_dir):
+    rows = _ranked(spark, sf_dir)
+    targets = (
+        rows.filter(F.col("user_id") % 2 == 0)
+        .select("event_type", "user_id", (1 + F.col("user_id") % 3).alias("target"))
+        .distinct()
+    )
+    kept = sel.budget_per_group(rows, ["event_type", "user_id"], ["ts", "event_id"], targets)
+    return sel.budget_global(kept, "type_rank", ["ts", "event_id"], 700).select(
+        "event_id", "event_type"
+    )
+
+
 @query(f"select event_id, event_type, {_SQL_NTH} as rank from events")
 def rank_in_feed(spark, sf_dir):
     return sel.binned_rank(
@@ -108,7 +164,7 @@ _SQL_GLOBAL = f"row_number() over (order by {_SQL_RANK}, ts, event_id)"
 @query(f"select event_id, event_type from events qualify {_SQL_GLOBAL} <= 5000")
 def budget_global(spark, sf_dir):
     return sel.budget_global(
-        _ranked(spark, sf_dir), "type_rank", ["ts", "event_id"], 5000, bin=F.date_trunc("day", "ts")
+        _ranked(spark, sf_dir), "type_rank", ["ts", "event_id"], 5000
     ).select("event_id", "event_type")
 
 
@@ -140,9 +196,18 @@ def dedup_keep_first(spark, sf_dir):
     ).select("event_id", "event_type", "user_id")
 
 
-@query(f"select min(doc_id) doc_id from documents group by {fx.sql_clean('text')}")
+_SQL_SOME_TEXT = "select doc_id, case when doc_id % 9 > 0 then text end text from documents"
+
+
+@query(
+    f"""with d as ({_SQL_SOME_TEXT})
+        select min(doc_id) doc_id from d where text is not null group by {fx.sql_clean('text')}
+        union all select doc_id from d where text is null"""
+)
 def dedup_text(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 9 > 0, F.col("text")).alias("text")
+    )
     return sel.dedup_text(rows, "text", ["doc_id"]).select("doc_id")
 
 
@@ -161,13 +226,13 @@ def keyword_match(spark, sf_dir):
 
 
 @query(
-    """with k as (select item_id, substring(text, 1, 12) kw from benchmark)
+    """with k as (select item_id, text kw from benchmark)
        select doc_id, arg_min(kw, item_id) keyword
        from documents join k on contains(lower(text), lower(kw)) group by doc_id"""
 )
 def keyword_match_table(spark, sf_dir):
     keywords = table(spark, sf_dir, "benchmark").select(
-        F.substring("text", 1, 12).alias("keyword"), F.col("item_id").alias("rank")
+        F.col("text").alias("keyword"), F.col("item_id").alias("rank")
     )
-    docs = table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text")
-    return sel.keyword_match(docs, keywords, "text", "doc_id").select("doc_id", "keyword")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sel.keyword_match(docs, keywords, "text").select("doc_id", "keyword")

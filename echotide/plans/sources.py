@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import checkpoint_root
 from ..sources import feeds, files, pages
 from .fixtures import sql_collapse, sql_trim
 from .registry import day, query, table
@@ -14,11 +17,11 @@ APPS = (feeds.App("Alpha", "com.alpha", "One"), feeds.App("Beta", "com.beta", "T
 
 
 def _documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text", "source")
+    return table(spark, sf_dir, "documents").select("doc_id", "text", "source")
 
 
 def _pages(spark, sf_dir):
-    return table(spark, sf_dir, "pages", spread="page_id")
+    return table(spark, sf_dir, "pages")
 
 
 def _escaped(text: str = "text") -> Column:
@@ -155,12 +158,14 @@ def norm_app_store(spark, sf_dir):
 
 
 @query(
-    """select left(md5('Beta|' || text), 12) review_id, 'Apple App Store' platform,
+    """select case when doc_id % 2 = 0 then 'id' || doc_id else left(md5('Beta|' || text), 12) end
+                review_id, 'Apple App Store' platform,
               'App Store — Beta' source, text, 'Two' product_tag, cast(0 as int) as position
        from documents"""
 )
 def norm_app_store_catalog(spark, sf_dir):
-    body = F.struct(F.struct(F.col("text").alias("body")).alias("attributes"))
+    id = F.when(_which(2) == 0, F.concat(F.lit("id"), "doc_id")).when(_which(3) == 0, "")
+    body = F.struct(id.alias("id"), F.struct(F.col("text").alias("body")).alias("attributes"))
     landed = _payload(
         _documents(spark, sf_dir).drop("source"),
         schemas.APP_STORE_CATALOG_PAGE,
@@ -427,15 +432,19 @@ _SQL_PIECE_SOLID = sql_trim(
                    qualify row_number() over (partition by page_id order by n) <= 5)
         select page_id, cast(position as int) as position,
                left(md5(url || '|' || left(text, 100)), 12) review_id,
-               'Quora' platform, '01/06/2026' date, true date_is_ingest, title, text, url
+               'Quora' platform, '01/06/2026' date, true date_is_ingest, title, text, url,
+               'q' || (page_id % 7) keyword
         from capped where length(text) >= 40"""
 )
 def page_answers(spark, sf_dir):
     found = pages.extract_answers(
-        _pages(spark, sf_dir), as_of="2026-06-01", carry=["page_id"]
+        _pages(spark, sf_dir).withColumn("query", F.concat(F.lit("q"), F.col("page_id") % 7)),
+        as_of="2026-06-01",
+        keyword="query",
+        carry=["page_id"],
     )
     return found.select(
-        "page_id", "position", "review_id", "platform", "date", "date_is_ingest", "title", "text",
+        "page_id", "keyword", "position", "review_id", "platform", "date", "date_is_ingest", "title", "text",
         "url",
     )
 
@@ -469,7 +478,7 @@ def page_answer_blocks(spark, sf_dir):
         select doc_id, cast(0 as int) as position,
                left(md5(url || '|' || left(text, 80)), 12) review_id, source,
                case when doc_id % 3 = 2 then '' else 'user ' || (doc_id % 50) end username,
-               'News ' || doc_id title, text, url
+               'News ' || doc_id title, text, url, 'k' || (doc_id % 6) keyword
         from picked where text is not null"""
 )
 def page_comments(spark, sf_dir):
@@ -504,9 +513,10 @@ def page_comments(spark, sf_dir):
         F.concat(F.lit("https://p/"), "doc_id").alias("url"),
         F.col("source").alias("site_name"),
         html.alias("html"),
+        F.concat(F.lit("k"), _which(6)).alias("query"),
     )
-    return pages.extract_page_comments(found, carry=["doc_id"]).select(
-        "doc_id", "position", "review_id", "source", "username", "title", "text", "url"
+    return pages.extract_page_comments(found, keyword="query", carry=["doc_id"]).select(
+        "doc_id", "position", "review_id", "source", "username", "title", "text", "url", "keyword"
     )
 
 
@@ -580,3 +590,52 @@ def typed_base(spark, sf_dir):
 def typed_reviews(spark, sf_dir):
     rows = files.type_collected(feeds.normalize_play_store(_play_store(spark, sf_dir), APPS))
     return rows.select("review_id", "platform", day("review_date").alias("review_date"), "star_rating")
+
+
+@query(
+    f"""select case when doc_id % 6 = 0 then null else doc_id end id, count(*) n from documents
+        group by 1"""
+)
+def corrupt_payloads(spark, sf_dir):
+    """Payload lines written as text, every sixth broken off, read with the broken ones kept."""
+    line = F.concat(F.lit('{"id": "'), "doc_id", F.lit('", "body": "x"}'))
+    landed = _documents(spark, sf_dir).select(
+        F.when(_which(6) == 0, F.substring(line, 1, 9)).otherwise(line).alias("value")
+    )
+    path = f"{checkpoint_root(spark)}/payloads-{uuid.uuid4().hex}"
+    landed.write.text(path)
+    back = files.read_payloads(spark, path, "id string, body string")
+    broken = F.col(files.CORRUPT).isNotNull()
+    return back.groupBy(F.when(~broken, F.col("id")).cast("bigint").alias("id")).agg(
+        F.count("*").alias("n")
+    )
+
+
+@query(
+    f"""select cast(doc_id as varchar) review_id, strftime({_DAY}, '%Y-%m-%d') review_date,
+               replace(text, chr(10), ' / ') || ', "quoted"' as text, cast(doc_id % 6 as int) star
+        from documents"""
+)
+def csv_roundtrip(spark, sf_dir):
+    """The flat table written as CSV and read back, one line per row."""
+    rows = _documents(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("Review_ID"),
+        F.lit("Reddit").alias("Platform"),
+        F.lit("s").alias("Source"),
+        F.date_format(_date(), "dd/MM/yyyy").alias("Date"),
+        F.lit("u").alias("Username"),
+        F.lit("t").alias("Title"),
+        F.concat(F.replace("text", F.lit("\n"), F.lit(" / ")), F.lit(', "quoted"')).alias("Text"),
+        _which(6).alias("Score"),
+        *(F.lit("x").alias(c) for c in ("Product_Tag", "URL", "Sentiment")),
+        F.lit("0.5").alias("Sentiment_Score"),
+        F.lit("l1").alias("L1_Category"),
+        F.lit("l2").alias("L2_Specific_Issue"),
+    )
+    path = f"{checkpoint_root(spark)}/flat-{uuid.uuid4().hex}"
+    rows.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    back = files.read_reviews_csv(spark, path)
+    return back.select(
+        "review_id", day("review_date").alias("review_date"), "text",
+        F.col("star_rating").alias("star"),
+    )

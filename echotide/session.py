@@ -1,4 +1,4 @@
-"""Session settings the library relies on, and the shared folder for cut lineage."""
+"""Session settings the library relies on, and staged tables."""
 
 from __future__ import annotations
 
@@ -38,13 +38,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def stage(df: DataFrame, place: str, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to a new folder under ``place`` and read back, and that folder.
 
     A fan-out then neither recomputes it nor depends on the executors that computed it, and each
-    branch reads only its columns. The written copy stays until the folder is emptied.
+    branch reads only its columns. ``place`` must be shared by all executors; the caller removes
+    the folder with ``drop_folder``.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{place}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote, through the file system it lies in."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -114,7 +114,7 @@ def normalize_app_store(
 def normalize_app_store_catalog(
     df: DataFrame, apps: Sequence[App], carry: Sequence[str] = ()
 ) -> DataFrame:
-    """App Store catalogue pages. Only the review text is read, so the id is made from it."""
+    """App Store catalogue pages. A review without an id gets one made from its text."""
     label = F.col("app_label")
     rows = df.filter(label.isin(*[a.label for a in apps])).select(
         *carry, label, F.posexplode("data").alias("position", "item")
@@ -124,7 +124,7 @@ def normalize_app_store_catalog(
         rows.filter(text != ""),
         *carry,
         "position",
-        review_id=short_id(label, text),
+        review_id=F.coalesce(F.nullif(F.col("item.id"), F.lit("")), short_id(label, text)),
         platform=F.lit(APP_STORE),
         source=url_from(APP_STORE_SOURCE, label),
         date=F.lit(""),

@@ -17,11 +17,11 @@ from ..schemas import FLAT_FILE_COLUMNS
 CORRUPT = "_corrupt_record"
 
 
-def read_reviews_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_reviews_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """The raw flat table: the first row names the columns, every column gets its type.
 
     Rows that do not fit the header are kept, with their text in ``_corrupt_record``. Quoted
-    line breaks need ``multiline``; without them, turn it off so that large files are split.
+    line breaks need ``multiline``, which reads each file in one task.
     """
     names = [name for name, _, _ in FLAT_FILE_COLUMNS]
     schema = StructType([StructField(n, StringType()) for n in (*names, CORRUPT)])
@@ -58,8 +58,20 @@ def enforce_types(raw: DataFrame) -> DataFrame:
 
 
 def read_payloads(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """Landed JSON payloads of one source, one per line, under a declared schema."""
-    return spark.read.schema(schema).json(path)
+    """Landed JSON payloads of one source, one per line, under a declared schema.
+
+    A line that is no JSON, or holds a field of another type, keeps its text in
+    ``_corrupt_record``, next to the fields that could be read: see ``corrupt_lines``.
+    """
+    declared = spark.createDataFrame([], schema).schema
+    if CORRUPT not in declared.names:
+        declared = StructType([*declared.fields, StructField(CORRUPT, StringType())])
+    return spark.read.schema(declared).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
+def corrupt_lines(payloads: DataFrame) -> DataFrame:
+    """The lines of ``read_payloads`` or ``read_reviews_csv`` that did not read as declared."""
+    return payloads.filter(F.col(CORRUPT).isNotNull())
 
 
 def union_sources(*dfs: DataFrame) -> DataFrame:

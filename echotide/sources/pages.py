@@ -180,17 +180,20 @@ def extract_answers(
     per_page: int = ANSWERS_PER_PAGE,
     as_of=None,
     classes: Sequence[str] = ANSWER_CLASSES,
+    keyword: str | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """Answers of question pages: blocks of an answer class, or else every paragraph longer than
     80 characters; the first ``per_page``, of which those of 40 characters and more are kept.
 
-    Pages show no dates: ``as_of``, the day of collection, stands in for one.
+    Pages show no dates: ``as_of``, the day of collection, stands in for one. ``keyword`` names the
+    column of the search term a page was found by.
     """
     named = "(?:%s)" % "|".join(classes)
     value = rf"""(?:"[^"]*{named}|'[^']*{named}|[^\s"'>]*{named})"""
     has_blocks = F.col("html").rlike(rf"(?is)<div\b[^>]*\sclass\s*=\s*{value}")
-    head = ["url", question_title(F.col("html")).alias("_title"), *carry]
+    term = F.lit(None).cast("string") if keyword is None else F.col(keyword)
+    head = ["url", question_title(F.col("html")).alias("_title"), term.alias("_term"), *carry]
     # Nested blocks need the tree of the page; the other pages stay in the JVM.
     nested = _blocks_of(
         pages.filter(has_blocks).select(*head, "html"),
@@ -216,6 +219,7 @@ def extract_answers(
         title=F.col("_title"),
         text=F.col("_text"),
         score_raw=F.lit(""),
+        keyword=F.col("_term"),
         url=F.col("url"),
     )
 
@@ -226,18 +230,21 @@ def extract_answers(
 def extract_page_comments(
     pages: DataFrame,
     selectors: Sequence[str] = COMMENT_SELECTORS,
-    per_page: int = 50,
+    per_page: int | None = None,
     as_of=None,
     source: str = "site_name",
+    keyword: str | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Comments of article pages, by the first selector that yields any on the page.
+    """Comments of article pages, by the first selector that yields any on the page; at most
+    ``per_page`` blocks of it, if given. ``keyword`` names the column of the search term.
 
     Each page is read on its own, so the work needs no shuffle. The same page landed twice gives
     the same ids: keep the first with ``dedup_keep_first``.
     """
     title = page_title(F.col("html")).alias("_title")
-    head = ["url", title, F.col(source).alias("_source"), *carry]
+    term = F.lit(None).cast("string") if keyword is None else F.col(keyword)
+    head = ["url", title, F.col(source).alias("_source"), term.alias("_term"), *carry]
     rows = _blocks_of(
         pages.select(*head, "html"), [Selector.of(s) for s in selectors], per_page, first_only=True
     )
@@ -254,12 +261,13 @@ def extract_page_comments(
         title=F.col("_title"),
         text=F.col("_text"),
         score_raw=F.lit(""),
+        keyword=F.col("_term"),
         url=F.col("url"),
     )
 
 
 def _blocks_of(
-    pages: DataFrame, selectors: Sequence[Selector], per_page: int, first_only: bool
+    pages: DataFrame, selectors: Sequence[Selector], per_page: int | None, first_only: bool
 ) -> DataFrame:
     """Blocks of each page as ``(position, _text, _author)`` next to its other columns.
 

@@ -37,7 +37,7 @@ def test_landed_posts_to_measure(spark, tmp_path):
     scored = lexicon_score(typed, LEXICON)
     tagged = enrich.explode_tags(enrich.with_default_issue(enrich.tag_issues(scored, RULES)))
     base = tagged.withColumn("sentiment", sentiment_label(F.col("sentiment_score")))
-    star.write_star(base, str(tmp_path / "star"), "created")
+    star.write_star(base, str(tmp_path / "star"), str(tmp_path / "staging"), "created")
     tables = star.read_star(spark, str(tmp_path / "star"))
     dim, l1, l2 = (tables[n] for n in ("dim_reviews_core", "fact_l1_tags", "fact_l2_tags"))
 

@@ -68,7 +68,8 @@ def test_fact_without_review_keeps_nulls(spark):
 
 def test_write_and_read(spark, sf, tmp_path):
     base = fx.collected_twice(spark, sf)
-    st.write_star(base, str(tmp_path / "star"))
+    st.write_star(base, str(tmp_path / "star"), str(tmp_path / "staging"))
+    assert list((tmp_path / "staging").iterdir()) == []
     back = st.read_star(spark, str(tmp_path / "star"))
     for name, want in fx.star(spark, sf).items():
         got = back[name].select(*want.columns)
@@ -76,3 +77,9 @@ def test_write_and_read(spark, sf, tmp_path):
     assert "review_month" in back["dim_reviews_core"].columns
     pruned = back["dim_reviews_core"].filter(F.col("review_month") == "2025-12-01")
     assert "PartitionFilters: [isnotnull(review_month" in pruned._jdf.queryExecution().toString()
+
+
+def test_dimension_is_made_without_tags(spark, sf):
+    dim = fx.star(spark, sf)["dim_reviews_core"]
+    plan = dim._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "tags" not in plan
