@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import WHITESPACE
-from ..operators import enrich
+from ..operators import enrich, measures
 from ..operators.sentiment import lexicon_score, rule_score, sentiment_label
 from . import fixtures as fx
-from .registry import query, table
+from . import sources
+from .registry import day, query, table
 
 # A stand-in for the caller's lexicon: frequent words of the documents.
 LEXICON = (
@@ -250,3 +251,29 @@ def sentiment_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = rule_score(docs, LEXICON, boosters=BOOST_WORDS, negations=NEGATION_WORDS)
     return scored.select("doc_id", F.col("sentiment_score").alias("score"))
+
+
+def _sql_scores(texts: str) -> str:
+    """The SQL of the scores over another table of ``doc_id`` and ``text``."""
+    return _SQL_SCORES.replace("documents", texts)
+
+
+@query(
+    f"""with {sources.sql_base()},
+        said as (select row_number() over () doc_id, * from base where review_date is not null),
+        {_sql_scores("said")}
+        select strftime(date_trunc('month', review_date), '%Y-%m-%d') as month,
+               count_if(score <= -0.05)::bigint n_negative, count(*) n_reviews,
+               round(count_if(score <= -0.05)::double / count(*), 9) negativity
+        from said join scores using (doc_id) where review_date >= date '2025-12-01' group by 1"""
+)
+def negativity_from_payloads(spark, sf_dir):
+    """Payloads of seven sources to one measure."""
+    base = sources.base_all(spark, sf_dir).drop("sentiment", "sentiment_score")
+    scored = lexicon_score(base, LEXICON)
+    labelled = scored.withColumn("sentiment", sentiment_label(F.col("sentiment_score")))
+    monthly = measures.negativity_pct(labelled, ["month"], "2025-12-01")
+    return monthly.select(
+        day("month").alias("month"), "n_negative", "n_reviews",
+        F.round("negativity", 9).alias("negativity"),
+    )

@@ -11,7 +11,7 @@ from .. import schemas
 from ..session import checkpoint_root
 from ..sources import feeds, files, pages
 from .fixtures import sql_collapse, sql_trim
-from .registry import day, query, table
+from .registry import ORACLES, day, query, table
 
 APPS = (feeds.App("Alpha", "com.alpha", "One"), feeds.App("Beta", "com.beta", "Two"))
 
@@ -239,6 +239,13 @@ def _reddit(spark, sf_dir):
         from documents where doc_id % 10 <> 9"""
 )
 def norm_tweets(spark, sf_dir):
+    return _tweets(spark, sf_dir).select(
+        "review_id", "platform", "source", "date", "username", "title", "text", "score_raw",
+        "keyword", "url",
+    )
+
+
+def _tweets(spark, sf_dir):
     nested = _which(3) != 0
     tweet = F.struct(
         F.when(_which(2) == 0, F.concat(F.lit("t"), "doc_id")).alias("tweet-id"),
@@ -260,10 +267,7 @@ def norm_tweets(spark, sf_dir):
     landed = _payload(
         _documents(spark, sf_dir), schemas.TWEET_PAGE, tweets=F.array(tweet), query=F.lit("q")
     )
-    return feeds.normalize_tweets(landed).select(
-        "review_id", "platform", "source", "date", "username", "title", "text", "score_raw",
-        "keyword", "url",
-    )
+    return feeds.normalize_tweets(landed)
 
 
 @query(
@@ -274,6 +278,12 @@ def norm_tweets(spark, sf_dir):
         qualify row_number() over (partition by id order by doc_id) = 1"""
 )
 def norm_thread_comments(spark, sf_dir):
+    return _threads(spark, sf_dir).select(
+        "review_id", "source", "date", "text", "score_raw", "url"
+    )
+
+
+def _threads(spark, sf_dir):
     post = F.struct(
         F.concat(F.lit("c"), F.expr("doc_id div 2")).alias("id"),
         F.concat(F.lit("<p> "), _escaped(), F.lit(" </p>")).alias("raw_message"),
@@ -289,9 +299,7 @@ def norm_thread_comments(spark, sf_dir):
         site_name=F.col("source"),
         query=F.lit("q"),
     )
-    return feeds.normalize_thread_comments(landed).select(
-        "review_id", "source", "date", "text", "score_raw", "url"
-    )
+    return feeds.normalize_thread_comments(landed)
 
 
 @query(
@@ -303,6 +311,12 @@ def norm_thread_comments(spark, sf_dir):
         qualify row_number() over (partition by url order by turn) = 1"""
 )
 def search_results(spark, sf_dir):
+    return _results(spark, sf_dir).select(
+        "review_id", "platform", "title", "text", "product_tag", "url", "keyword"
+    )
+
+
+def _results(spark, sf_dir):
     found = table(spark, sf_dir, "conversations").select(
         F.concat(F.lit("https://s/"), "conv_id", F.lit("/blinkit")).alias("url"),
         F.col("text").alias("title"),
@@ -312,9 +326,7 @@ def search_results(spark, sf_dir):
         F.concat(F.lit("q"), F.col("conv_id") % 3).alias("query"),
         F.col("turn").alias("position"),
     )
-    return feeds.normalize_search_results(found).select(
-        "review_id", "platform", "title", "text", "product_tag", "url", "keyword"
-    )
+    return feeds.normalize_search_results(found)
 
 
 # Pages
@@ -437,16 +449,19 @@ _SQL_PIECE_SOLID = sql_trim(
         from capped where length(text) >= 40"""
 )
 def page_answers(spark, sf_dir):
-    found = pages.extract_answers(
+    return _answers(spark, sf_dir).select(
+        "page_id", "keyword", "position", "review_id", "platform", "date", "date_is_ingest",
+        "title", "text", "url",
+    )
+
+
+def _answers(spark, sf_dir):
+    return pages.extract_answers(
         _pages(spark, sf_dir).withColumn("query", F.concat(F.lit("q"), F.col("page_id") % 7)),
         as_of="2026-06-01",
         keyword="query",
         carry=["page_id"],
     )
-    return found.select(
-        "page_id", "keyword", "position", "review_id", "platform", "date", "date_is_ingest", "title", "text",
-        "url",
-    )
 
 
 @query(
@@ -639,3 +654,80 @@ def csv_roundtrip(spark, sf_dir):
         "review_id", day("review_date").alias("review_date"), "text",
         F.col("star_rating").alias("star"),
     )
+
+
+# All sources in one base
+
+
+def _sql_product(text: str, url: str) -> str:
+    where = f"lower({text} || {url})"
+    return (
+        f"case when contains({where}, 'blinkit') then 'Blinkit'"
+        f" when contains({where}, 'district') then 'District' else 'Zomato' end"
+    )
+
+
+def sql_base() -> str:
+    """Seven sources stacked: the SQL of each normaliser, dates typed, products filled."""
+    parts = {
+        "norm_play_store": "platform, source, date, keyword, product_tag",
+        "norm_app_store": "platform, source, date, keyword, product_tag",
+        "norm_reddit": "platform, source, date, keyword, product_tag",
+        "norm_tweets": "platform, source, date, keyword, null product_tag",
+        "norm_thread_comments": "'News' platform, source, date, 'q' keyword, null product_tag",
+        "search_results": "platform, 'LinkedIn' source, '' date, keyword, product_tag",
+        "page_answers": "platform, 'quora.com' source, date, keyword, null product_tag",
+    }
+    rows = " union all ".join(
+        f"select review_id, {columns}, text, url from ({ORACLES[name]})"
+        for name, columns in parts.items()
+    )
+    day_ = "cast(try_strptime(nullif(date, ''), '%d/%m/%Y') as date)"
+    return f"""base as (
+      select review_id, case platform when 'Google Play' then 'Google Play Store' else platform end
+             platform, source, {day_} review_date, keyword, text, url,
+             coalesce(product_tag, {_sql_product("text", "url")}) product_tag
+      from ({rows}))"""
+
+
+_BASE_COLUMNS = ("review_id", "platform", "source", "keyword", "text", "url", "product_tag")
+
+
+def base_all(spark, sf_dir):
+    return files.reviews_base(
+        norm_play_store(spark, sf_dir),
+        norm_app_store(spark, sf_dir),
+        norm_reddit(spark, sf_dir),
+        _tweets(spark, sf_dir),
+        _threads(spark, sf_dir),
+        _results(spark, sf_dir),
+        _answers(spark, sf_dir),
+    )
+
+
+@query(
+    f"""with {sql_base()} select {", ".join(_BASE_COLUMNS)},
+        strftime(review_date, '%Y-%m-%d') review_date from base"""
+)
+def reviews_base_all(spark, sf_dir):
+    base = base_all(spark, sf_dir)
+    return base.select(*_BASE_COLUMNS, day("review_date").alias("review_date"))
+
+
+@query(
+    f"""with threads as (select review_id, text, url from ({ORACLES["norm_thread_comments"]})
+                         where cast(score_raw as int) % 3 > 0),
+             page as (select 'p' || doc_id review_id, text,
+                             'https://n/' || lpad(doc_id::varchar, 9, '0') url from documents)
+        select * from threads union all
+        select * from page where url not in (select url from threads)"""
+)
+def news_thread_first(spark, sf_dir):
+    """Comments of a page only where its thread yields none."""
+    threads = _threads(spark, sf_dir).filter(F.col("score_raw").cast("int") % 3 > 0)
+    page = _documents(spark, sf_dir).select(
+        F.concat(F.lit("p"), "doc_id").alias("review_id"),
+        "text",
+        F.concat(F.lit("https://n/"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("url"),
+    )
+    return files.thread_first(threads, page).select("review_id", "text", "url")

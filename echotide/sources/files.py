@@ -11,8 +11,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.dates import parse_dmy
 from ..functions.numbers import star_rating
 from ..functions.text import first_present, trim_all
-from ..operators.enrich import canonical_platform
-from ..schemas import FLAT_FILE_COLUMNS
+from ..operators.enrich import canonical_platform, product_tag
+from ..schemas import FLAT_FILE_COLUMNS, REVIEWS_BASE
 
 CORRUPT = "_corrupt_record"
 
@@ -79,6 +79,28 @@ def union_sources(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
+def reviews_base(*sources: DataFrame) -> DataFrame:
+    """All collected sources as one table of the row type ``REVIEWS_BASE``: dates and stars typed,
+    platform names canonical, and the product of rows that carry none read off text and link."""
+    typed = type_collected(union_sources(*sources))
+    product = F.coalesce("product_tag", product_tag(F.col("text"), F.col("url")))
+    filled = typed.withColumn("product_tag", product)
+    declared = filled.sparkSession.createDataFrame([], REVIEWS_BASE).schema
+    none = F.lit(None)
+    return filled.select(
+        *(
+            (F.col(f.name) if f.name in filled.columns else none).cast(f.dataType).alias(f.name)
+            for f in declared.fields
+        )
+    )
+
+
+def thread_first(threads: DataFrame, page_comments: DataFrame) -> DataFrame:
+    """Comments of article threads, and those read off the page for articles whose thread yields
+    none."""
+    return fallback_union(threads, page_comments, "url")
+
+
 def fallback_union(primary: DataFrame, secondary: DataFrame, key: str) -> DataFrame:
     """Rows of ``primary``, and rows of ``secondary`` for keys that ``primary`` lacks."""
     missing = secondary.join(primary.select(key), key, "left_anti")

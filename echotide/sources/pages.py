@@ -194,18 +194,18 @@ def extract_answers(
     has_blocks = F.col("html").rlike(rf"(?is)<div\b[^>]*\sclass\s*=\s*{value}")
     term = F.lit(None).cast("string") if keyword is None else F.col(keyword)
     head = ["url", question_title(F.col("html")).alias("_title"), term.alias("_term"), *carry]
-    # Nested blocks need the tree of the page; the other pages stay in the JVM.
-    nested = _blocks_of(
-        pages.filter(has_blocks).select(*head, "html"),
+    # Nested blocks need the tree of the page; the paragraphs of other pages are read in the JVM.
+    html, plain = F.col("html"), paragraphs(F.col("html"), MIN_PARAGRAPH, per_page)
+    rows = _blocks_of(
+        computed(pages, _nested=has_blocks).select(
+            *head,
+            F.when(F.col("_nested"), html).alias("html"),
+            F.when(~F.col("_nested"), plain).alias("_plain"),
+        ),
         [Selector("div", class_parts=tuple(c.lower() for c in classes), ignore_case=True)],
         per_page,
         first_only=False,
     )
-    plain = pages.filter(~has_blocks).select(
-        *head,
-        F.posexplode(paragraphs(F.col("html"), MIN_PARAGRAPH, per_page)).alias("position", "_text"),
-    )
-    rows = nested.select(*plain.columns).unionByName(plain)
     return collected(
         rows.filter(min_chars(F.col("_text"), MIN_ANSWER)),
         "position",
@@ -273,9 +273,9 @@ def _blocks_of(
 
     With ``first_only`` a page stops at the first selector that yields a long enough text, equal
     texts counting once; otherwise all blocks of the one selector are returned, or long paragraphs
-    where there is no block.
+    where there is no block. Pages with an array ``_plain`` have been read already.
     """
-    kept = [f for f in pages.schema.fields if f.name != "html"]
+    kept = [f for f in pages.schema.fields if f.name not in ("html", "_plain")]
     names = [f.name for f in kept]
     schema = StructType(
         [
@@ -289,6 +289,7 @@ def _blocks_of(
     def found(html: str) -> list[tuple[str, str]]:
         tree = parse(html or "")
         rows: list[tuple[str, str]] = []
+        authors: dict[int, str] = {}
         for selector in selectors:
             seen = set()
             for node in select(tree, selector)[:per_page]:
@@ -296,7 +297,7 @@ def _blocks_of(
                 if first_only and (len(text) < MIN_PAGE_COMMENT or text[:COMMENT_ID_CHARS] in seen):
                     continue
                 seen.add(text[:COMMENT_ID_CHARS])
-                rows.append((text, _author_near(node) if first_only else ""))
+                rows.append((text, _author_near(node, authors) if first_only else ""))
             if rows:
                 break
         if not rows and not first_only:  # the class stood in a comment or a script only
@@ -309,10 +310,15 @@ def _blocks_of(
             # A few pages at a time, so that long pages do not pile up as Python objects.
             for start in range(0, batch.num_rows, PAGES_AT_ONCE):
                 some = batch.slice(start, PAGES_AT_ONCE)
+                plain = [None] * some.num_rows
+                if "_plain" in some.schema.names:
+                    plain = some.column("_plain").to_pylist()
                 rows = [
                     (page, place, *block)
                     for page, html in enumerate(some.column("html").to_pylist())
-                    for place, block in enumerate(found(html))
+                    for place, block in enumerate(
+                        found(html) if plain[page] is None else [(t, "") for t in plain[page]]
+                    )
                 ]
                 page, place, text, author = zip(*rows) if rows else ((), (), (), ())
                 kept_rows = some.select(names).take(pa.array(page, pa.int64()))
@@ -333,10 +339,12 @@ _PARAGRAPH = Selector("p")
 _AUTHORS = [Selector.of(s) for s in AUTHOR_SELECTORS]
 
 
-def _author_near(node) -> str:
-    """The first author among the elements around a comment."""
-    for selector in _AUTHORS if node.parent is not None else ():
-        hits = select(node.parent, selector)
-        if hits:
-            return text_of(hits[0], "")
-    return ""
+def _author_near(node, known: dict[int, str]) -> str:
+    """The first author among the elements around a comment, looked for once per parent."""
+    parent = node.parent
+    if parent is None:
+        return ""
+    if id(parent) not in known:
+        hits = (select(parent, selector) for selector in _AUTHORS)
+        known[id(parent)] = next((text_of(h[0], "") for h in hits if h), "")
+    return known[id(parent)]

@@ -11,7 +11,6 @@ from pyspark.sql.types import StructType
 
 from ..functions.numbers import safe_divide
 from ..operators.measures import is_negative
-from ..operators.select import dedup_keep_first
 from ..schemas import LANDED_REVIEW
 from ..session import checkpoint_root
 
@@ -86,15 +85,18 @@ def append_once(df: DataFrame, name: str, path: str) -> StreamingQuery:
     )
 
 
-def upsert_once(df: DataFrame, name: str, path: str) -> StreamingQuery:
+def upsert_once(
+    df: DataFrame, name: str, path: str, keys: Sequence[str] = ("day",)
+) -> StreamingQuery:
     """Take in everything that has landed into running counts, and stop.
 
-    Each batch writes the rows it changed to a folder of its own, over what a failed attempt at
-    the same batch left there; ``latest`` reads the newest row per key.
+    Each batch replaces the folders of the ``keys`` it changed and leaves the others, so there is
+    one version of every day, however many batches ran, and a repeated batch replaces itself.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        replaced = batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        replaced.partitionBy(*keys).parquet(path)
 
     return (
         df.writeStream.queryName(name)
@@ -106,7 +108,6 @@ def upsert_once(df: DataFrame, name: str, path: str) -> StreamingQuery:
     )
 
 
-def latest(spark: SparkSession, path: str, keys: Sequence[str] = ("day",)) -> DataFrame:
-    """The newest row per key of what ``upsert_once`` wrote."""
-    rows = spark.read.parquet(path)
-    return dedup_keep_first(rows, keys, [F.col("batch").desc()], drop_null_keys=False).drop("batch")
+def latest(spark: SparkSession, path: str) -> DataFrame:
+    """The counts that ``upsert_once`` keeps."""
+    return spark.read.parquet(path)

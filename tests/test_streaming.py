@@ -52,8 +52,8 @@ def test_daily_counts_grow_over_runs_and_match_batch(spark, tmp_path):
     def run():
         stream = st.stream_reviews(spark, str(tmp_path / "in"), files_per_trigger=1)
         daily = st.stream_daily_negativity(stream.withWatermark("ts", "30 days"), by=["platform"])
-        st.upsert_once(daily, name, out).awaitTermination()
-        return st.latest(spark, out, ["day", "platform"])
+        st.upsert_once(daily, name, out, ["day", "platform"]).awaitTermination()
+        return st.latest(spark, out)
 
     def batch():
         landed = spark.read.schema(LANDED_REVIEW).json(str(tmp_path / "in"))
@@ -71,12 +71,23 @@ def test_daily_counts_grow_over_runs_and_match_batch(spark, tmp_path):
     assert [(r["month"], r["n_reviews"]) for r in months] == [(datetime.date(2025, 12, 1), 48)]
 
 
-def test_latest_takes_the_last_batch(spark, tmp_path):
-    for batch, n in ((0, 1), (2, 3), (10, 5)):
-        spark.range(1).select(F.lit("d").alias("day"), F.lit(n).alias("n")).write.parquet(
-            f"{tmp_path}/x/batch={batch}"
-        )
-    assert [tuple(r) for r in st.latest(spark, f"{tmp_path}/x").collect()] == [("d", 5)]
+def test_counts_have_one_version_per_day(spark, tmp_path):
+    """However many runs there are, days bound the folders."""
+    landed, out = tmp_path / "landed", tmp_path / "out"
+    for turn in range(4):
+        spark.sql(
+            f"""select id, 'p' platform, timestamp '2026-01-01 05:00:00' + make_interval(0, 0, 0,
+                cast(id % 3 as int)) ts, 'x' text, 'Negative' sentiment from range({10 + turn})"""
+        ).withColumnRenamed("id", "review_id").withColumn(
+            "review_id", F.col("review_id").cast("string")
+        ).write.mode("append").json(str(landed))
+        stream = st.stream_reviews(spark, str(landed))
+        counts = st.stream_daily_negativity(stream.withWatermark("ts", "7 days"))
+        name = f"days-{tmp_path.name}"
+        st.upsert_once(counts, name, str(out)).awaitTermination()
+    folders = [x.name for x in out.iterdir() if x.is_dir() and not x.name.startswith("_")]
+    assert len(folders) == 3
+    assert sum(r["n_reviews"] for r in st.latest(spark, str(out)).collect()) == 46
 
 
 def test_batch_twin_of_dedup(spark, sf):
