@@ -29,7 +29,8 @@ def blocks_of(phrases: DataFrame, phrase: str) -> list[list[dict]]:
     total = rows.agg(F.sum(F.char_length("_phrase"))).first()[0] or 0
     n = math.ceil(total / BLOCK_CHARACTERS)
     part = F.pmod(F.xxhash64("_phrase"), F.lit(max(n, 1)))
-    return [[r.asDict() for r in rows.filter(part == b).collect()] for b in range(n)]
+    blocks = ([r.asDict() for r in rows.filter(part == b).collect()] for b in range(n))
+    return [block for block in blocks if block]
 
 
 def _automaton(block: list):

@@ -5,6 +5,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
+from echotide.functions.text import lookup
 from echotide.operators import select as sel
 
 
@@ -95,7 +96,7 @@ def test_binned_rank_counts_null_groups(spark):
 @pytest.mark.parametrize("n", [0, 1, 150, 700, 2500, 9999])
 def test_global_budget(skewed, n):
     ranks = {"g0": 1, "g3": 2, "hot": 3, "g1": 4, "g2": 5, "g4": 6}
-    ranked = skewed.withColumn("r", sel.lookup(F.col("g"), ranks))
+    ranked = skewed.withColumn("r", lookup(F.col("g"), ranks))
     got = sel.budget_global(ranked, "r", ["t", "id"], n)
     want = sorted(skewed_rows(), key=lambda r: (ranks[r[0]], r[1], r[2]))[:n]
     assert ids(got) == {r[2] for r in want}
