@@ -28,7 +28,7 @@ def test_csv_types_headers_and_quotes(spark, tmp_path):
     ]
     path = tmp_path / "reviews.csv"
     path.write_text("\n".join([",".join(names), *rows]) + "\n")
-    got = {r["review_id"]: r for r in files.read_reviews_csv(spark, str(path)).collect()}
+    got = {r["review_id"]: r for r in files.read_reviews_csv(spark, str(path), multiline=True).collect()}
     assert got["007"]["review_date"] == datetime.date(2025, 12, 31)
     assert got["007"]["text"] == 'two\nlines, "quoted"'
     assert (got["007"]["star_rating"], got["007"]["sentiment_score"]) == (5, -0.5)
@@ -43,7 +43,7 @@ def test_csv_with_other_header_is_refused(spark, tmp_path):
     path = tmp_path / "reviews.csv"
     path.write_text(",".join(reversed(names)) + "\n" + ",".join("x" * len(names)) + "\n")
     with pytest.raises(Exception):
-        files.read_reviews_csv(spark, str(path)).collect()
+        files.read_reviews_csv(spark, str(path), multiline=True).collect()
 
 
 def label(v):
