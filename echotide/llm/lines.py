@@ -17,12 +17,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schemas import computed
 from .common import numbered, staged
 
 EDITS = 2
 LEAST_CHARS = 20
 #: Lines that met, up to which their list (two numbers each) is sent to all tasks.
 MOST_SENT = 500_000
+#: Letters that are counted before a distance is; any choice gives the same result.
+LETTERS = "etaoinsrhldcumfpgwybvk"
 NEWLINE = "\n"
 LINE = ["h1", "h2"]
 
@@ -38,12 +41,23 @@ def segment_bounds(length: Column, edits: int, i: int) -> tuple[Column, Column]:
     return start, base + (F.lit(i) > first_longer).cast("int")
 
 
-def probes(line: Column, edits: int) -> Column:
-    """All index and probe keys of a line: the key, and whether it is an own segment.
+def pieces(line: Column, n: Column, edits: int) -> list[Column]:
+    """For each segment the part of the line that its probes lie in, and where that begins."""
+    out = []
+    for i in range(1, edits + 2):
+        start, size = segment_bounds(n, edits, i)
+        first = F.greatest(start - 2 * edits, F.lit(1))
+        out.append(F.substring(line, first, size + 4 * edits + 2).alias(f"piece{i}"))
+        out.append(first.alias(f"first{i}"))
+    return out
+
+
+def probes(n: Column, edits: int) -> Column:
+    """All index and probe keys of a line of ``n`` characters with its ``pieces``: the key, and
+    whether it is an own segment; null where a shift leads out of the line.
 
     For each length the line could match from above and each segment, shifts run over what the
     edits before it and after it allow both."""
-    n = F.char_length(line)
     out = []
     for shorter in range(edits + 1):
         length = n - shorter
@@ -53,7 +67,8 @@ def probes(line: Column, edits: int) -> Column:
             high = min(i - 1, shorter + (edits + 1 - i))
             for shift in range(low, high + 1):
                 at = start + shift
-                key = F.xxhash64(length, F.lit(i), F.substring(line, at, size))
+                part = F.substring(F.col(f"piece{i}"), at - F.col(f"first{i}") + 1, size)
+                key = F.xxhash64(length, F.lit(i), part)
                 fits = (at >= 1) & (at + size - 1 <= n)
                 out.append(
                     F.when(
@@ -61,14 +76,16 @@ def probes(line: Column, edits: int) -> Column:
                         F.struct(key.alias("key"), F.lit(shorter == 0 and shift == 0).alias("own")),
                     )
                 )
-    return F.array_compact(F.array(*out))
+    return F.array(*out)
 
 
 def within(a: Column, b: Column, edits: int) -> Column:
     """Whether two lines lie within ``edits`` insertions, deletions or replacements.
 
     A column of the band holds ``2 edits + 1`` cells around the diagonal as bits of vertical
-    differences; one step of bit operations moves it by one character. ``a`` is the longer line.
+    differences; one step of bit operations moves it by one character. Once the lower edge of the
+    band is too far to come back, steps do nothing. ``a`` and ``b`` are arrays of characters, the
+    longer line first, neither empty.
     """
     width = 2 * edits + 2
     mask = (1 << width) - 1
@@ -85,10 +102,11 @@ def within(a: Column, b: Column, edits: int) -> Column:
                 for k in range(width)
             ),
         )
-        return F.transform(
+        moved = F.transform(
             F.array(F.struct(state.alias("s"), equal.alias("x"))),
             lambda v: _column(v["s"], v["x"], i, m, edits, mask, top),
         )[0]
+        return F.when(state["distance"] > 2 * edits + n - m, state).otherwise(moved)
 
     start = F.struct(
         F.lit(mask ^ ((1 << (width - edits - 1)) - 1)).cast("long").alias("vp"),
@@ -137,6 +155,58 @@ def _column(s: Column, x: Column, i: Column, m: Column, edits: int, mask: int, t
     return once(d0, rest)
 
 
+def common_start(x: Column, y: Column) -> Column:
+    """How many characters two lines begin with in common, by bisection."""
+    most = F.least(F.char_length(x), F.char_length(y))
+
+    def longer(known: Column, step: Column) -> Column:
+        n = known + step
+        same = (n <= most) & (F.substring(x, F.lit(1), n) == F.substring(y, F.lit(1), n))
+        return F.when(same, n).otherwise(known)
+
+    steps = F.array(*(F.lit(1 << k) for k in range(26, -1, -1)))
+    return F.aggregate(steps, F.lit(0), longer)
+
+
+def same_letters(x: Column, y: Column, edits: int) -> Column:
+    """Whether counts of common letters allow ``edits`` edits: each changes two of them at most."""
+
+    def count(c: Column, letter: str) -> Column:
+        return F.char_length(c) - F.char_length(F.replace(c, F.lit(letter), F.lit("")))
+
+    differ = (F.abs(count(x, letter) - count(y, letter)) for letter in LETTERS)
+    return reduce(lambda a, b: a + b, differ) <= 2 * edits
+
+
+def near_pairs(pairs: DataFrame, edits: int) -> DataFrame:
+    """The rows of ``pairs`` whose ``x`` and ``y`` lie within ``edits`` edits. What they begin and
+    end with in common has no part in the distance and is cut first, and of the rest only those go
+    on to the distance whose letters agree."""
+
+    # ``computed`` keeps each step from being repeated in the next one's expressions.
+    def cut(df: DataFrame) -> DataFrame:
+        df = computed(df, start=common_start(F.col("x"), F.col("y")) + 1)
+        rest = {
+            c: F.reverse(F.substring(f"_{c}", F.col("start"), F.char_length(f"_{c}"))) for c in "xy"
+        }
+        named = df.withColumnsRenamed({"x": "_x", "y": "_y"})
+        return computed(named, **rest).drop("_x", "_y", "start")
+
+    short = cut(cut(pairs))
+    n_x, n_y = F.char_length("x"), F.char_length("y")
+    possible = (F.abs(n_x - n_y) <= edits) & same_letters(F.col("x"), F.col("y"), edits)
+    swap = n_x < n_y
+    short = computed(
+        short.filter(possible),
+        _longer=F.split(F.when(swap, F.col("y")).otherwise(F.col("x")), ""),
+        _shorter=F.split(F.when(swap, F.col("x")).otherwise(F.col("y")), ""),
+    )
+    near = F.when(F.least(n_x, n_y) == 0, F.greatest(n_x, n_y) <= edits).otherwise(
+        within(F.col("_longer"), F.col("_shorter"), edits)
+    )
+    return short.filter(near).drop("_longer", "_shorter")
+
+
 def numbered_lines(docs: DataFrame) -> DataFrame:
     """``row, doc_id, place, line`` of every line with something other than white space."""
     return docs.select(
@@ -151,9 +221,13 @@ def _identity(line: str) -> list[Column]:
 def met(lines: DataFrame, edits: int) -> DataFrame:
     """Pairs of different lines (``a``, ``b`` with two hashes each, unverified) that share a segment
     at a possible place. ``lines`` holds ``line``."""
+    # Lengths and hashes are columns of their own, so that each is computed once in compiled code.
+    sized = lines.select("line", F.char_length("line").alias("n"), *_identity("line"))
     keyed = (
-        lines.filter(F.char_length("line") >= LEAST_CHARS)
-        .select(*_identity("line"), F.explode(probes(F.col("line"), edits)).alias("probe"))
+        sized.filter(F.col("n") >= LEAST_CHARS)
+        .select("h1", "h2", "n", *pieces(F.col("line"), F.col("n"), edits))
+        .select("h1", "h2", F.explode(probes(F.col("n"), edits)).alias("probe"))
+        .filter("probe is not null")
         .select("h1", "h2", "probe.key", "probe.own")
     )
     # A key that only one line has meets nothing; most are of that kind and go before any pairing.
@@ -194,14 +268,10 @@ def near_links(docs: DataFrame, places: DataFrame, edits: int = EDITS) -> DataFr
         .select(F.struct("w.h1", "w.h2").alias("id"), F.get("lines", F.col("w.place")).alias("line"))
     )
     texts = staged(texts.withColumn("n", F.char_length("line")), "lines")
-    left = texts.select(F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("n").alias("n_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("line").alias("line_b"), F.col("n").alias("n_b"))
+    left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"), F.col("n").alias("n_a"))
+    right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"), F.col("n").alias("n_b"))
     both = pairs.join(left, "a").join(right, "b").filter(F.abs(F.col("n_a") - F.col("n_b")) <= edits)
-    swap = F.col("n_a") < F.col("n_b")
-    longer = F.split(F.when(swap, F.col("line_b")).otherwise(F.col("line_a")), "")
-    shorter = F.split(F.when(swap, F.col("line_a")).otherwise(F.col("line_b")), "")
-    both = both.select("a", "b", F.explode(F.array(F.struct(longer.alias("x"), shorter.alias("y")))).alias("v"))
-    return both.filter(within(F.col("v.x"), F.col("v.y"), edits)).select("a", "b")
+    return near_pairs(both.select("a", "b", "x", "y"), edits).select("a", "b")
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:

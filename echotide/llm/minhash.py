@@ -7,16 +7,18 @@ shifted reads of one shingle are one stretch of the second permutation.
 Documents with equal sets collapse to one. Signatures are cut into bands; documents that share a
 band are candidates. Instead of all pairs of a bucket, each member is first held against the
 bucket's centre, the member that meets most others over all bands. What that links is joined into
-components, and only members of a bucket that are still in different components are compared with
-each other. Large mixed buckets of that kind go through an exact prefix filter instead.
+components. Members that are still outside the largest component of their bucket are then compared
+with all its members, in blocks of bounded size, by their signatures: first their closest partners
+are confirmed, and in the end every partner whose signature leaves a link possible. Pairs are
+therefore counted where they lie and only likely links leave a task, but none is left out.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,16 +29,16 @@ from .graph import components
 SHINGLE = 5
 PERCENT = 75
 UNIVERSE = 1 << 20
-ROWS = 4
-BANDS = 32
+ROWS = 6
+BANDS = 64
 COORDINATES = ROWS * BANDS
 SEED = 5
-#: A pair at the threshold agrees in 96 of 128 coordinates; fewer than this many would be a
-#: deviation of over five sigma, and is taken for no candidate.
-LEAST_AGREEING = 70
-STAR_TURNS = 3
-#: Buckets with more members than this that still hold several components are not paired.
-WIDE = 64
+#: A pair at the threshold agrees in 288 of 384 coordinates on average; fewer than this many would
+#: be a deviation of five sigma, and is taken for no candidate.
+LEAST_AGREEING = 246
+CENTRE_TURNS = 2
+CLOSEST = 2
+BLOCK = 2_000
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -84,7 +86,7 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 def signatures(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, set_a, set_b, signature, bands`` of every row; the pair of sums
-    identifies the set."""
+    identifies the set. Bands hash whole coordinates, the signature keeps a byte of each."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer()
@@ -105,7 +107,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                             for s in sets
                         ]
                     ),
-                    _lists(list(signed.astype(np.int32)), pa.int32()),
+                    pa.array([r.tobytes() for r in signed.astype(np.uint8)], pa.binary()),
                     _lists(list(bands.view(np.int64)), pa.int64()),
                 ],
                 ["doc_id", "n_shingles", "set_a", "set_b", "signature", "bands"],
@@ -113,7 +115,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         sign,
-        "doc_id long, n_shingles long, set_a long, set_b long, signature array<int>,"
+        "doc_id long, n_shingles long, set_a long, set_b long, signature binary,"
         " bands array<long>",
     )
 
@@ -152,108 +154,164 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _bytes(column: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), COORDINATES)
+
+
+def _sizes_fit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.minimum(a, b) * 100 >= np.maximum(a, b) * PERCENT
+
+
 def likely(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """The ``pairs`` whose sizes allow a link and whose signatures agree often enough."""
-    left = signed.select(
-        F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("signature").alias("s_a")
+    sides = [
+        signed.select(
+            F.col("doc_id").alias(x),
+            F.col("n_shingles").alias(f"n_{x}"),
+            F.col("signature").alias(f"s_{x}"),
+        )
+        for x in "ab"
+    ]
+
+    def agree(batches):
+        for part in batches:
+            if len(part):
+                equal = (_bytes(part["s_a"]) == _bytes(part["s_b"])).sum(axis=1)
+                fit = _sizes_fit(part["n_a"].to_numpy(), part["n_b"].to_numpy())
+                yield part.loc[(equal >= LEAST_AGREEING) & fit, ["a", "b"]]
+
+    return pairs.join(sides[0], "a").join(sides[1], "b").mapInPandas(agree, "a long, b long")
+
+
+def partners(a: pd.DataFrame, b: pd.DataFrame, most: int | None) -> pd.DataFrame:
+    """Likely links of the members ``a`` of a bucket with members ``b`` of other components, for
+    each of ``a`` the ``most`` closest ones or all. A pair that shares several bands counts in the
+    first of them."""
+    out = []
+    if len(a) and len(b):
+        band = int(a["place"].iloc[0])
+        theirs, n_b = _bytes(b["signature"]), b["n_shingles"].to_numpy()
+        bands = np.vstack(b["bands"].to_numpy())
+        root_b, id_b = b["root"].to_numpy(), b["id"].to_numpy()
+        for x in a.itertuples():
+            fit = np.flatnonzero((root_b != x.root) & _sizes_fit(n_b, x.n_shingles))
+            count = (theirs[fit] == np.frombuffer(x.signature, np.uint8)).sum(axis=1)
+            close = count >= LEAST_AGREEING
+            fit, count = fit[close], count[close]
+            first = (bands[fit] == x.bands).argmax(axis=1) == band
+            fit, count = fit[first], count[first]
+            if most is not None:
+                fit = fit[np.lexsort((id_b[fit], -count))[:most]]
+            out.append(
+                pd.DataFrame(
+                    {"a": np.minimum(id_b[fit], x.id), "b": np.maximum(id_b[fit], x.id)}
+                )
+            )
+    return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []})
+
+
+def outsiders(placed: DataFrame, signed: DataFrame, most: int | None) -> DataFrame:
+    """Likely links of all members of a bucket that lie outside its largest component. Both they and
+    the whole bucket are cut into blocks of about ``BLOCK`` rows."""
+    parts = placed.groupBy("band", "root").agg(F.count("*").alias("n"))
+    buckets = (
+        parts.groupBy("band")
+        .agg(
+            F.max(F.struct("n", "root")).alias("largest"),
+            F.sum("n").alias("all"),
+            F.count("*").alias("roots"),
+        )
+        .filter("roots > 1")
+        .select(
+            "band",
+            F.col("largest.root").alias("inside"),
+            F.ceil((F.col("all") - F.col("largest.n")) / BLOCK).alias("i_blocks"),
+            F.ceil(F.col("all") / BLOCK).alias("j_blocks"),
+        )
     )
-    right = signed.select(
-        F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("signature").alias("s_b")
+    rows = (
+        placed.join(buckets, "band")
+        .select("band", "place", "id", "root", "inside", "i_blocks", "j_blocks")
+        .join(signed.select(F.col("doc_id").alias("id"), "n_shingles", "signature", "bands"), "id")
     )
-    agreeing = F.size(F.filter(F.zip_with("s_a", "s_b", lambda x, y: x == y), lambda e: e))
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT)
-        .filter(agreeing >= LEAST_AGREEING)
-        .select("a", "b")
+    rows = staged(rows, "outsiders")
+
+    def each(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    def one(n):
+        return F.pmod(F.xxhash64("id"), F.col(n))
+
+    keys = ["band", "i", "j"]
+    columns = [*keys, "place", "id", "root", "n_shingles", "signature", "bands"]
+    ask = rows.filter("root != inside").withColumn("i", one("i_blocks"))
+    ask = ask.withColumn("j", each("j_blocks")).select(columns)
+    answer = rows.withColumn("j", one("j_blocks")).withColumn("i", each("i_blocks")).select(columns)
+    found = (
+        ask.groupBy(keys)
+        .cogroup(answer.groupBy(keys))
+        .applyInPandas(lambda a, b: partners(a, b, most), "a long, b long")
     )
+    return found.distinct()
 
 
-def prefix_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs that can reach the threshold, found exactly: two sets that do must share one of the
-    rarest ``n - ceil(PERCENT n / 100) + 1`` shingles of each. ``members`` has ``id`` and ``root``;
-    only pairs of different roots are given. Common passages are never among the rarest."""
-    items = sets.join(members, "id").select("id", "root", F.explode("shingles").alias("shingle"))
-    counts = items.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1")
-    ranked = items.join(counts, "shingle", "left").groupBy("id", "root").agg(
-        F.array_sort(
-            F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))
-        ).alias("order")
+def centres(placed: DataFrame, again: bool) -> DataFrame:
+    """``a, b``: each member of a bucket of several components with the heaviest centre of its
+    buckets. ``again`` takes the centre of those that are outside the first one's component."""
+    heaviest = F.max(F.struct("weight", (-F.col("id")).alias("id"), "root")).alias("centre")
+    mixed = (
+        placed.groupBy("band")
+        .agg(F.min("root").alias("least"), F.max("root").alias("most"), heaviest)
+        .filter("least != most")
+    )
+    if again:
+        first = mixed.select("band", F.col("centre.root").alias("done"))
+        mixed = placed.join(first, "band").filter("root != done").groupBy("band").agg(heaviest)
+    return (
+        placed.join(mixed.select("band", "centre"), "band")
+        .filter(F.col("root") != F.col("centre.root"))
+        .groupBy("id")
+        .agg(F.max("centre").alias("centre"))
+        .select(F.col("id").alias("a"), (-F.col("centre.id")).alias("b"))
     )
-    n = F.size("order")
-    prefix = ranked.select(
-        "id",
-        "root",
-        F.explode(
-            F.slice("order", 1, (n - F.ceil(n * PERCENT / 100.0) + 1).cast("int"))
-        ).alias("item"),
-    ).filter("item.n > 1").select("id", "root", F.col("item.shingle").alias("shingle"))
-    return _cross(prefix, "shingle")
-
-
-def _cross(members: DataFrame, key: str) -> DataFrame:
-    """Pairs of members of a key that lie in different components."""
-    a = members.select(key, F.col("id").alias("a"), F.col("root").alias("root_a"))
-    b = members.select(key, F.col("id").alias("b"), F.col("root").alias("root_b"))
-    return a.join(b, key).filter("a < b and root_a != root_b").select("a", "b").distinct()
 
 
 def linked(docs: DataFrame, signed: DataFrame) -> DataFrame:
-    """``id, root`` of documents that link with others of a different set. ``signed`` holds one
-    row per set."""
+    """``id, root`` of documents that share a band with others. ``signed`` holds one row per set."""
     filed = signed.filter("n_shingles > 0").select(
-        F.col("doc_id").alias("id"), F.explode("bands").alias("band")
+        F.col("doc_id").alias("id"), F.posexplode("bands").alias("place", "band")
     )
     shared = filed.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
-    buckets = staged(filed.join(shared, "band"), "buckets")
-    weight = buckets.groupBy("id").agg(F.sum("members").alias("weight"))
-    buckets = staged(buckets.join(weight, "id"), "buckets")
-    touched = weight.select(F.col("id").alias("doc_id"))
-    sets = staged(full_sets(docs.join(touched, "doc_id", "left_semi")).dropDuplicates(["id"]), "sets")
-    some = staged(signed.join(touched, "doc_id", "left_semi").drop("bands"), "signed")
-
-    edges = None
-    roots = buckets.select("id", F.col("id").alias("root")).distinct()
-    for turn in range(STAR_TURNS + 1):
+    met = staged(filed.join(shared, "band"), "met")
+    weight = met.groupBy("id").agg(F.sum("members").alias("weight"))
+    buckets = staged(met.join(weight, "id").drop("members"), "buckets")
+    ids = staged(weight.select("id"), "ids")
+    touched = ids.withColumnRenamed("id", "doc_id")
+    some = staged(signed.join(touched, "doc_id", "left_semi"), "signed")
+    roots = ids.withColumn("root", F.col("id"))
+    sets, edges = None, None
+    for turn in range(CENTRE_TURNS + 2):
         placed = staged(buckets.join(roots, "id"), "placed")
-        mixed = placed.groupBy("band").agg(
-            F.min("root").alias("least"),
-            F.max("root").alias("most"),
-            F.max(F.struct("weight", (-F.col("id")).alias("id"), "root")).alias("centre"),
-        ).filter("least != most")
-        if turn < STAR_TURNS:
-            # Later turns take the centre of those that the first centre did not reach.
-            if turn % 2:
-                first = mixed.select("band", F.col("centre.root").alias("done"))
-                mixed = placed.join(first, "band").filter("root != done").groupBy("band").agg(
-                    F.max(F.struct("weight", (-F.col("id")).alias("id"), "root")).alias("centre")
-                )
-            star = (
-                placed.join(mixed.select("band", "centre"), "band")
-                .filter(F.col("root") != F.col("centre.root"))
-                .groupBy("id")
-                .agg(F.max("centre").alias("centre"))
-                .select(F.col("id").alias("a"), (-F.col("centre.id")).alias("b"))
-            )
-            pairs = staged(star, "pairs")
+        if turn < CENTRE_TURNS:
+            pairs = likely(centres(placed, again=turn > 0), some)
         else:
-            left = staged(placed.join(mixed.select("band"), "band"), "left")
-            wide = left.filter(F.col("members") > WIDE).select("id", "root").distinct()
-            pairs = _cross(left.filter(F.col("members") <= WIDE), "band")
-            if not wide.isEmpty():
-                pairs = pairs.unionByName(prefix_pairs(wide, sets)).distinct()
-            pairs = staged(pairs, "pairs")
-        new = staged(confirmed(likely(pairs, some), sets), "links")
-        if not new.isEmpty():
-            edges = new if edges is None else edges.unionByName(new)
-            found = staged(components(edges), "roots")
-            roots = (
-                buckets.select("id")
-                .distinct()
-                .join(found, "id", "left")
-                .select("id", F.coalesce("root", "id").alias("root"))
+            pairs = outsiders(placed, some, CLOSEST if turn == CENTRE_TURNS else None)
+        pairs = staged(pairs, "pairs")
+        if pairs.isEmpty():
+            continue
+        if sets is None:
+            sets = staged(
+                full_sets(docs.join(touched, "doc_id", "left_semi")).dropDuplicates(["id"]), "sets"
             )
+        new = staged(confirmed(pairs, sets), "links")
+        if new.isEmpty():
+            continue
+        edges = new if edges is None else edges.unionByName(new)
+        found = components(edges)
+        roots = staged(
+            ids.join(found, "id", "left").select("id", F.coalesce("root", "id").alias("root")),
+            "roots",
+        )
     return roots
 
 

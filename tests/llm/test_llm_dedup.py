@@ -34,7 +34,7 @@ def test_circulant_signatures_estimate_similarity():
         a, b = pool[: 1000 + common // 2], pool[1000 - common // 2 : 2000]
         similarity = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
         agree = (signer(a) == signer(b)).mean()
-        assert abs(agree - similarity) < 4 * (similarity * (1 - similarity) / 128) ** 0.5
+        assert abs(agree - similarity) < 4 * (similarity * (1 - similarity) / minhash.COORDINATES) ** 0.5
 
 
 def families() -> list[tuple]:
@@ -60,18 +60,17 @@ def test_near_duplicates(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == want
 
 
-def test_near_duplicates_of_a_large_group(spark, monkeypatch):
-    """Members of one bucket that its centre does not reach are still linked, also when the bucket
-    is taken as a wide one."""
+@pytest.mark.parametrize(("turns", "block"), [(2, 2000), (0, 7)])
+def test_near_duplicates_of_a_large_group(spark, monkeypatch, turns, block):
+    """Members that the centre of their bucket does not reach are still linked, in any blocks."""
     rng = random.Random(9)
     base = prose(rng, 120)
     rows = [(i, edited(rng, base, 0.025), "en", "s", 0) for i in range(80)]
+    monkeypatch.setattr(minhash, "CENTRE_TURNS", turns)
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
     want = near_duplicates(rows)
-    for wide in (64, 2):
-        monkeypatch.setattr(minhash, "WIDE", wide)
-        monkeypatch.setattr(minhash, "STAR_TURNS", 1)
-        got = minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
-        assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == want
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == want
 
 
 def test_near_duplicates_of_odd_ids(spark):
@@ -146,6 +145,9 @@ def test_banded_distance(spark, edits):
     df = spark.createDataFrame(pairs, "a string, b string")
     got = df.select("a", "b", lines.within(F.split("a", ""), F.split("b", ""), edits).alias("near"))
     assert all(r["near"] == (distance(r["a"], r["b"]) <= edits) for r in got.collect())
+    named = df.select("a", "b", F.col("a").alias("x"), F.col("b").alias("y"))
+    near = sorted((r["a"], r["b"]) for r in lines.near_pairs(named, edits).collect())
+    assert near == sorted(p for p in pairs if distance(*p) <= edits)
 
 
 def line_rows() -> list[tuple]:
