@@ -101,6 +101,13 @@ def negative_share(
     if share_of not in ("reviews", "categories"):
         raise ValueError("share_of is 'reviews' or 'categories'")
     slices = [*by, "l1_category"]
+    if not by and share_of == "reviews":
+        # The total is a level of the same pass.
+        levels = negative_reviews_with_total(fact, floor=floor)
+        rows = F.col("level") == 0
+        whole = F.max(F.when(~rows, F.col("negative_reviews"))).over(Window.partitionBy(F.lit(0)))
+        share = safe_divide(F.col("negative_reviews"), whole)
+        return levels.withColumn("share", share).filter(rows).drop("level")
     counted = negative_reviews(fact, slices, floor)
     # One row per slice and category.
     alone = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -113,13 +120,8 @@ def negative_share(
         whole = rows.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(
             F.count_distinct("review_id").alias("_whole")
         )
-        if by:
-            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
-            counted = counted.join(whole, same).drop(*[f"_{c}" for c in by])
-        else:
-            counted = counted.withColumn("_one", F.lit(1)).join(
-                whole.withColumn("_one", F.lit(1)), "_one"
-            )
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+        counted = counted.join(whole, same).drop(*[f"_{c}" for c in by])
     return counted.select(
         *slices,
         "negative_reviews",

@@ -82,12 +82,15 @@ def dedup_text(
 ) -> DataFrame:
     """The first row per cleaned text. Rows without a text are no copies of each other and stay,
     unless ``keep_null`` is false. Texts are told apart by a digest, so that they are not sorted."""
-    keyed = df.withColumn("_digest", F.sha2(clean_text(F.col(text)), 256))
-    known = keyed.filter(F.col("_digest").isNotNull())
-    first = dedup_keep_first(known, ["_digest"], order)
-    if keep_null:
-        first = first.unionByName(keyed.filter(F.col("_digest").isNull()))
-    return first.drop("_digest")
+    keyed = computed(df, _digest=F.sha2(clean_text(F.col(text)), 256))
+    if keep_null:  # a key of their own
+        own = F.when(F.col("_digest").isNull(), F.monotonically_increasing_id())
+    else:
+        keyed, own = keyed.filter(F.col("_digest").isNotNull()), F.lit(None).cast("long")
+    first = dedup_keep_first(
+        keyed.withColumn("_own", own), ["_digest", "_own"], order, drop_null_keys=False
+    )
+    return first.drop("_digest", "_own")
 
 
 # Budgets
