@@ -46,7 +46,7 @@ def test_toxicity_learns_terms_and_exceptions(spark):
         text = prose(rng, 30)
         if bad:
             text += " " + rng.choice(["mudhead", "mudh3ad", "grubling"]) + " " + prose(rng, 3)
-        elif i % 20 == 1:
+        elif i % 40 == 1:
             text += " old grubling stew"
         rows.append((i, text, "x"))
         labels.append((i, int(bad)))
