@@ -8,7 +8,9 @@ by exact cosine in double precision.
 
 How many buckets are visited is not guessed: for a bounded sample of queries the true neighbours
 are found by one linear pass over all rows, and the shortest visit that reaches the wanted recall
-on them is used for all.
+on them is used for all. If no visit of at most ``MOST_PROBES`` buckets does, there are fewer
+functions, so larger buckets, until one does. A query that meets too few rows visits further
+buckets, and in the end is held against all rows.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -32,16 +34,26 @@ SAMPLE = 200
 MOST_PROBES = 20_000
 BLOCK = 4_000
 REACH = 5  # slots to either side that a probe may move
+FURTHER = 8  # times as many probes for queries that met too few rows
 
 
 @dataclass
 class Plan:
-    """The fitted search: functions per table, distance of neighbours, probes per table."""
+    """The fitted search: functions per table, distance of neighbours, probes per table. Without
+    functions all rows of a length are in one bucket, and the search is exact."""
 
     m: int
     distance: float
     probes: int
     seed: int
+    tables: int = TABLES
+
+    def exact(self) -> Plan:
+        return replace(self, m=0, probes=1, tables=1)
+
+    def most(self) -> int:
+        """The number of buckets that a visit can reach at most."""
+        return min(MOST_PROBES, (2 * REACH + 1) ** self.m)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -159,9 +171,40 @@ def _top(scored: DataFrame, k: int) -> DataFrame:
     )
 
 
+def places(
+    vectors: dict[int, np.ndarray], near: dict[int, list], plan: Plan
+) -> list[int] | None:
+    """The place in the visit at which each true neighbour is met, or nothing as soon as too many
+    are out of reach for the wanted recall."""
+    total = sum(map(len, near.values()))
+    spare = total - 1 - math.ceil(RECALL * (total - 1))
+    out = []
+    for qid, others in near.items():
+        q = unit(vectors[qid])
+        place = np.full(len(others), MOST_PROBES + 1)
+        for t in range(plan.tables):
+            own, inside = slots(q, t, plan)
+            there = slots(unit(np.vstack(others)), t, plan)[0] - own
+            wanted = {}
+            for i, move in enumerate(map(tuple, there.tolist())):
+                wanted.setdefault(move, []).append(i)
+            for rank, move in enumerate(probes(inside[0], plan.distance, MOST_PROBES), 1):
+                for i in wanted.pop(move, ()):
+                    place[i] = min(place[i], rank)
+                if not wanted:
+                    break
+        spare -= int((place > MOST_PROBES).sum())
+        if spare < 0:
+            return None
+        out.extend(place.tolist())
+    return out
+
+
 def fit(rows: DataFrame, queries: DataFrame, k: int, seed: int) -> Plan:
     """The number of functions by the number of rows, and the shortest visit that finds the true
-    neighbours of at most ``SAMPLE`` queries with the wanted recall."""
+    neighbours of at most ``SAMPLE`` queries with the wanted recall. The query's own vector and its
+    copies, which are met at once, do not count. Where no visit finds enough, there is a function
+    less, down to none."""
     n = rows.count()
     m = max(1, round(math.log(max(n, 1) / 500) / math.log(4))) if n > 500 else 1
     plan = Plan(m, 1.0, 1, seed)
@@ -182,63 +225,35 @@ def fit(rows: DataFrame, queries: DataFrame, k: int, seed: int) -> Plan:
                     yield pd.DataFrame({"qid": qid[i], "vec_id": ids, "score": score})
 
     true = _top(rows.mapInPandas(scan, "qid long, vec_id long, score double"), k)
+    own = {r["qid"]: r["v"] for r in sample}
     found = true.join(rows, "vec_id").select("qid", "v", "score").collect()
-    vectors = {qid: np.array([v]) for x in known.values() for qid, v in zip(*x, strict=True)}
+    found = [r for r in found if r["v"] != own[r["qid"]]]
+    if not found:
+        return plan
+    vectors = {qid: np.array([v]) for qid, v in own.items()}
     gaps = [math.sqrt(max(2 - 2 * r["score"], 1e-4)) for r in found]
-    plan.distance = float(np.quantile(gaps, 0.75)) if gaps else 1.0
-    places = []
+    plan.distance = float(np.quantile(gaps, 0.75))
     near: dict[int, list] = {}
     for r in found:
         near.setdefault(r["qid"], []).append(np.array([r["v"]]))
-    for qid, others in near.items():
-        q = unit(vectors[qid])
-        place = np.full(len(others), MOST_PROBES + 1)
-        for t in range(TABLES):
-            own, inside = slots(q, t, plan)
-            there = slots(unit(np.vstack(others)), t, plan)[0] - own
-            wanted = {}
-            for i, move in enumerate(map(tuple, there.tolist())):
-                wanted.setdefault(move, []).append(i)
-            for rank, move in enumerate(probes(inside[0], plan.distance, MOST_PROBES), 1):
-                for i in wanted.pop(move, ()):
-                    place[i] = min(place[i], rank)
-                if not wanted:
-                    break
-        places.extend(place.tolist())
-    if places:
-        plan.probes = int(np.quantile(places, RECALL, method="higher"))
-    return plan
+    while plan.m:
+        met = places(vectors, near, plan)
+        if met is not None:
+            plan.probes = int(np.quantile(met, RECALL, method="higher"))
+            return plan
+        plan.m -= 1
+    return plan.exact()
 
 
-def search(
-    vectors: DataFrame, is_query: object, k: int = 5, seed: int = 20, plan: Plan | None = None
-) -> DataFrame:
-    """For every row of ``vectors`` (``vec_id``, ``embedding``) where ``is_query`` holds, its ``k``
-    nearest other rows: ``query_id, rank, vec_id, score``, ties to the smaller id.
-
-    Vectors that are null, zero or not wholly finite take no part, nor do rows without an id.
-    Rows are compared with rows of the same length only. Copies of a vector are searched once: of
-    each group of equal vectors the ``k + 1`` smallest ids can be among anyone's nearest, so the
-    others are only queries. An empty table gives an empty result.
-    """
-    everyone = staged(usable(vectors).withColumn("is_query", is_query), "vectors")
-    same = Window.partitionBy("v").orderBy("vec_id")
-    rows = staged(
-        everyone.withColumn("copy", F.row_number().over(same))
-        .filter(F.col("copy") <= k + 1)
-        .select("vec_id", "v"),
-        "index",
-    )
-    asking = staged(
-        everyone.filter("is_query").groupBy("v").agg(F.min("vec_id").alias("qid")), "asking"
-    )
-    plan = plan or fit(rows, asking, k + 1, seed)
+def met(rows: DataFrame, asking: DataFrame, plan: Plan, k: int) -> DataFrame:
+    """``qid, vec_id, score``: the ``k`` nearest of the rows that each query of ``asking`` meets on
+    its visit, its own vector among them."""
 
     def index(batches):
         for part in batches:
             for dim, some in part.groupby(part["v"].map(len)):
                 u = unit(_matrix(some["v"]))
-                for t in range(TABLES):
+                for t in range(plan.tables):
                     bucket = code(slots(u, t, plan)[0])
                     yield some.assign(dim=dim, t=t, bucket=bucket)
 
@@ -246,7 +261,7 @@ def search(
         for part in batches:
             for qid, v in zip(part["qid"], part["v"], strict=True):
                 u = unit(np.array([v]))
-                for t in range(TABLES):
+                for t in range(plan.tables):
                     own, inside = slots(u, t, plan)
                     moves = np.array(list(probes(inside[0], plan.distance, plan.probes)))
                     yield pd.DataFrame(
@@ -296,7 +311,7 @@ def search(
         ids, v = a["vec_id"].to_numpy(), _matrix(a["v"])
         out = []
         for s in range(0, len(qid), 500):
-            i, j, score = best(q[s : s + 500], ids, v, k + 1)
+            i, j, score = best(q[s : s + 500], ids, v, k)
             out.append(pd.DataFrame({"qid": qid[s + i], "vec_id": j, "score": score}))
         return pd.concat(out)
 
@@ -306,7 +321,54 @@ def search(
         .cogroup(right.groupBy(keys))
         .applyInPandas(rank, "qid long, vec_id long, score double")
     )
-    nearest = _top(scored, k + 1).select("qid", "vec_id", "score")
+    return _top(scored, k).select("qid", "vec_id", "score")
+
+
+def search(
+    vectors: DataFrame, is_query: object, k: int = 5, seed: int = 20, plan: Plan | None = None
+) -> DataFrame:
+    """For every row of ``vectors`` (``vec_id``, ``embedding``) where ``is_query`` holds, its ``k``
+    nearest other rows: ``query_id, rank, vec_id, score``, ties to the smaller id.
+
+    Vectors that are null, zero or not wholly finite take no part, nor do rows without an id.
+    Rows are compared with rows of the same length only. Copies of a vector are searched once: of
+    each group of equal vectors the ``k + 1`` smallest ids can be among anyone's nearest, so the
+    others are only queries. An empty table gives an empty result. A query gets fewer than ``k`` rows
+    only if there are no more of its length.
+    """
+    everyone = staged(usable(vectors).withColumn("is_query", is_query), "vectors")
+    same = Window.partitionBy("v").orderBy("vec_id")
+    rows = staged(
+        everyone.withColumn("copy", F.row_number().over(same))
+        .filter(F.col("copy") <= k + 1)
+        .select("vec_id", "v"),
+        "index",
+    )
+    asking = staged(
+        everyone.filter("is_query").groupBy("v").agg(F.min("vec_id").alias("qid")), "asking"
+    )
+    plan = plan or fit(rows, asking, k + 1, seed)
+
+    nearest = staged(met(rows, asking, plan, k + 1), "nearest")
+    lengths = rows.groupBy(F.size("v").alias("dim")).agg(
+        F.least(F.count("*"), F.lit(k + 1)).alias("due")
+    )
+    lengths = staged(lengths, "lengths")  # so small that Spark broadcasts it
+    due = asking.withColumn("dim", F.size("v")).join(lengths, "dim").select("qid", "v", "due")
+    while plan.m:
+        got = nearest.groupBy("qid").agg(F.count("*").alias("got"))
+        short = due.join(got, "qid", "left").filter(F.coalesce("got", F.lit(0)) < F.col("due"))
+        short = staged(short.select("v", "qid"), "short")
+        if short.isEmpty():
+            break
+        further = min(FURTHER * plan.probes, plan.most())
+        plan = replace(plan, probes=further) if further > plan.probes else plan.exact()
+        nearest = staged(
+            nearest.join(short.select("qid"), "qid", "left_anti").unionByName(
+                met(rows, short, plan, k + 1)
+            ),
+            "nearest",
+        )
     members = everyone.filter("is_query").join(asking, "v").select(
         "qid", F.col("vec_id").alias("query_id")
     )

@@ -205,6 +205,56 @@ def test_few_rows_give_all_others(spark):
     assert [(r["rank"], r["vec_id"]) for r in out] == [(1, 1), (2, 2)]
 
 
+def nearest_of(base, k=5):
+    """By query (every 50th row), the ids of its nearest other rows."""
+    x = base / np.linalg.norm(base, axis=1, keepdims=True)
+    out = {}
+    for q in range(0, len(x), 50):
+        score = x @ x[q]
+        score[q] = -2
+        out[q] = set(np.argsort(-score)[:k].tolist())
+    return out
+
+
+def test_neighbours_out_of_reach_make_larger_buckets(spark, monkeypatch):
+    """Diffuse vectors, of which the longest visit to small buckets meets too few."""
+    monkeypatch.setattr(ann, "MOST_PROBES", 4)
+    base = np.random.default_rng(7).standard_normal((4200, 16))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(base)], "vec_id long, embedding array<double>")
+    rows = ann.usable(vectors)
+    plan = ann.fit(rows, rows.filter("vec_id % 50 = 0").select("v", F.col("vec_id").alias("qid")), 6, 20)
+    assert plan.probes <= 4 and plan.m < 2
+    out = ann.search(vectors, F.col("vec_id") % 50 == 0).toPandas()
+    want = nearest_of(base)
+    hits = sum(len(want[q] & set(part["vec_id"])) for q, part in out.groupby("query_id"))
+    assert hits / (5 * len(want)) >= 0.93
+
+
+def test_own_vector_and_copies_do_not_count_in_the_fit(spark):
+    """Five copies of each vector: only the one neighbour that is no copy tells how far to go."""
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((40, 12))
+    rows = [(5 * i + c, v.tolist()) for i, v in enumerate(base) for c in range(5)]
+    vectors = ann.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    asking = vectors.groupBy("v").agg(F.min("vec_id").alias("qid"))
+    plan = ann.fit(vectors, asking, 6, 20)
+    x = base / np.linalg.norm(base, axis=1, keepdims=True)
+    gaps = [np.sqrt(2 - 2 * np.sort(x @ q)[-2]) for q in x]
+    assert np.isclose(plan.distance, np.quantile(gaps, 0.75))
+
+
+@pytest.mark.parametrize("m", [2, 5])
+def test_queries_that_meet_too_few_rows_go_on(spark, m):
+    base = np.random.default_rng(9).standard_normal((600, 10))
+    rows = [(i, v.tolist()) for i, v in enumerate(base)] + [(1000, [1.0, 2.0]), (1050, [2.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    plan = ann.Plan(m, 0.01, 1, 20)
+    out = ann.search(vectors, F.col("vec_id") % 50 == 0, plan=plan).toPandas()
+    found = out.groupby("query_id")["vec_id"].agg(list)
+    assert all(len(found[q]) == 5 for q in range(0, 600, 50))
+    assert found[1000] == [1050] and found[1050] == [1000]
+
+
 # --- mixing ---
 
 
