@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, slices, staged, windows, words_of
+from .common import mix, numbered, slices, staged, windows, words_of
 from .graph import components
 
 SHINGLE = 5
@@ -85,7 +85,7 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, set_a, set_b, signature, bands`` of every row; the pair of sums
+    """``row, doc_id, n_shingles, set_a, set_b, signature, bands`` of every row; the pair of sums
     identifies the set. Bands hash whole coordinates, the signature keeps a byte of each."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,6 +98,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 bands = mix(bands * np.uint64(0x9E3779B97F4A7C15) + signed[:, k::ROWS])
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column("row"),
                     batch.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([mix(s).sum(dtype=np.uint64).astype(np.int64) for s in sets]),
@@ -110,24 +111,24 @@ def signatures(docs: DataFrame) -> DataFrame:
                     pa.array([r.tobytes() for r in signed.astype(np.uint8)], pa.binary()),
                     _lists(list(bands.view(np.int64)), pa.int64()),
                 ],
-                ["doc_id", "n_shingles", "set_a", "set_b", "signature", "bands"],
+                ["row", "doc_id", "n_shingles", "set_a", "set_b", "signature", "bands"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.select("row", "doc_id", "text").mapInArrow(
         sign,
-        "doc_id long, n_shingles long, set_a long, set_b long, signature binary,"
+        "row long, doc_id long, n_shingles long, set_a long, set_b long, signature binary,"
         " bands array<long>",
     )
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """``id, shingles``: whole sets, for confirming links."""
+    """``id, shingles``: whole sets by row, for confirming links."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    batch.column("row"),
                     _lists(
                         [s.view(np.int64) for s in shingle_sets(_encoded(batch))], pa.int64()
                     ),
@@ -135,7 +136,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
                 ["id", "shingles"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.select("row", "text").mapInArrow(
         sets, "id long, shingles array<long>"
     )
 
@@ -166,7 +167,7 @@ def likely(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """The ``pairs`` whose sizes allow a link and whose signatures agree often enough."""
     sides = [
         signed.select(
-            F.col("doc_id").alias(x),
+            F.col("row").alias(x),
             F.col("n_shingles").alias(f"n_{x}"),
             F.col("signature").alias(f"s_{x}"),
         )
@@ -232,7 +233,7 @@ def outsiders(placed: DataFrame, signed: DataFrame, most: int | None) -> DataFra
     rows = (
         placed.join(buckets, "band")
         .select("band", "place", "id", "root", "inside", "i_blocks", "j_blocks")
-        .join(signed.select(F.col("doc_id").alias("id"), "n_shingles", "signature", "bands"), "id")
+        .join(signed.select(F.col("row").alias("id"), "n_shingles", "signature", "bands"), "id")
     )
     rows = staged(rows, "outsiders")
 
@@ -277,17 +278,17 @@ def centres(placed: DataFrame, again: bool) -> DataFrame:
 
 
 def linked(docs: DataFrame, signed: DataFrame) -> DataFrame:
-    """``id, root`` of documents that share a band with others. ``signed`` holds one row per set."""
+    """``id, root`` of rows that share a band with others. ``signed`` holds one row per set."""
     filed = signed.filter("n_shingles > 0").select(
-        F.col("doc_id").alias("id"), F.posexplode("bands").alias("place", "band")
+        F.col("row").alias("id"), F.posexplode("bands").alias("place", "band")
     )
     shared = filed.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
     met = staged(filed.join(shared, "band"), "met")
     weight = met.groupBy("id").agg(F.sum("members").alias("weight"))
     buckets = staged(met.join(weight, "id").drop("members"), "buckets")
     ids = staged(weight.select("id"), "ids")
-    touched = ids.withColumnRenamed("id", "doc_id")
-    some = staged(signed.join(touched, "doc_id", "left_semi"), "signed")
+    touched = ids.withColumnRenamed("id", "row")
+    some = staged(signed.join(touched, "row", "left_semi"), "signed")
     roots = ids.withColumn("root", F.col("id"))
     sets, edges = None, None
     for turn in range(CENTRE_TURNS + 2):
@@ -300,9 +301,7 @@ def linked(docs: DataFrame, signed: DataFrame) -> DataFrame:
         if pairs.isEmpty():
             continue
         if sets is None:
-            sets = staged(
-                full_sets(docs.join(touched, "doc_id", "left_semi")).dropDuplicates(["id"]), "sets"
-            )
+            sets = staged(full_sets(docs.join(touched, "row", "left_semi")), "sets")
         new = staged(confirmed(pairs, sets), "links")
         if new.isEmpty():
             continue
@@ -323,26 +322,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     an empty set and is linked with nothing. Documents are linked when their sets have a
     similarity of at least 0.75. ``component_id`` is the smallest id reachable, the document's own
     included, and ``kept`` marks the rows that carry it. Rows without an id stay, with a null
-    component, and are kept. Of repeated ids each text is judged for itself. An empty table gives
-    an empty one.
+    component, are kept and link nothing. Of repeated ids each text is judged for itself: sets are
+    linked by a row of their own, and ids come in only where the components are known. An empty
+    table gives an empty one.
     """
-    signed = staged(signatures(docs), "signatures")
+    rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "near_rows")
+    signed = staged(signatures(rows), "signatures")
     known = signed.filter(F.col("doc_id").isNotNull())
     key = ["set_a", "set_b", "n_shingles"]
     first = staged(
-        known.filter("n_shingles > 0").groupBy(key).agg(F.min("doc_id").alias("first")), "first"
-    )
-    ids = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
-    one = known.join(first, (known["doc_id"] == first["first"]) & (
-        known["set_a"] == first["set_a"]) & (known["set_b"] == first["set_b"]), "left_semi"
-    ).dropDuplicates(["doc_id"])
-    roots = linked(ids, one)
-    # The smallest id of a component is that of the least root over all members of its sets.
-    member = first.join(roots, first["first"] == roots["id"], "left").select(
-        *key, F.coalesce("root", "first").alias("root")
+        known.filter("n_shingles > 0")
+        .groupBy(key)
+        .agg(F.min("row").alias("row"), F.min("doc_id").alias("least")),
+        "first",
     )
+    one = known.join(first.select("row"), "row", "left_semi")
+    roots = linked(rows, one).withColumnRenamed("id", "row")
+    if not rows.filter(~F.col("row").eqNullSafe(F.col("doc_id"))).isEmpty():
+        # Rows have numbers of their own: a component goes by the least id of all its sets.
+        least = roots.join(first, "row").groupBy("root").agg(F.min("least").alias("id"))
+        roots = roots.join(least, "root").select("row", F.col("id").alias("root"))
+    member = first.join(roots, "row", "left").select(*key, F.coalesce("root", "least").alias("root"))
     out = signed.select("doc_id", *key).join(member, key, "left")
-    component = F.coalesce("root", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return out.select(
         "doc_id",
         "n_shingles",

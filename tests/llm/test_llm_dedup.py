@@ -84,6 +84,35 @@ def test_near_duplicates_of_odd_ids(spark):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_texts_of_a_repeated_id_are_judged_for_themselves(spark):
+    """Each row against the groups of rows; a group goes by its least id."""
+    rng = random.Random(10)
+    rows = []
+    for k in range(8):
+        a, b = prose(rng, 60), prose(rng, 60)
+        i = 10 * k
+        # Both texts of i + 1 have a near copy of their own: of a smaller and of a larger id.
+        rows += [(i, edited(rng, a, 0.02)), (i + 1, a), (i + 1, b), (i + 2, edited(rng, b, 0.02))]
+        rows += [(i + 1, prose(rng, 60)), (i + 3, a), (None, b), (None, prose(rng, 20))]
+    rows += [(None, None), (5, None), (5, ""), (5, "x y"), (5, "x y")]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in minhash.near_duplicates(docs).collect()]
+    own = near_duplicates([(k, t) for k, (i, t) in enumerate(rows) if i is not None])
+    least = {}
+    for k, (_, root, _) in own.items():
+        least[root] = min(least.get(root, rows[k][0]), rows[k][0])
+    want = []
+    for k, (i, t) in enumerate(rows):
+        if i is None:
+            n = near_duplicates([(0, t)])[0][0]
+            want.append((None, n, None, True))
+        else:
+            n, root, _ = own[k]
+            want.append((i, n, least[root], i == least[root]))
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 def test_multikey_quicksort():
     rng = np.random.default_rng(4)
     for n in (0, 1, 5000, 40_000):
