@@ -1,7 +1,8 @@
 """Language of texts by bit-sliced Bloom filters over letter n-grams.
 
-All languages share one filter: a place holds a bit mask, with one bit per language. The masks at
-the places of an n-gram, combined by AND, name all languages that contain it in one look-up. A text
+All languages share one filter: a place holds a bit mask, with one bit per language, in as many
+64-bit words as they need. The masks at the places of an n-gram, combined by AND, name all languages
+that contain it in one look-up for each word. A text
 counts, for each language, the n-grams whose mask has its bit. A filter answers wrongly with a known
 chance, by how full the slice of the language is, so counts are corrected for it before they are
 compared.
@@ -25,7 +26,8 @@ BITS = 20
 HASHES = 2
 MOST_ROWS = 40_000
 LEAST_SHARE = 0.02
-MOST_LANGUAGES = 63
+WORD_BITS = 64
+MOST_COUNTS = 4_000_000
 UNDETERMINED = "und"
 _SPACE = ord(" ")
 
@@ -73,27 +75,40 @@ def grams(data: np.ndarray, size: int) -> np.ndarray:
 @dataclass
 class Filters:
     languages: list[str]
-    masks: np.ndarray
+    masks: np.ndarray  # by word of WORD_BITS languages, then by place
     chance: np.ndarray  # of a wrong yes, by language
 
-    def look(self, hashes: np.ndarray) -> np.ndarray:
-        out = self.masks[(hashes & np.uint64((1 << BITS) - 1)).astype(np.int64)]
+    def look(self, hashes: np.ndarray, word: int = 0) -> np.ndarray:
+        masks = self.masks[word]
+        out = masks[(hashes & np.uint64((1 << BITS) - 1)).astype(np.int64)]
         for k in range(1, HASHES):
             place = (hashes >> np.uint64(BITS * k)) & np.uint64((1 << BITS) - 1)
-            out = out & self.masks[place.astype(np.int64)]
+            out = out & masks[place.astype(np.int64)]
         return out
 
 
+def nothing() -> Filters:
+    return Filters([], np.zeros((0, 1 << BITS), np.uint64), np.zeros(0))
+
+
 def build(table: pd.DataFrame, languages: list[str]) -> Filters:
     """``table``: ``lang`` and ``gram`` of all n-grams a language contains."""
-    masks = np.zeros(1 << BITS, np.uint64)
-    for bit, lang in enumerate(languages):
-        hashes = table.loc[table["lang"] == lang, "gram"].to_numpy(np.int64).view(np.uint64)
+    masks = np.zeros((-(-len(languages) // WORD_BITS), 1 << BITS), np.uint64)
+    grams_of = dict(iter(table.groupby("lang", observed=True)["gram"]))
+    full = np.zeros(len(languages))
+    for at, lang in enumerate(languages):
+        if lang not in grams_of:
+            continue
+        word, bit = divmod(at, WORD_BITS)
+        hashes = grams_of[lang].to_numpy(np.int64).view(np.uint64)
+        places = []
         for k in range(HASHES):
             place = (hashes >> np.uint64(BITS * k)) & np.uint64((1 << BITS) - 1)
-            masks[np.unique(place.astype(np.int64))] |= np.uint64(1 << bit)
-    full = [float(((masks >> np.uint64(b)) & np.uint64(1)).mean()) for b in range(len(languages))]
-    return Filters(languages, masks, np.array(full) ** HASHES)
+            places.append(place.astype(np.int64))
+        places = np.unique(np.concatenate(places))
+        masks[word][places] |= np.uint64(1 << bit)
+        full[at] = len(places) / (1 << BITS)
+    return Filters(languages, masks, full**HASHES)
 
 
 def fit(docs: DataFrame, most: int = MOST_ROWS, share: float = LEAST_SHARE) -> Filters:
@@ -102,21 +117,23 @@ def fit(docs: DataFrame, most: int = MOST_ROWS, share: float = LEAST_SHARE) -> F
 
     A language contains an n-gram if at least ``share`` of its texts do and it is no less than half
     as frequent there as in the language that has it most: texts hold quotations of others, and an
-    n-gram that is rare in a language says nothing for it. The ``MOST_LANGUAGES`` most frequent
-    languages are learned, the number of bits in a mask.
+    n-gram that is rare in a language says nothing for it. Every value of ``lang`` is learned: of
+    each language the text of the least hash is always taken.
     """
     known = docs.filter("text is not null and lang is not null").select("text", "lang")
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
-    sizes = sizes.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    spark = docs.sparkSession
+    known = known.withColumn("place", F.pmod(F.xxhash64("text", F.lit(9)), F.lit(1_000_000)))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("least"))
+    sizes = sizes.collect()
     if not sizes:
-        return Filters([], np.zeros(1 << BITS, np.uint64), np.zeros(0))
+        return nothing()
     each = max(1, most // len(sizes))
-    part = F.lit(None)
-    for r in sizes:  # at most MOST_LANGUAGES
-        part = F.when(F.col("lang") == r["lang"], int(min(1.0, each / r["n"]) * 1_000_000)).otherwise(
-            part
-        )
-    sample = known.filter(F.pmod(F.xxhash64("text", F.lit(9)), F.lit(1_000_000)) < part)
+    # One row for each language: broadcast, so that no text moves.
+    parts = [
+        (r["lang"], max(int(min(1.0, each / r["n"]) * 1_000_000), r["least"] + 1)) for r in sizes
+    ]
+    parts = F.broadcast(spark.createDataFrame(parts, "lang string, part long"))
+    sample = known.join(parts, "lang").filter("place < part").select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -137,18 +154,19 @@ def fit(docs: DataFrame, most: int = MOST_ROWS, share: float = LEAST_SHARE) -> F
     counted = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")
     )
-    drawn = {r["lang"]: r["n"] for r in sample.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    rates = None
-    for lang, n in drawn.items():
-        here = F.when(F.col("lang") == lang, F.col("n") / n)
-        rates = here if rates is None else F.coalesce(here, rates)
-    if rates is None:
-        return Filters([], np.zeros(1 << BITS, np.uint64), np.zeros(0))
-    rated = counted.withColumn("rate", rates).filter(F.col("rate") >= share)
+    drawn = sample.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    drawn = sorted((r["lang"], r["n"]) for r in drawn)
+    languages = [lang for lang, _ in drawn]
+    rows = [(lang, n, at) for at, (lang, n) in enumerate(drawn)]
+    rows = F.broadcast(spark.createDataFrame(rows, "lang string, drawn long, at int"))
+    rated = counted.join(rows, "lang").withColumn("rate", F.col("n") / F.col("drawn"))
+    rated = rated.filter(F.col("rate") >= share)
     top = rated.groupBy("gram").agg(F.max("rate").alias("top"))
-    table = rated.join(top, "gram").filter(F.col("rate") * 2 >= F.col("top")).select("lang", "gram")
+    table = rated.join(top, "gram").filter(F.col("rate") * 2 >= F.col("top")).select("at", "gram")
     # What occurs in LEAST_SHARE of a bounded number of texts is bounded as well.
-    return build(table.toPandas(), sorted(drawn))
+    table = table.toPandas()
+    table["lang"] = pd.Categorical.from_codes(table.pop("at"), languages)
+    return build(table, languages)
 
 
 def predict(docs: DataFrame, filters: Filters, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -161,8 +179,15 @@ def predict(docs: DataFrame, filters: Filters, keep: tuple[str, ...] = ("doc_id"
     shared = filters
     n = len(filters.languages)
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Slices of so few texts that their counts are bounded for any number of languages."""
+        size = max(1, MOST_COUNTS // max(n, 1))
         for batch in slices(batches):
+            for s in range(0, batch.num_rows, size):
+                yield batch.slice(s, size)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             data, starts = letters(texts)
             counts = np.zeros((len(texts), n))
@@ -170,12 +195,14 @@ def predict(docs: DataFrame, filters: Filters, keep: tuple[str, ...] = ("doc_id"
             for size in SIZES:
                 h = grams(data, size)
                 use = h != 0
-                mask = np.where(use, shared.look(h), np.uint64(0))
                 at = np.minimum(starts[:-1], max(len(h) - 1, 0))
                 if len(h):
                     total += np.add.reduceat(use.astype(np.int64), at)
                     for b in range(n):
-                        bit = ((mask >> np.uint64(b)) & np.uint64(1)).astype(np.int64)
+                        word, place = divmod(b, WORD_BITS)
+                        if place == 0:
+                            mask = np.where(use, shared.look(h, word), np.uint64(0))
+                        bit = ((mask >> np.uint64(place)) & np.uint64(1)).astype(np.int64)
                         counts[:, b] += np.add.reduceat(bit, at)
             known = [any(map(str.isalpha, t)) for t in texts]
             langs, scores = [], []

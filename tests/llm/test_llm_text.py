@@ -92,6 +92,24 @@ def test_language(spark):
     assert set(language.predict(docs, empty).toPandas()["lang_pred"]) == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    """More languages than a mask word has bits, one of few texts and one of copies only."""
+    rng = random.Random(7)
+    rows = []
+    for k in range(140):
+        alphabet = "".join(chr(0x4E00 + 9 * k + j) for j in range(9))
+        copies = prose(rng, 30, alphabet)
+        for i in range(1 if k == 3 else 4):
+            rows.append((len(rows), copies if k == 5 else prose(rng, 30, alphabet), f"l{k:03}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    # At most one text of each language where its hash allows.
+    for most in (40_000, 140):
+        filters = language.fit(docs, most=most)
+        assert len(filters.languages) == 140
+        out = language.predict(docs, filters, ("doc_id", "lang")).toPandas()
+        assert len(out) == len(rows) and (out["lang_pred"] == out["lang"]).mean() > 0.99
+
+
 def test_filters_name_all_languages_and_know_their_error():
     rng = np.random.default_rng(1)
     grams = language.mix(rng.integers(1, 1 << 62, 60_000).astype(np.uint64)).view(np.int64)
