@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterat
         if batch.num_rows == 0:
             continue
         lengths = np.asarray(
-            pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0), np.int64
+            pc.fill_null(pc.binary_length(batch.column("text")), 0), np.int64
         )
         part = (np.cumsum(lengths) - lengths) // size
         starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, language, lines, minhash, mixing, packing, quality, suffixes, toxicity
+from . import (
+    ann,
+    chat,
+    decontaminate,
+    language,
+    lines,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    suffixes,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,3 +119,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "n_lines", "n_copies", "n_near", F.sha2("text", 256).alias("text_sha256")
     )
+
+
+@query
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contamination(documents(spark, sf_dir), items)
+
+
+ORACLES["op11_decontamination"] = decontaminate.SQL
