@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import (
     ann,
     chat,
+    collocations,
     decontaminate,
     language,
     lines,
@@ -128,3 +129,11 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_decontamination"] = decontaminate.SQL
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+ORACLES["op13_collocations"] = collocations.SQL
