@@ -20,6 +20,7 @@ from . import (
     quality,
     suffixes,
     toxicity,
+    trie,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +138,11 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_collocations"] = collocations.SQL
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+ORACLES["op12_prefix_trie"] = trie.SQL
