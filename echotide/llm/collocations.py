@@ -1,11 +1,11 @@
 """Frequent phrases and how strongly their words hold together, by partitioned suffix trees.
 
 As in elastic-range suffix tree building, the text is never sorted as a whole. Scans count word
-prefixes of growing length. A prefix too rare to lead to a phrase is pruned, one with more
-occurrences than a group's memory budget is extended by a word, and the prefixes that remain are
-dealt over groups of at most about that budget. Each group builds a suffix tree of its own,
-truncated at ``LONGEST`` words: its suffixes are sorted, neighbours compared, and every inner node
-within the tree is counted from the totals of the leaves below it.
+prefixes of growing length, up to ``PREFIX`` words; these are the top of the tree. A prefix too
+rare to lead to a phrase is pruned. The suffixes below the others are dealt over groups by prefix, a
+prefix with more occurrences than a group's memory budget by a longer one. Each group builds the
+subtrees of its prefixes, truncated at ``LONGEST`` words: its suffixes are sorted, neighbours
+compared, and every node is counted from the totals of the leaves below it.
 
 Between the scans travel counts, and to the scans only bitmaps of ``1 << SLOT_BITS`` places, set
 where a prefix is frequent enough: another prefix in the same place costs work, never a result. Words
@@ -25,9 +25,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, mix, slices, staged
+from .common import SLICE_BYTES, mix, slices, staged, unmix
 
 LONGEST = 5
+PREFIX = 3
 LEAST = 100
 TOP = 2_000
 UNKNOWN = "und"
@@ -38,6 +39,7 @@ BUDGET = 1_000_000
 MOST_HEAVY = 10_000
 KEPT = 1_000_000
 BITMAP_BITS = 32_768  # of one value of Spark's bitmap functions
+_STEP = 0x9E3779B97F4A7C15
 
 #: What ends a piece becomes a newline, tabs become spaces, ``A-Z`` are folded.
 FOLD = bytearray(range(256))
@@ -136,7 +138,12 @@ def slots(frequent: DataFrame, key: str) -> np.ndarray:
 
 
 def _longer(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    return mix(keys * np.uint64(0x9E3779B97F4A7C15) + hashes)
+    return mix(keys * np.uint64(_STEP) + hashes)
+
+
+def _last(keys: np.ndarray, parents: np.ndarray) -> np.ndarray:
+    """The last words of prefixes: what ``_longer`` added to the prefixes one word shorter."""
+    return unmix(keys) - parents * np.uint64(_STEP)
 
 
 def prefix_keys(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -226,138 +233,142 @@ def words(docs: DataFrame, seed: int) -> DataFrame:
 
 
 def prefixes(docs: DataFrame, length: int, filters: list, seed: int, least: int) -> DataFrame:
-    """``key, n``: prefixes of ``length`` words that occur ``least`` times or more and whose parts
-    do so too, as far as the filters know."""
+    """``key, parent, h, n``: prefixes of ``length`` words that occur ``least`` times or more and
+    whose parts do so too, as far as the filters know, with the key of the prefix one word shorter
+    and the last word."""
     sent = docs.sparkSession.sparkContext.broadcast(filters)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, sums = [Slots(b) for b in sent.value], Sums()
 
         def rows():
-            keys, n = sums.empty()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"]
-            )
+            keys, n, parents = sums.empty()
+            arrays = [pa.array(x.view(np.int64)) for x in (keys, parents)]
+            return pa.RecordBatch.from_arrays([*arrays, pa.array(n)], ["key", "parent", "n"])
 
         for lang, part, own in portions(batches):
             hashes, piece = _tokens(part, lang, seed)
             ok = np.flatnonzero(reached(hashes, piece, length, known)[:own])
             if len(ok):
-                keys, n = np.unique(prefix_keys(hashes, length)[ok], return_counts=True)
-                if sums.add(keys, n):
+                parents = prefix_keys(hashes, length - 1)
+                keys = _longer(parents[ok], hashes[ok + length - 1])
+                keys, first, n = np.unique(keys, return_index=True, return_counts=True)
+                if sums.add(keys, n, parents[ok[first]]):
                     yield rows()
         if sums.size:
             yield rows()
 
-    found = docs.mapInArrow(count, "key long, n long")
-    return found.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, parents = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "parent"))
+            yield batch.append_column("h", pa.array(_last(keys, parents).view(np.int64)))
 
+    # With the key of the shorter prefix a key belongs to one last word only: counts are exact.
+    found = docs.mapInArrow(count, "key long, parent long, n long").groupBy("key", "parent")
+    frequent = found.agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    return frequent.mapInArrow(last, "key long, parent long, n long, h long")
 
-def suffixes(
-    docs: DataFrame, filters: list, heavy: dict[int, list[int]], groups: int, seed: int
-) -> DataFrame:
-    """``grp, depth, lang, h1, ..., n``: truncated suffixes of at least two words as far as frequent
-    prefixes reach, with the group of their prefix; nodes above ``depth`` have leaves elsewhere."""
+
+def suffixes(docs: DataFrame, filters: list, heavy: list[int], groups: int, seed: int) -> DataFrame:
+    """``grp, depth, h1, ..., n``: truncated suffixes of more than ``PREFIX`` words as far as
+    frequent prefixes reach, with the group of their prefix. Nodes above ``depth`` have leaves in
+    other groups too."""
     sent = docs.sparkSession.sparkContext.broadcast((filters, heavy))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, large = sent.value
-        known = [Slots(b) for b in bits]
-        large = {k: np.array(sorted(v), np.int64) for k, v in large.items()}
-        sums: dict[str, Sums] = {}
-
-        def rows(lang):
-            keys, n, grp, depth, *found = sums[lang].empty()
-            arrays = [pa.array(grp), pa.array(depth), pa.array([lang] * len(keys), pa.string())]
-            arrays += [pa.array(h.view(np.int64)) for h in found]
-            return pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(n)], ["grp", "depth", "lang", *HASHES, "n"]
-            )
+        known, large, sums = [Slots(b) for b in bits], np.array(large, np.int64), Sums()
+
+        def rows():
+            keys, n, grp, depth, *found = sums.empty()
+            arrays = [pa.array(grp), pa.array(depth), *(pa.array(h.view(np.int64)) for h in found)]
+            return pa.RecordBatch.from_arrays([*arrays, pa.array(n)], ["grp", "depth", *HASHES, "n"])
 
         for lang, part, own in portions(batches):
             hashes, piece = _tokens(part, lang, seed)
-            start = np.flatnonzero(reached(hashes, piece, 2, known)[:own])
+            start = np.flatnonzero(reached(hashes, piece, PREFIX + 1, known)[:own])
             if not len(start):
                 continue
-            # Words of each suffix one by one, 0 from where it is no longer frequent.
-            found = [hashes[start], hashes[start + 1]]
-            key = _longer(found[0], found[1])
-            prefix, depth = key.copy(), np.full(len(start), 2, np.int32)
+            prefix = prefix_keys(hashes, PREFIX)[start]
+            found = [hashes[start + k] for k in range(PREFIX + 1)]
+            key = _longer(prefix, found[-1])
             alive = np.ones(len(start), bool)
-            extend = np.isin(key.view(np.int64), large[2])
-            for length in range(3, LONGEST + 1):
+            for length in range(PREFIX + 2, LONGEST + 1):  # 0 from where it is no longer frequent
                 on = reached(hashes, piece, length, known)
                 alive &= np.r_[on, np.zeros(len(hashes) - len(on), bool)][start]
                 word = np.zeros(len(start), np.uint64)
                 word[alive] = hashes[start[alive] + length - 1]
                 key = np.where(alive, _longer(key, word), key)
                 found.append(word)
-                depth[extend] = length  # the nodes above have leaves in several groups
-                extend &= alive
-                prefix[extend] = key[extend]
-                if length in large:
-                    extend &= np.isin(key.view(np.int64), large[length])
+            extend = np.isin(prefix.view(np.int64), large)
+            depth = np.where(extend, LONGEST, PREFIX).astype(np.int32)
+            prefix = np.where(extend, key, prefix)
             grp = (mix(prefix ^ np.uint64(13)) % np.uint64(groups)).astype(np.int32)
             keys, first, n = np.unique(key, return_index=True, return_counts=True)
-            rest = [grp[first], depth[first], *(h[first] for h in found)]
-            if sums.setdefault(lang, Sums()).add(keys, n, *rest):
-                yield rows(lang)
-        for lang in sums:
-            if sums[lang].size:
-                yield rows(lang)
+            if sums.add(keys, n, grp[first], depth[first], *(h[first] for h in found)):
+                yield rows()
+        if sums.size:
+            yield rows()
 
     columns = ", ".join(f"{h} long" for h in HASHES)
-    found = docs.mapInArrow(collect, f"grp int, depth int, lang string, {columns}, n long")
-    return found.groupBy("grp", "depth", "lang", *HASHES).agg(F.sum("n").alias("n"))
+    found = docs.mapInArrow(collect, f"grp int, depth int, {columns}, n long")
+    return found.groupBy("grp", "depth", *HASHES).agg(F.sum("n").alias("n"))
 
 
 def subtree(part: pd.DataFrame, least: int) -> pd.DataFrame:
-    """The nodes of a group's suffix tree from depth 2 on, with the totals of the leaves below.
+    """The nodes of a group's subtrees below their prefixes, with the totals of their leaves.
 
-    Nodes of fewer than ``least`` occurrences are left out, unless they lie above the group's prefix
-    and so have leaves in other groups as well."""
-    langs, lang = np.unique(part["lang"].to_numpy(str), return_inverse=True)
+    Nodes of fewer than ``least`` occurrences are left out, unless they have leaves in other groups
+    as well."""
     levels = [part[h].to_numpy() for h in HASHES]
-    order = np.lexsort([*reversed(levels), lang])
-    lang, levels = lang[order], [x[order] for x in levels]
+    order = np.lexsort(levels[::-1])
+    levels = [x[order] for x in levels]
     n, depth = part["n"].to_numpy()[order], part["depth"].to_numpy()[order]
-    new = np.r_[True, lang[1:] != lang[:-1]]
-    out = []
+    new, out = np.zeros(len(n), bool), []
+    new[:1] = True
     for d, level in enumerate(levels, 1):
-        new = new | np.r_[True, level[1:] != level[:-1]]
-        first = np.flatnonzero(new)
-        if d < 2:
+        new[1:] |= level[1:] != level[:-1]
+        if d <= PREFIX:
             continue
+        first = np.flatnonzero(new)
         total = np.add.reduceat(n, first)
         above = np.maximum.reduceat(depth, first) > d
         first, total = (x[(level[first] != 0) & (above | (total >= least))] for x in (first, total))
         words = {h: x[first] if k < d else 0 for k, (h, x) in enumerate(zip(HASHES, levels))}
-        out.append(pd.DataFrame({"lang": langs[lang[first]], "size": d, **words, "a": total}))
+        out.append(pd.DataFrame({"size": d, **words, "a": total}))
     return pd.concat(out)
 
 
 def frequent_phrases(docs: DataFrame, known: DataFrame, seed: int, least: int, budget: int) -> DataFrame:
     """``lang, words, a``: phrases of 2 to ``LONGEST`` words, as arrays of hashes, that occur
     ``least`` times or more. ``known`` are the words that do."""
-    filters, heavy, total = [slots(known, "h")], {}, 0
-    for length in (2, 3):
-        found = staged(prefixes(docs, length, filters, seed, least), "prefixes")
-        if length == 2:
-            total = found.agg(F.sum("n")).first()[0] or 0
-            budget = max(budget, total // MOST_HEAVY)
-        heavy[length] = [r["key"] for r in found.filter(F.col("n") > budget).select("key").collect()]
-        filters.append(slots(found, "key"))
+    filters = [slots(known, "h")]
+    shorter = known.select(F.col("h").alias("parent"), F.array("h").alias("words"))
+    top = []
+    for length in range(2, PREFIX + 1):
+        found = prefixes(docs, length, filters, seed, least).join(shorter, "parent")
+        found = found.select("key", F.array_append("words", F.col("h")).alias("words"), "n")
+        top.append(staged(found, "prefixes"))
+        filters.append(slots(top[-1], "key"))
+        shorter = top[-1].select(F.col("key").alias("parent"), "words")
+    total = top[-1].agg(F.sum("n")).first()[0] or 0
+    budget = max(budget, total // MOST_HEAVY)
+    heavy = [r["key"] for r in top[-1].filter(F.col("n") > budget).select("key").collect()]
     groups = max(1, -(-2 * total // budget))
     columns = ", ".join(f"{h} long" for h in HASHES)
     nodes = (
         suffixes(docs, filters, heavy, groups, seed)
         .groupBy("grp")
-        .applyInPandas(lambda part: subtree(part, least), f"lang string, size int, {columns}, a long")
-    )
-    phrases = nodes.groupBy("lang", "size", *HASHES).agg(F.sum("a").alias("a"))
-    return phrases.filter(F.col("a") >= least).select(
-        "lang", F.slice(F.array(*HASHES), F.lit(1), F.col("size")).alias("words"), "a"
+        .applyInPandas(lambda part: subtree(part, least), f"size int, {columns}, a long")
+        .groupBy("size", *HASHES)
+        .agg(F.sum("a").alias("a"))
+        .filter(F.col("a") >= least)
+        .select(F.slice(F.array(*HASHES), F.lit(1), F.col("size")).alias("words"), "a")
     )
+    for found in top:
+        nodes = nodes.unionByName(found.select("words", F.col("n").alias("a")))
+    lang = known.select(F.col("h").alias("h1"), "lang")
+    return nodes.withColumn("h1", F.col("words")[0]).join(lang, "h1").select("lang", "words", "a")
 
 
 def _exact(column: str) -> Column:

@@ -72,6 +72,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def unmix(x: np.ndarray) -> np.ndarray:
+    """What ``mix`` made ``x`` of."""
+    inverse = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
+    x = x ^ (x >> np.uint64(32))
+    x = x * inverse
+    x = x ^ (x >> np.uint64(32))
+    x = x * inverse
+    return x ^ (x >> np.uint64(32))
+
+
 class Powers:
     """Powers of an odd number modulo 2^64 and of its inverse, grown on demand."""
 
