@@ -47,8 +47,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, the last time cut to the words it takes."""
     rows = numbered(docs.select(*COLUMNS), "mix")
-    sizes = rows.select(F.col("row").alias("doc_id"), "source", mixing.words().alias("size"))
-    taken = mixing.mix(sizes).select(F.col("doc_id").alias("row"), "turns", "parts")
+    sizes = rows.select(
+        F.col("row").alias("doc_id"),
+        F.col("doc_id").alias("id"),
+        "source",
+        mixing.words().alias("size"),
+        F.xxhash64("text").alias("text_hash"),
+    )
+    taken = mixing.mix(sizes, identity=("id", "source", "size", "text_hash")).select(F.col("doc_id").alias("row"), "turns", "parts")
     chosen = mixing.taken_texts(rows.join(taken.filter("turns > 0 or parts is not null"), "row"))
     n_chars = F.char_length("text").cast("long")
     return chosen.withColumn("n_chars", n_chars).select(*COLUMNS)

@@ -10,7 +10,7 @@ numbers, so a rerun takes the same blocks.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -126,8 +126,32 @@ def seeded(*columns: str, seed: int = SEED) -> Column:
     return F.xxhash64(*columns, F.lit(seed))
 
 
+def _identified(rows: DataFrame, identity: Sequence[str]) -> DataFrame:
+    """``rows`` (with ``row`` and ``_part``, the partition they were written in) with ``key_a``,
+    ``key_b`` and ``copy``: hashes of the ``identity`` columns, and a number from 0 among equal
+    rows. Which of these gets which number makes no difference; that they are told apart keeps
+    copies from meeting in one shard. Numbers run within parts, and then over the parts of a key."""
+    keys = ["key_a", "key_b"]
+    hashed = rows.withColumn("key_a", F.xxhash64(*identity)).withColumn(
+        "key_b", F.xxhash64(F.lit(1), *identity)
+    )
+    parts = hashed.groupBy(*keys, "_part").agg(F.count("*").alias("n"))
+    several = parts.groupBy(*keys).agg(F.sum("n").alias("n")).filter("n > 1")
+    if several.isEmpty():
+        return hashed.withColumn("copy", F.lit(0).cast("long"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    local = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy("row"))
+    numbered = hashed.withColumn("copy", local).join(starts, [*keys, "_part"])
+    return numbered.withColumn("copy", F.col("copy") + F.col("start") - 1).drop("start")
+
+
 def mix(
-    docs: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS, seed: int = SEED
+    docs: DataFrame,
+    block: int = BLOCK,
+    shard_words: int = SHARD_WORDS,
+    seed: int = SEED,
+    identity: Sequence[str] = ("doc_id", "source", "size"),
 ) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken`` of every row of ``docs`` (``doc_id,
     source, size``), with ``turns``, how often the whole document is taken, and ``parts``, the
@@ -135,10 +159,14 @@ def mix(
 
     ``taken`` counts the words that the mix takes of a document, repeats counted; it is never above
     ``MOST_TIMES`` its size. Each source's taken words are its target, rounded to a word, short only of what
-    the limit holds back. A null source is a source of its own; null ids and repeated rows are rows like any other,
-    told apart by a number of their own. Empty tables give an empty result.
+    the limit holds back. A null source is a source of its own; null ids and repeated rows are rows
+    like any other, told apart by a number of their own. Shards and the order in them depend on the
+    ``identity`` columns alone, not on files, partitions or cores, so every run takes the same.
+    Documents without words are in no shard. Empty tables give an empty result.
     """
-    rows = staged(docs.withColumn("row", F.monotonically_increasing_id()), "sizes")
+    columns = dict.fromkeys(["doc_id", "source", "size", *identity])
+    numbers = {"row": F.monotonically_increasing_id(), "_part": F.spark_partition_id()}
+    rows = staged(docs.select(*columns).withColumns(numbers), "sizes")
     sources = staged(
         targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"))), "sources"
     )
@@ -147,7 +175,11 @@ def mix(
     )
     own = sources.withColumnRenamed("source", "name")
     known = rows.join(own, rows["source"].eqNullSafe(own["name"])).drop("name")
-    placed = known.withColumn("shard", F.pmod(seeded("row", seed=seed), F.col("shards")))
+    keyed = _identified(rows.filter("size > 0").select("row", "_part", *identity), identity)
+    keyed = staged(keyed.select("row", "key_a", "key_b", "copy"), "keys")
+    content = ["key_a", "key_b", "copy"]
+    shard = F.pmod(seeded(*content, seed=seed), F.col("shards"))
+    placed = known.join(keyed, "row").withColumn("shard", shard)
     shards = placed.groupBy("rank", "shard").agg(F.sum("size").alias("shard_size"))
 
     # Blocks by source, then by shard.
@@ -212,15 +244,17 @@ def mix(
         .filter("use > 0")
         .select("rank", "shard", "b", "use")
     )
-    order = Window.partitionBy("rank", "shard").orderBy(seeded("row", seed=seed + 1), "row")
+    order = Window.partitionBy("rank", "shard").orderBy(
+        seeded(*content, seed=seed + 1), *content
+    )
     on_line = staged(
-        placed.select("row", "rank", "shard", "size").withColumn(
-            "start", F.sum("size").over(order) - F.col("size")
-        ),
+        placed.select("row", "rank", "shard", "size", *content)
+        .withColumn("start", F.sum("size").over(order) - F.col("size"))
+        .drop(*content),
         "lines",
     )
     end = F.col("start") + F.col("size")
-    spans = on_line.filter("size > 0").select(
+    spans = on_line.select(
         "row",
         "rank",
         "shard",

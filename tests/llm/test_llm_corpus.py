@@ -379,3 +379,27 @@ def test_stages_take_empty_tables(spark, tables):
     docs = spark.read.parquet(f"{path}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, path).count() == 0
+
+
+def test_mix_depends_on_content_alone(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(i, rng.choice("aab"), rng.choice([0, 1, 30, 400])) for i in range(600)]
+    rows += [(None, "b", 30)] * 40 + [(5, "a", 7)] * 25 + [(i, "a", 0) for i in range(10_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    docs.repartition(8).write.parquet(str(tmp_path / "docs"))
+    found, default = [], spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for split, parts in ((default, None), ("2k", None), (default, 3), (default, 11)):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        read = spark.read.parquet(str(tmp_path / "docs"))
+        read = read.repartition(parts, F.rand(parts)) if parts else read
+        out = mixing.mix(read, block=16, shard_words=2_000).toPandas()
+        out["parts"] = [str(x) for x in out["parts"]]
+        found.append(sorted(map(str, out.values.tolist())))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+    assert all(f == found[0] for f in found)
+
+
+def test_copies_are_spread_over_shards(spark):
+    docs = spark.createDataFrame([(None, "a", 10)] * 4_000, "doc_id long, source string, size long")
+    out = mixing.mix(docs.repartition(5), block=16, shard_words=2_000).toPandas()
+    assert out["taken"].sum() == out["target"].iloc[0] and (out["taken"] <= 20).all()
