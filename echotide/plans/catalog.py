@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from . import enrichment, measures, model, scalars, selection, sources, streams  # noqa: F401
+from . import (  # noqa: F401
+    enrichment,
+    measures,
+    model,
+    relations,
+    scalars,
+    selection,
+    sources,
+    streams,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -117,7 +117,7 @@ def _entry(id, title, content, summary=None, name=None, href=None) -> Column:
           select doc_id, 1, 'app', 'App', '', 'https://apps.apple.com/app/idcom.alpha'
           from app where doc_id % 3 = 1
           union all
-          select doc_id, case doc_id % 3 when 2 then 1 else 2 end, id || 'b', '', left(text, 50),
+          select doc_id, case doc_id % 3 when 2 then 1 else 2 end, id || 'b', '', text,
                  'https://apps.apple.com/app/idcom.alpha' from app where doc_id % 2 = 1)
         select review_id, 'Apple App Store' platform, 'App Store — Alpha' source, 'in' country,
                strftime({_DAY}, '%d/%m/%Y') date, false date_is_ingest,
@@ -138,7 +138,7 @@ def norm_app_store(spark, sf_dir):
         F.concat(doc, F.lit("b")),
         F.lit(""),
         F.lit(""),
-        F.when(_which(2) == 1, F.substring("text", 1, 50)).otherwise(""),
+        F.when(_which(2) == 1, F.col("text")).otherwise(""),
     )
     about = _entry(F.lit("app"), F.lit("App"), None, name=F.lit("The App"))
     entries = (

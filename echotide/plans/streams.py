@@ -25,9 +25,9 @@ def _sentiment(events):
 
 
 def _stream(spark, sf_dir):
-    return st.stream_reviews(
-        spark, sf_dir, _EVENTS, format="parquet", pathGlobFilter="events.parquet"
-    )
+    # A pattern matches the table whether it is a folder of files or a single file; a plain path
+    # would have to be a folder.
+    return st.stream_reviews(spark, f"{sf_dir}/events.parque[t]", _EVENTS, format="parquet")
 
 
 def _run(spark, start, df, name):
@@ -49,7 +49,7 @@ def stream_daily(spark, sf_dir):
     timed = _sentiment(_stream(spark, sf_dir)).withColumn("ts", F.col("ts").cast("timestamp"))
     counts = st.stream_daily_negativity(timed.withWatermark("ts", "7 days"))
     path = _run(spark, st.upsert_once, counts, "stream_daily")
-    return st.latest(spark, path).withColumn("day", day("day"))
+    return st.written(spark, path, counts.schema).withColumn("day", day("day"))
 
 
 @query(
@@ -67,5 +67,6 @@ def stream_months(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     floor = st.stream_floor(_stream(spark, sf_dir), "ts", "2024-01-05")
     first = st.stream_dedup(floor, ["event_type", "user_id"], "ts", "60 days")
-    path = _run(spark, st.append_once, first.select("event_type", "user_id"), "stream_dedup")
-    return spark.read.parquet(path)
+    ids = first.select("event_type", "user_id")
+    path = _run(spark, st.append_once, ids, "stream_dedup")
+    return st.written(spark, path, ids.schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -108,6 +109,12 @@ def upsert_once(
     )
 
 
-def latest(spark: SparkSession, path: str) -> DataFrame:
-    """The counts that ``upsert_once`` keeps."""
-    return spark.read.parquet(path)
+def written(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What ``append_once`` or ``upsert_once`` wrote of a stream with ``schema``. Before anything
+    has landed there is no output yet, which is the same as no rows."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

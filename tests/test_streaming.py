@@ -7,9 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from echotide.operators.select import dedup_keep_first
+from echotide.plans.catalog import QUERIES
 from echotide.schemas import LANDED_REVIEW
 from echotide.streaming import reviews as st
 
+DAILY = "day date, platform string, n_negative long, n_reviews long"
 T0 = datetime.datetime(2025, 12, 1)
 
 
@@ -53,7 +55,7 @@ def test_daily_counts_grow_over_runs_and_match_batch(spark, tmp_path):
         stream = st.stream_reviews(spark, str(tmp_path / "in"), files_per_trigger=1)
         daily = st.stream_daily_negativity(stream.withWatermark("ts", "30 days"), by=["platform"])
         st.upsert_once(daily, name, out, ["day", "platform"]).awaitTermination()
-        return st.latest(spark, out)
+        return st.written(spark, out, DAILY)
 
     def batch():
         landed = spark.read.schema(LANDED_REVIEW).json(str(tmp_path / "in"))
@@ -87,7 +89,7 @@ def test_counts_have_one_version_per_day(spark, tmp_path):
         st.upsert_once(counts, name, str(out)).awaitTermination()
     folders = [x.name for x in out.iterdir() if x.is_dir() and not x.name.startswith("_")]
     assert len(folders) == 3
-    assert sum(r["n_reviews"] for r in st.latest(spark, str(out)).collect()) == 46
+    assert sum(r["n_reviews"] for r in st.written(spark, str(out), DAILY).collect()) == 46
 
 
 def test_batch_twin_of_dedup(spark, sf):
@@ -102,3 +104,25 @@ def test_batch_twin_of_dedup(spark, sf):
     want = dedup_keep_first(events, ["event_type"], ["ts"]).select("event_type")
     got = spark.read.parquet(out)
     assert sorted(r[0] for r in got.collect()) == sorted(r[0] for r in want.collect())
+
+
+def test_tables_of_either_layout(spark, sf, tmp_path):
+    """A table is a file or a folder of files; the queries read all of both."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("stream_daily", "stream_dedup"):
+        one, many = (QUERIES[name](spark, str(d)) for d in (sf, tmp_path))
+        assert one.count() == many.count() > 0
+        assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
+
+
+def test_no_input_gives_no_rows(spark, sf, tmp_path):
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.limit(0).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("stream_daily", "stream_dedup"):
+        assert QUERIES[name](spark, str(tmp_path)).collect() == []
+    stream = st.stream_reviews(spark, str(tmp_path / "events.parquet"), format="parquet")
+    out = str(tmp_path / "out")
+    st.append_once(stream, uuid.uuid4().hex, out).awaitTermination()
+    assert st.written(spark, out, stream.schema).collect() == []
+    assert st.written(spark, str(tmp_path / "never"), stream.schema).collect() == []
