@@ -12,7 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 8_000_000
+#: Texts that a task holds arrays of at once: some 50 bytes for each of these.
+SLICE_BYTES = 1_000_000
 _ODD = 0x9E3779B97F4A7C15
 _POWER = 0xD6E8FEB86659FD93
 
@@ -82,21 +83,27 @@ def unmix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
 class Powers:
-    """Powers of an odd number modulo 2^64 and of its inverse, grown on demand."""
+    """Powers of an odd number modulo 2^64 and of its inverse. Those for one slice are kept; longer
+    ones are made for the one text that needs them."""
 
     def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
+        self.kept = None
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
-            inverse = pow(_POWER, -1, 1 << 64)
-            for name, base in (("up", _POWER), ("down", inverse)):
-                a = np.full(size, base, np.uint64)
-                a[0] = 1
-                setattr(self, name, np.multiply.accumulate(a))
-        return self.up[:n], self.down[:n]
+        inverse = pow(_POWER, -1, 1 << 64)
+        if n > 2 * SLICE_BYTES:
+            return _powers(_POWER, n), _powers(inverse, n)
+        if self.kept is None or len(self.kept[0]) < n:
+            size = max(n, SLICE_BYTES + SLICE_BYTES // 8)
+            self.kept = _powers(_POWER, size), _powers(inverse, size)
+        return self.kept[0][:n], self.kept[1][:n]
 
 
 POWERS = Powers()
@@ -116,19 +123,36 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def _word_end(data: np.ndarray, at: int) -> int:
+    """The first place from ``at`` on with a byte that ends a word, or the end."""
+    while at < len(data):
+        found = np.flatnonzero(SPACE[data[at : at + 4096]])
+        if len(found):
+            return at + int(found[0])
+        at += 4096
+    return len(data)
+
+
 def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words (runs of bytes other than space and 0x09-0x0D) of all texts.
 
     Returns a 64-bit hash per word, word starts and ends in the joined bytes, and for each text
-    the index of its first word, with the total at the end."""
-    joined = b"\n".join(texts)
-    data = np.frombuffer(joined, np.uint8)
-    inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = ~SPACE[data]
-    edges = np.diff(inside)
-    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    sums, down = prefix_hashes(data)
-    hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    the index of its first word, with the total at the end. Arrays of a number per byte are made
+    for stretches of ``SLICE_BYTES``, whatever the length of a text."""
+    data = np.frombuffer(b"\n".join(texts), np.uint8)
+    parts, at = [], 0
+    while at < len(data) or not parts:
+        end = _word_end(data, at + SLICE_BYTES)
+        part = data[at:end]
+        inside = np.zeros(len(part) + 2, np.int8)
+        inside[1:-1] = ~SPACE[part]
+        edges = np.diff(inside)
+        starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        sums, down = prefix_hashes(part)
+        hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        parts.append((hashes, starts + at, ends + at))
+        at = max(end, at + 1)
+    hashes, starts, ends = (np.concatenate(x) for x in zip(*parts, strict=True))
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     bounds = np.r_[0, np.cumsum(lengths)]
     return hashes, starts, ends, np.searchsorted(starts, bounds)
