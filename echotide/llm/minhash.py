@@ -184,31 +184,76 @@ def likely(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     return pairs.join(sides[0], "a").join(sides[1], "b").mapInPandas(agree, "a long, b long")
 
 
-def partners(a: pd.DataFrame, b: pd.DataFrame, most: int | None) -> pd.DataFrame:
-    """Likely links of the members ``a`` of a bucket with members ``b`` of other components, for
-    each of ``a`` the ``most`` closest ones or all. A pair that shares several bands counts in the
-    first of them."""
-    out = []
-    if len(a) and len(b):
-        band = int(a["place"].iloc[0])
-        theirs, n_b = _bytes(b["signature"]), b["n_shingles"].to_numpy()
-        bands = np.vstack(b["bands"].to_numpy())
-        root_b, id_b = b["root"].to_numpy(), b["id"].to_numpy()
-        for x in a.itertuples():
-            fit = np.flatnonzero((root_b != x.root) & _sizes_fit(n_b, x.n_shingles))
-            count = (theirs[fit] == np.frombuffer(x.signature, np.uint8)).sum(axis=1)
+MEET = ["band", "i", "j"]
+KEPT = ["ask", "place", "id", "root", "n_shingles"]
+
+
+def _arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    """The columns of members of buckets, with a row of numbers for signature and bands."""
+    out = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in KEPT}
+    n = batch.num_rows
+    signed = b"".join(batch.column("signature").to_pylist())
+    out["signature"] = np.frombuffer(signed, np.uint8).reshape(n, COORDINATES)
+    out["bands"] = batch.column("bands").flatten().to_numpy().reshape(n, BANDS)
+    return out
+
+
+def partners(rows: dict[str, np.ndarray], most: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Likely links of the members of a block that ``ask`` with the others, of other components,
+    for each the ``most`` closest ones or all. A pair that shares several bands counts in the first
+    of them."""
+    asking, other = np.flatnonzero(rows["ask"]), np.flatnonzero(~rows["ask"])
+    root, n, ids = (rows[c][other] for c in ("root", "n_shingles", "id"))
+    signed, bands = rows["signature"][other], rows["bands"][other]
+    a, b = [], []
+    for x in asking.tolist():
+        fit = np.flatnonzero((root != rows["root"][x]) & _sizes_fit(n, rows["n_shingles"][x]))
+        if len(fit):
+            count = (signed[fit] == rows["signature"][x]).sum(axis=1)
             close = count >= LEAST_AGREEING
             fit, count = fit[close], count[close]
-            first = (bands[fit] == x.bands).argmax(axis=1) == band
+        if len(fit):
+            first = (bands[fit] == rows["bands"][x]).argmax(axis=1) == rows["place"][x]
             fit, count = fit[first], count[first]
             if most is not None:
-                fit = fit[np.lexsort((id_b[fit], -count))[:most]]
-            out.append(
-                pd.DataFrame(
-                    {"a": np.minimum(id_b[fit], x.id), "b": np.maximum(id_b[fit], x.id)}
-                )
-            )
-    return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []})
+                fit = fit[np.lexsort((ids[fit], -count))[:most]]
+            a.append(np.full(len(fit), rows["id"][x]))
+            b.append(ids[fit])
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
+
+
+def _met(batches: Iterator[pa.RecordBatch], most: int | None) -> Iterator[pa.RecordBatch]:
+    """``partners`` of every block, of which the rows follow each other."""
+
+    def found(parts):
+        rows = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+        return partners(rows, most)
+
+    held, at = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows, links = _arrays(batch), []
+        keys = np.stack([batch.column(c).to_numpy() for c in MEET])
+        starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+        for s, e in zip(starts, np.r_[starts[1:], batch.num_rows], strict=True):
+            key = tuple(keys[:, s].tolist())
+            if key != at and held:
+                links.append(found(held))
+                held = []
+            at = key
+            held.append({c: x[s:e] for c, x in rows.items()})
+        if links:
+            yield _pairs(links)
+    if held:
+        yield _pairs([found(held)])
+
+
+def _pairs(links: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    a, b = (np.concatenate(x) for x in zip(*links, strict=True))
+    sides = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
+    return pa.RecordBatch.from_arrays(sides, ["a", "b"])
 
 
 def outsiders(placed: DataFrame, signed: DataFrame, most: int | None) -> DataFrame:
@@ -243,17 +288,13 @@ def outsiders(placed: DataFrame, signed: DataFrame, most: int | None) -> DataFra
     def one(n):
         return F.pmod(F.xxhash64("id"), F.col(n))
 
-    keys = ["band", "i", "j"]
-    columns = [*keys, "place", "id", "root", "n_shingles", "signature", "bands"]
-    ask = rows.filter("root != inside").withColumn("i", one("i_blocks"))
+    columns = [*MEET, *KEPT, "signature", "bands"]
+    ask = rows.filter("root != inside").withColumns({"i": one("i_blocks"), "ask": F.lit(True)})
     ask = ask.withColumn("j", each("j_blocks")).select(columns)
-    answer = rows.withColumn("j", one("j_blocks")).withColumn("i", each("i_blocks")).select(columns)
-    found = (
-        ask.groupBy(keys)
-        .cogroup(answer.groupBy(keys))
-        .applyInPandas(lambda a, b: partners(a, b, most), "a long, b long")
-    )
-    return found.distinct()
+    answer = rows.withColumns({"j": one("j_blocks"), "ask": F.lit(False)})
+    answer = answer.withColumn("i", each("i_blocks")).select(columns)
+    blocks = ask.unionByName(answer).repartition(*MEET).sortWithinPartitions(*MEET)
+    return blocks.mapInArrow(lambda batches: _met(batches, most), "a long, b long").distinct()
 
 
 def centres(placed: DataFrame, again: bool) -> DataFrame:
@@ -290,7 +331,7 @@ def linked(docs: DataFrame, signed: DataFrame) -> DataFrame:
     touched = ids.withColumnRenamed("id", "row")
     some = staged(signed.join(touched, "row", "left_semi"), "signed")
     roots = ids.withColumn("root", F.col("id"))
-    sets, edges = None, None
+    sets = None
     for turn in range(CENTRE_TURNS + 2):
         placed = staged(buckets.join(roots, "id"), "placed")
         if turn < CENTRE_TURNS:
@@ -305,10 +346,15 @@ def linked(docs: DataFrame, signed: DataFrame) -> DataFrame:
         new = staged(confirmed(pairs, sets), "links")
         if new.isEmpty():
             continue
-        edges = new if edges is None else edges.unionByName(new)
-        found = components(edges)
+        # Only components that a new link joins are looked at again.
+        ends = [roots.select(F.col("id").alias(x), F.col("root").alias(f"of_{x}")) for x in "ab"]
+        between = new.join(ends[0], "a").join(ends[1], "b")
+        joined = components(between.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+        joined = joined.select(F.col("id").alias("root"), F.col("root").alias("least"))
         roots = staged(
-            ids.join(found, "id", "left").select("id", F.coalesce("root", "id").alias("root")),
+            roots.join(joined, "root", "left").select(
+                "id", F.coalesce("least", "root").alias("root")
+            ),
             "roots",
         )
     return roots
