@@ -65,12 +65,17 @@ def fold(parts: int):
     return F.crc32(F.col("doc_id").cast("string")) % parts
 
 
+def held_out(parts: int, rest: int):
+    """Whether a row is of the fold that nothing is learned from; a row without an id is of none."""
+    return F.coalesce(fold(parts) == rest, F.lit(False)).alias("held_out")
+
+
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     filters = language.fit(docs.filter(fold(4) != 2))
     out = language.predict(docs, filters)
-    return out.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", held_out(4, 2), "lang_pred", "score")
 
 
 @query
@@ -98,7 +103,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(fold(5) != 0)
     scored = toxicity.score(docs, toxicity.fit(docs, labels))
-    return scored.withColumn("held_out", fold(5) == 0)
+    return scored.withColumn("held_out", held_out(5, 0))
 
 
 @query

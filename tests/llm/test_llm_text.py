@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -9,7 +10,7 @@ import pandas as pd
 import pytest
 from cases import SCHEMA, WORD, awkward, prose
 
-from echotide.llm import language, quality, toxicity
+from echotide.llm import language, quality, queries, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -183,3 +184,10 @@ def test_rules_are_learned_pruned_and_applied(spark):
 def test_fitting_takes_at_most_the_stated_number_of_rows(spark, docs):
     labels = spark.createDataFrame([(i, i % 2) for i in range(24)], "doc_id long, quality int")
     assert isinstance(quality.fit(docs, labels, most=5), list)
+
+
+def test_held_out_is_never_null(spark):
+    ids = spark.createDataFrame([(None,), (0,), (1,), (2,), (3,)], "doc_id long")
+    got = {r[0]: r[1] for r in ids.select("doc_id", queries.held_out(4, 2)).collect()}
+    assert got[None] is False
+    assert all(got[i] == (zlib.crc32(str(i).encode()) % 4 == 2) for i in range(4))
