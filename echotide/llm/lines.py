@@ -4,7 +4,8 @@ Segment-partition join: a line cut into ``edits + 1`` segments keeps at least on
 under ``edits`` changes. Segments of every line are indexed by line length, number and content. A
 line probes the index of each length it could match, with the substrings that can be that segment:
 those whose shift can be made up by edits on both sides (multi-match-aware selection). Lines that
-meet are verified by a banded edit distance, one word of bits for a column of the band.
+meet, and whose lengths and numbers of symbols allow it, are verified by a banded edit distance,
+one word of bits for a column of the band.
 
 All of it are DataFrame functions. Texts stay where they are: hashes move, and the few lines that
 met. Lines shorter than ``LEAST_CHARS`` are compared for equality only.
@@ -22,8 +23,10 @@ from .common import numbered, staged
 
 EDITS = 2
 LEAST_CHARS = 20
-#: Lines that met, up to which their list (two numbers each) is sent to all tasks.
+#: Lines up to which a list of them (a few numbers each) is sent to all tasks.
 MOST_SENT = 500_000
+#: Occurrences from which on a line may be taken once instead of each time; no result depends on it.
+LEAST_OFTEN = 100
 #: Letters that are counted before a distance is; any choice gives the same result.
 LETTERS = "etaoinsrhldcumfpgwybvk"
 NEWLINE = "\n"
@@ -41,42 +44,41 @@ def segment_bounds(length: Column, edits: int, i: int) -> tuple[Column, Column]:
     return start, base + (F.lit(i) > first_longer).cast("int")
 
 
-def pieces(line: Column, n: Column, edits: int) -> list[Column]:
-    """For each segment the part of the line that its probes lie in, and where that begins."""
-    out = []
-    for i in range(1, edits + 2):
-        start, size = segment_bounds(n, edits, i)
-        first = F.greatest(start - 2 * edits, F.lit(1))
-        out.append(F.substring(line, first, size + 4 * edits + 2).alias(f"piece{i}"))
-        out.append(first.alias(f"first{i}"))
-    return out
-
-
-def probes(n: Column, edits: int) -> Column:
-    """All index and probe keys of a line of ``n`` characters with its ``pieces``: the key, and
-    whether it is an own segment; null where a shift leads out of the line.
-
-    For each length the line could match from above and each segment, shifts run over what the
-    edits before it and after it allow both."""
+def shifts(edits: int) -> list[tuple[int, int, int]]:
+    """All probes of a line, as how much shorter the other line is, the segment of that line, and
+    how far it lies from its own place: over what the edits before it and after it allow both."""
     out = []
     for shorter in range(edits + 1):
-        length = n - shorter
         for i in range(1, edits + 2):
-            start, size = segment_bounds(length, edits, i)
             low = max(-(i - 1), shorter - (edits + 1 - i))
             high = min(i - 1, shorter + (edits + 1 - i))
-            for shift in range(low, high + 1):
-                at = start + shift
-                part = F.substring(F.col(f"piece{i}"), at - F.col(f"first{i}") + 1, size)
-                key = F.xxhash64(length, F.lit(i), part)
-                fits = (at >= 1) & (at + size - 1 <= n)
-                out.append(
-                    F.when(
-                        fits,
-                        F.struct(key.alias("key"), F.lit(shorter == 0 and shift == 0).alias("own")),
-                    )
-                )
-    return F.array(*out)
+            out += [(shorter, i, shift) for shift in range(low, high + 1)]
+    return out
+
+
+def keys(lines: DataFrame, edits: int) -> DataFrame:
+    """``key, own, h1, h2``: index and probe keys of every line (``line`` of ``n`` characters),
+    ``own`` where it is a segment of the line itself.
+
+    The probes are rows of a fixed list, so that one short expression makes all keys; one
+    expression for each of them makes a method too long for the JVM to compile."""
+    fixed = [
+        F.struct(F.lit(s).alias("shorter"), F.lit(i).alias("i"), F.lit(d).alias("shift"))
+        for s, i, d in shifts(edits)
+    ]
+    n, i, shift = F.col("n"), F.col("probe.i"), F.col("probe.shift")
+    length = n - F.col("probe.shorter")
+    start, size = segment_bounds(length, edits, i)
+    at = start + shift
+    return (
+        lines.select(*LINE, "line", "n", F.explode(F.array(*fixed)).alias("probe"))
+        .filter((at >= 1) & (at + size - 1 <= n))
+        .select(
+            F.xxhash64(length, i, F.substring(F.col("line"), at, size)).alias("key"),
+            ((F.col("probe.shorter") == 0) & (shift == 0)).alias("own"),
+            *LINE,
+        )
+    )
 
 
 def within(a: Column, b: Column, edits: int) -> Column:
@@ -218,60 +220,97 @@ def _identity(line: str) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(6), line).alias("h2")]
 
 
-def met(lines: DataFrame, edits: int) -> DataFrame:
-    """Pairs of different lines (``a``, ``b`` with two hashes each, unverified) that share a segment
-    at a possible place. ``lines`` holds ``line``."""
+def parities(line: Column) -> Column:
+    """64 bits, each for the characters of some code points: whether their number in the line is
+    odd. An edit changes two bits at most."""
+
+    def step(bits: Column, letter: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(letter) % 64)
+        return bits.bitwiseXOR(bit)
+
+    return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), step)
+
+
+def sharing(lines: DataFrame, firsts: DataFrame, edits: int) -> DataFrame:
+    """``key, own, h1, h2`` of the keys that different lines share, one of them as its own segment.
+    ``lines`` holds ``row, place, line``, ``firsts`` the first ``row`` and ``place`` of every line
+    and its number ``n_lines``.
+
+    Of lines that occur often only the first occurrence is taken, so that a common line is no hot
+    key. Of N occurrences at most ``MOST_SENT`` lines make up more than N / ``MOST_SENT`` each, so
+    the list of them is small enough for every task."""
+    total = firsts.agg(F.coalesce(F.sum("n_lines"), F.lit(0))).first()[0]
+    often = firsts.filter(F.col("n_lines") > max(LEAST_OFTEN, total // MOST_SENT))
+    often = often.select(*LINE, F.struct("row", "place").alias("first"))
     # Lengths and hashes are columns of their own, so that each is computed once in compiled code.
-    sized = lines.select("line", F.char_length("line").alias("n"), *_identity("line"))
-    keyed = (
+    sized = lines.select("row", "place", "line", F.char_length("line").alias("n"), *_identity("line"))
+    once = (
         sized.filter(F.col("n") >= LEAST_CHARS)
-        .select("h1", "h2", "n", *pieces(F.col("line"), F.col("n"), edits))
-        .select("h1", "h2", F.explode(probes(F.col("n"), edits)).alias("probe"))
-        .filter("probe is not null")
-        .select("h1", "h2", "probe.key", "probe.own")
+        .join(F.broadcast(often), LINE, "left")
+        .filter(F.col("first").isNull() | (F.struct("row", "place") == F.col("first")))
     )
     # A key that only one line has meets nothing; most are of that kind and go before any pairing.
     same = Window.partitionBy("key")
-    shared = (
-        keyed.withColumn("owned", F.max("own").over(same))
+    return (
+        keys(once, edits)
+        .withColumn("owned", F.max("own").over(same))
         .withColumn("least", F.min("h1").over(same))
         .withColumn("most", F.max("h1").over(same))
         .filter("owned and least != most")
-        .select("key", "own", "h1", "h2")
-        .distinct()
-    )
-    shared = staged(shared, "segments")
-    own = shared.filter("own").select("key", F.struct("h1", "h2").alias("a"))
-    other = shared.select("key", F.struct("h1", "h2").alias("b"))
-    return (
-        own.join(other, "key")
-        .filter("a != b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .select("key", "own", *LINE)
         .distinct()
     )
 
 
-def near_links(docs: DataFrame, places: DataFrame, edits: int = EDITS) -> DataFrame:
-    """``a, b``: pairs of different lines within ``edits`` edits, as structs of two hashes.
-    ``places`` holds the first ``row`` and ``place`` of every line (``h1``, ``h2``)."""
-    pairs = staged(met(numbered_lines(docs), edits), "pairs")
-    ends = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-    wanted = staged(
-        ends.select("a.h1", "a.h2").join(places, LINE).select("row", "place", *LINE), "wanted"
-    )
-    by_row = wanted.groupBy("row").agg(F.collect_list(F.struct("place", *LINE)).alias("wanted"))
-    if wanted.count() <= MOST_SENT:  # of a few numbers each: else the texts are shuffled
+def first_texts(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """``id, line`` of the lines at ``places`` (``row, place, h1, h2``)."""
+    by_row = places.groupBy("row").agg(F.collect_list(F.struct("place", *LINE)).alias("wanted"))
+    if places.count() <= MOST_SENT:  # of a few numbers each: else the texts are shuffled
         by_row = F.broadcast(by_row)
-    texts = (
+    return (
         docs.join(by_row, "row")
         .select(F.split("text", NEWLINE).alias("lines"), F.explode("wanted").alias("w"))
         .select(F.struct("w.h1", "w.h2").alias("id"), F.get("lines", F.col("w.place")).alias("line"))
     )
-    texts = staged(texts.withColumn("n", F.char_length("line")), "lines")
-    left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"), F.col("n").alias("n_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"), F.col("n").alias("n_b"))
-    both = pairs.join(left, "a").join(right, "b").filter(F.abs(F.col("n_a") - F.col("n_b")) <= edits)
-    return near_pairs(both.select("a", "b", "x", "y"), edits).select("a", "b")
+
+
+def met(shared: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+    """Pairs of different lines (``a`` and ``b``, two hashes each, unverified) that share a key, and
+    whose lengths (``n``) and parities (``odd``) in ``texts`` allow ``edits`` edits. Lines of one
+    template that differ by whole words rarely do, so few of those pairs become rows; the fewer
+    characters a script has, the more."""
+    known = shared.join(texts.select("id.*", "n", "odd"), LINE)
+    own, other = (
+        known.select("key", "own", *(F.col(c).alias(f"{side}_{c}") for c in ("n", "odd")),
+                     F.struct(*LINE).alias(side))
+        for side in "ab"
+    )
+    possible = (
+        (F.col("a") != F.col("b"))
+        & (F.abs(F.col("a_n") - F.col("b_n")) <= edits)
+        & (F.bit_count(F.col("a_odd").bitwiseXOR(F.col("b_odd"))) <= 2 * edits)
+    )
+    own, other = own.filter("own").drop("own"), other.drop("own").withColumnRenamed("key", "probe")
+    return (
+        own.join(other, (F.col("key") == F.col("probe")) & possible)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
+    )
+
+
+def near_links(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFrame:
+    """``a, b``: pairs of different lines within ``edits`` edits, as structs of two hashes.
+    ``firsts`` holds the first ``row`` and ``place`` of every line (``h1``, ``h2``) and its number
+    ``n_lines``."""
+    shared = staged(sharing(numbered_lines(docs), firsts, edits), "segments")
+    places = firsts.select("row", "place", *LINE).join(shared.select(*LINE).distinct(), LINE)
+    texts = first_texts(docs, staged(places, "wanted"))
+    texts = texts.withColumn("n", F.char_length("line")).withColumn("odd", parities(F.col("line")))
+    texts = staged(texts, "lines")
+    pairs = staged(met(shared, texts, edits), "pairs")
+    left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
+    right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
+    return near_pairs(pairs.join(left, "a").join(right, "b"), edits).select("a", "b")
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
@@ -295,8 +334,10 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
         numbered_lines(texts).select("row", "doc_id", "place", *_identity("line")), "places"
     )
     at = F.struct("doc_id", "row", "place")
-    firsts = staged(found.groupBy(LINE).agg(F.min(at).alias("at")), "firsts")
-    links = near_links(texts, firsts.select(*LINE, "at.row", "at.place"), edits)
+    counted = found.groupBy(LINE).agg(F.min(at).alias("at"), F.count("*").alias("n_lines"))
+    counted = staged(counted, "firsts")
+    firsts = counted.select(*LINE, "at")
+    links = near_links(texts, counted.select(*LINE, "at.row", "at.place", "n_lines"), edits)
     named = firsts.select(F.struct(*LINE).alias("id"), "at")
     later = (
         links.join(named.select(F.col("id").alias("a"), F.col("at").alias("at_a")), "a")

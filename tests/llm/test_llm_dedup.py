@@ -199,8 +199,9 @@ def line_rows() -> list[tuple]:
     return rows + [(500, None, None, None, None), (501, "", "en", "s", 0)]
 
 
-@pytest.mark.parametrize("edits", [1, 2])
-def test_line_dedup(spark, edits):
+@pytest.mark.parametrize(("edits", "often"), [(1, 100), (2, 100), (2, 0), (2, 2)])
+def test_line_dedup(spark, edits, often, monkeypatch):
+    monkeypatch.setattr(lines, "LEAST_OFTEN", often)
     rows = line_rows() + [(1000 + r[0], *r[1:]) for r in awkward()]
     docs = spark.createDataFrame(rows, SCHEMA).withColumn("row", F.lit("r")).withColumn("place", F.lit("p"))
     out = lines.dedup_lines(docs, edits).collect()
@@ -220,6 +221,28 @@ def test_line_dedup_of_odd_ids(spark):
     assert lines.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_template_lines_meet_without_pairs(spark):
+    """Lines of one template that differ by words share keys, but only near ones become pairs."""
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyzабвгдежзиклмно"
+    head = prose(rng, 12, letters)
+    middle = ["".join(rng.choices(letters, k=30)) for _ in range(60)]  # of one length
+    family = [f"{head} {words} {head}" for words in middle]
+    rows = [(i, line) for i, line in enumerate([*family, family[7] + "z"])]
+    docs = spark.createDataFrame(rows, "row long, text string")
+    docs = docs.withColumn("doc_id", F.col("row"))
+    found = lines.numbered_lines(docs).select("row", "place", *lines._identity("line"))
+    firsts = found.withColumn("n_lines", F.lit(1).cast("long"))
+    shared = lines.sharing(lines.numbered_lines(docs), firsts, 2)
+    assert shared.select(*lines.LINE).distinct().count() == len(rows)
+    texts = lines.first_texts(docs, found)
+    texts = texts.withColumn("n", F.char_length("line"))
+    texts = texts.withColumn("odd", lines.parities(F.col("line")))
+    pairs = lines.met(shared, texts, 2)
+    assert 1 <= pairs.count() <= len(rows)
+    assert lines.near_links(docs, firsts, 2).count() == 1
+
+
 def test_line_dedup_has_no_python(spark):
     docs = spark.createDataFrame(line_rows(), SCHEMA)
     plan = lines.dedup_lines(docs)._jdf.queryExecution().toString()
