@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month
@@ -277,3 +277,16 @@ def coverage(
         .drop("_rows")
         .withColumn("covered", safe_divide(F.col("n_rows"), F.col("target")))
     )
+
+
+def observed_coverage(
+    df: DataFrame, targets: Mapping[str, int], key: str, write: Callable[[DataFrame], None]
+) -> DataFrame:
+    """The same as ``coverage``, from the counts that ``write`` makes while it writes the rows it is
+    given, all of them once, so that they are not scanned again. ``targets`` is the configured list."""
+    counts = Observation()
+    each = [F.count_if(F.col(key) == name).alias(f"n{i}") for i, name in enumerate(targets)]
+    write(df.observe(counts, F.count(F.lit(1)).alias("all"), *each))
+    rows = [(name, targets[name], counts.get[f"n{i}"]) for i, name in enumerate(targets)]
+    collected = df.sparkSession.createDataFrame(rows, f"`{key}` string, target bigint, n_rows bigint")
+    return collected.withColumn("covered", safe_divide(F.col("n_rows"), F.col("target")))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
-from ..schemas import CORE_COLUMNS
+from ..schemas import CORE_COLUMNS, STAR
 from ..session import drop_folder, stage
 from .enrich import DEFAULT_ISSUE
 from .select import dedup_keep_first, drop_blank
@@ -106,8 +106,9 @@ def write_star(
     staging: str,
     order: str | Column = "arrival",
     mode: str = "errorifexists",
-) -> None:
-    """Write the three tables under ``path``, the dimension split by month.
+) -> dict[str, int]:
+    """Write the three tables under ``path``, the dimension split by month. Returns the rows of each
+    table, counted by its write.
 
     The base is first written once to a folder of its own under ``staging``, a place that all
     executors share, so that cleaning and tagging do not run three times; the copy is removed
@@ -121,16 +122,25 @@ def write_star(
             "review_month", F.trunc("review_date", "MM")
         )
         # Rebalancing cuts a month that holds most rows into files of even size.
-        dim.hint("rebalance", "review_month").write.mode(mode).partitionBy(
-            "review_month"
-        ).parquet(f"{path}/dim_reviews_core")
-        for name, fact in star.items():
-            fact.write.mode(mode).parquet(f"{path}/{name}")
+        dim = dim.hint("rebalance", "review_month")
+        months, whole = ["review_month"], []
+        counts = {}
+        for name, table, parts in [
+            ("dim_reviews_core", dim, months),
+            *((name, fact, whole) for name, fact in star.items()),
+        ]:
+            # Counted last before the write, where no task counts twice.
+            counts[name] = Observation()
+            observed = table.observe(counts[name], F.count(F.lit(1)).alias("n_rows"))
+            observed.write.mode(mode).partitionBy(*parts).parquet(f"{path}/{name}")
+        return {name: seen.get["n_rows"] for name, seen in counts.items()}
     finally:
         drop_folder(spark, folder)
 
 
 def read_star(spark, path: str) -> dict[str, DataFrame]:
-    """The tables ``write_star`` wrote."""
-    names = ("dim_reviews_core", "fact_l1_tags", "fact_l2_tags")
-    return {name: spark.read.parquet(f"{path}/{name}") for name in names}
+    """The tables ``write_star`` wrote. Types are declared, as a dimension without rows has no files
+    to tell them."""
+    return {
+        name: spark.read.schema(types).parquet(f"{path}/{name}") for name, types in STAR.items()
+    }

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import measures as ms
 from ..operators.select import top_n
 from ..operators.star import with_dim
+from ..session import checkpoint_root
 from . import fixtures as fx
 from .registry import day, query, table
 
@@ -229,15 +232,23 @@ def filter_override(spark, sf_dir):
     return overridden.join(intersected, axis).join(removed, axis)
 
 
-@query(
-    """with targets as (select distinct source, 60 target from documents
+_SQL_COVERAGE = """with targets as (select distinct source, 60 target from documents
                         union all select 'nowhere', 60),
             rows_ as (select source, count(*) n from documents group by 1)
        select source, cast(target as bigint) target, coalesce(n, 0) n_rows,
               cast(coalesce(n, 0) as double) / target covered
        from targets left join rows_ using (source)"""
-)
+_TARGETS = {f"src{i}": 60 for i in range(20)} | {"nowhere": 60}
+
+
+@query(_SQL_COVERAGE)
 def coverage(spark, sf_dir):
+    return ms.coverage(table(spark, sf_dir, "documents"), _TARGETS, "source")
+
+
+@query(_SQL_COVERAGE)
+def coverage_observed(spark, sf_dir):
+    """Coverage from the counts made while the collected rows are written."""
+    place = f"{checkpoint_root(spark)}/collected-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
-    targets = {f"src{i}": 60 for i in range(20)} | {"nowhere": 60}
-    return ms.coverage(docs, targets, "source")
+    return ms.observed_coverage(docs, _TARGETS, "source", lambda rows: rows.write.parquet(place))

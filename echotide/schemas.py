@@ -31,6 +31,14 @@ COLLECTED = (
 
 CORE_COLUMNS = ["review_id", "review_date", "sentiment", "text", "source", "username", "platform"]
 
+# The tables of the written star, the dimension with the month that splits it.
+STAR = {
+    "dim_reviews_core": "review_id STRING, review_date DATE, sentiment STRING, text STRING, "
+    "source STRING, username STRING, platform STRING, review_month DATE",
+    "fact_l1_tags": "review_id STRING, review_date DATE, sentiment STRING, l1_category STRING",
+    "fact_l2_tags": "review_id STRING, l2_specific_issue STRING",
+}
+
 # Header names of the flat file, with the canonical name and the type each is locked to.
 FLAT_FILE_COLUMNS = [
     ("Review_ID", "review_id", "string"),

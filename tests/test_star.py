@@ -5,6 +5,8 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from echotide.operators import measures as ms
+from echotide.operators import published as pub
 from echotide.operators import star as st
 from echotide.plans import fixtures as fx
 
@@ -83,3 +85,58 @@ def test_dimension_is_made_without_tags(spark, sf):
     dim = fx.star(spark, sf)["dim_reviews_core"]
     plan = dim._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "tags" not in plan
+
+
+def same(a, b):
+    b = b.select(*a.columns)
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_a_failed_publication_leaves_the_last(spark, sf, tmp_path, monkeypatch):
+    path, staging = str(tmp_path / "star"), str(tmp_path / "staging")
+    base = fx.collected_twice(spark, sf)
+    assert pub.versions(spark, path).count() == 0 and pub.latest_version(spark, path) is None
+    with pytest.raises(ValueError, match="no version"):
+        pub.read_published(spark, path)
+    assert pub.publish_star(base, path, staging) == 1
+    before = pub.read_published(spark, path)
+
+    # The third of three writes fails.
+    broken = F.raise_error(F.lit("third write")).cast("string")
+    whole = st.fact_l2
+    monkeypatch.setattr(
+        st, "fact_l2", lambda base: whole(base).withColumn("l2_specific_issue", broken)
+    )
+    with pytest.raises(Exception, match="third write"):
+        pub.publish_star(base.filter("arrival % 2 = 0"), path, staging)
+    monkeypatch.undo()
+    assert pub.latest_version(spark, path) == 1
+    assert len(list((tmp_path / "star" / "versions").iterdir())) == 1
+    assert list((tmp_path / "staging").iterdir()) == []
+    for name, want in fx.star(spark, sf).items():
+        assert same(want, pub.read_published(spark, path)[name])
+
+    # A reader of the first version stays in it; the counts are those of the tables.
+    assert pub.publish_star(base.limit(0), path, staging) == 2
+    counted = {r["version"]: r["n_rows"] for r in pub.versions(spark, path).collect()}
+    assert counted[1] == {name: table.count() for name, table in before.items()}
+    assert counted[2] == dict.fromkeys(before, 0)
+    assert pub.read_published(spark, path)["fact_l2_tags"].count() == 0
+    assert same(before["fact_l1_tags"], pub.read_published(spark, path, 1)["fact_l1_tags"])
+    assert pub.retire(spark, path, keep=1) == [1] and pub.retire(spark, path, keep=1) == []
+    assert pub.latest_version(spark, path) == 2
+    with pytest.raises(ValueError, match="newest"):
+        pub.retire(spark, path, keep=0)
+
+
+def test_observed_coverage(spark, tmp_path):
+    rows = spark.createDataFrame([("a",), ("a",), ("c",), (None,)], "app string")
+    targets = {"a": 4, "b": 2, "zero": 0}
+    place = str(tmp_path / "rows")
+    got = ms.observed_coverage(rows, targets, "app", lambda df: df.write.parquet(place))
+    assert same(ms.coverage(rows, targets, "app"), got)
+    assert spark.read.parquet(place).count() == 4
+    none = ms.observed_coverage(
+        rows.limit(0), targets, "app", lambda df: df.write.parquet(place + "-none")
+    )
+    assert same(ms.coverage(rows.limit(0), targets, "app"), none)
