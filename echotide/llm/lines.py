@@ -60,8 +60,9 @@ def keys(lines: DataFrame, edits: int) -> DataFrame:
     """``key, own, h1, h2``: index and probe keys of every line (``line`` of ``n`` characters),
     ``own`` where it is a segment of the line itself.
 
-    The probes are rows of a fixed list, so that one short expression makes all keys; one
-    expression for each of them makes a method too long for the JVM to compile."""
+    The probes are rows of a fixed list, so that one short expression makes all keys. One expression
+    for each of them took about four times as long, presumably as its method is too long for the
+    JVM to compile."""
     fixed = [
         F.struct(F.lit(s).alias("shorter"), F.lit(i).alias("i"), F.lit(d).alias("shift"))
         for s, i, d in shifts(edits)
