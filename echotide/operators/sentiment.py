@@ -3,14 +3,17 @@
 The lexicon is the caller's ``(word, valence)``, one row per word. Normalisation and thresholds
 are those of the published VADER model (Hutto and Gilbert, 2014).
 
-Words are joined with the lexicon, whatever its size; Spark decides how. Texts are known by their
-hash, so ids may repeat or be missing.
+A text is scored where it stands: a lexicon whose measured size is within ``HELD_CHARACTERS`` goes
+to the tasks whole, and each text is looked up in one pass, with no shuffle and no second reading of
+the input. A larger one is joined with the words of the texts instead, which are known by their
+hash, so ids may repeat or be missing. Both ways give the same scores.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +55,7 @@ NEGATIONS = tuple(
     without won't wont wouldn't wouldnt""".split()
 )
 
+HELD_CHARACTERS = 4_000_000  # of a lexicon that goes to the tasks whole
 UNIT = 1_000_000  # valences are summed as whole millionths: exact in any order of rows
 
 Lexicon = Sequence[tuple[str, float]]
@@ -77,7 +81,7 @@ def unique_words(lexicon: Lexicon | DataFrame, df: DataFrame) -> DataFrame:
         lexicon = df.sparkSession.createDataFrame(list(lexicon), "word string, valence double")
     units = F.round(F.col("valence") * UNIT).cast("bigint")
     return (
-        lexicon.filter("word is not null and valence is not null")
+        lexicon.filter("word != '' and valence is not null")
         .groupBy(F.lower("word").alias("low"))
         .agg(F.min(F.struct("word", units.alias("valence"))).alias("first"))
         .select(F.col("low").alias("word"), F.col("first.valence").alias("valence"))
@@ -90,28 +94,63 @@ def _text_key(text: str) -> list[Column]:
     return [F.xxhash64(text).alias("_a"), F.xxhash64(F.lit(1), text).alias("_b")]
 
 
+def _held(known: DataFrame) -> dict[str, int] | None:
+    """The lexicon as a mapping if it is within ``HELD_CHARACTERS``, measured by Spark first."""
+    size = known.agg(F.sum(F.char_length("word") + F.lit(1))).first()[0] or 0
+    if size > HELD_CHARACTERS:
+        return None
+    return {r["word"]: r["valence"] for r in known.collect()}
+
+
+def _adder(shared):
+    """The sum of the valences of a lower-cased text, in units; 0 for a null."""
+
+    @F.pandas_udf("bigint")
+    def total(texts: pd.Series) -> pd.Series:
+        held = shared.value
+
+        def of(piece: str) -> int:
+            bare = piece.strip(PUNCTUATION)
+            return held.get(piece if len(bare) <= 2 else bare, 0)
+
+        # What ``split`` takes for space is what ``SPACES`` names.
+        sums = [sum(map(of, text.split())) if text else 0 for text in texts]
+        return pd.Series(sums, dtype="int64")
+
+    return total
+
+
 def lexicon_score(
     df: DataFrame, lexicon: Lexicon | DataFrame, text: str = "text", alpha: int = ALPHA
 ) -> DataFrame:
     """Add ``sentiment_score``; null texts and those without a known word score 0.
 
-    ``lexicon`` is a list or a table of any size, see ``unique_words``. Words are joined with it,
-    each task sums its own first, and one number per text goes back. Ids play no part.
+    ``lexicon`` is a list or a table of any size, see ``unique_words``. Ids play no part.
     """
     known = unique_words(lexicon, df)
+    held = _held(known)
+    if held is None:
+        return _scored(df, _joined_sums(df, known, text), text, F.col("_total"), alpha)
+    add = _adder(df.sparkSession.sparkContext.broadcast(held))
+    score = normalize_score(add(F.lower(text)), alpha)
+    return computed(df.drop("sentiment_score"), sentiment_score=score)
+
+
+def _joined_sums(df: DataFrame, known: DataFrame, text: str) -> DataFrame:
+    """``_a, _b, _total`` of texts whose words sum to something, for lexicons of any size: each task
+    sums its own words first, and one number per text is left."""
     pieces = df.filter(F.col(text).isNotNull()).select(
         *_text_key(text), F.posexplode(F.split(F.lower(text), SPACES)).alias("_at", "_piece")
     )
     words = computed(pieces, word=bare_word(F.col("_piece")))
     # A repeated text is summed as often as it occurs: its first pieces count how often.
     copies = F.count_if(F.col("_at") == 0)
-    totals = (
+    return (
         words.join(known, "word", "left")
         .groupBy("_a", "_b")
         .agg((F.coalesce(F.sum("valence"), F.lit(0)) / copies).alias("_total"))
         .filter("_total != 0")
     )
-    return _scored(df, totals, text, F.col("_total"), alpha)
 
 
 def _scored(
@@ -122,6 +161,37 @@ def _scored(
     return keyed.withColumn("sentiment_score", score).drop("_a", "_b", *totals.columns[2:])
 
 
+def _finder(shared):
+    """Where the lower-cased words of a text are in the lexicon: place, valence, and of the three
+    words before, nearest first, whether the lexicon holds them and how much they boost."""
+
+    @F.pandas_udf(
+        "array<struct<at: int, valence: bigint, known: array<boolean>, boost: array<bigint>>>"
+    )
+    def find(texts: pd.Series) -> pd.Series:
+        held, boost = shared.value
+
+        def hit(words, at: int) -> dict:
+            before = [words[at - back] for back in (1, 2, 3) if at >= back]
+            return {
+                "at": at,
+                "valence": held[words[at]],
+                "known": [word in held for word in before],
+                "boost": [boost.get(word) for word in before],
+            }
+
+        return pd.Series(
+            [
+                [hit(words, at) for at, w in enumerate(words) if w in held and w not in boost]
+                if words is not None
+                else []
+                for words in texts
+            ]
+        )
+
+    return find
+
+
 def rule_score(
     df: DataFrame,
     lexicon: Lexicon | DataFrame,
@@ -133,16 +203,103 @@ def rule_score(
     """Add ``sentiment_score`` with the model's rules for context: boosters and negations up to
     three words before, capitals among other case, what follows a "but", and ``!`` and ``?``.
 
-    Each word carries the three before it; only words of the lexicon, of any size, go on to look at
-    them. Idioms and the word "least", which the model also knows, are not looked at.
+    Only words of the lexicon, of any size, look at the three before them. Idioms and the word
+    "least", which the model also knows, are not looked at.
     """
     known = unique_words(lexicon, df)
-    boost = unique_words(list(boosters.items()), df).withColumnRenamed("valence", "boost")
-    split = F.filter(F.split(F.col(text), SPACES), lambda w: w != "")
-    texts = computed(
-        df.filter(F.col(text).isNotNull()).select(*_text_key(text), split.alias("_pieces")),
-        _words=F.transform("_pieces", bare_word),
+    boost = unique_words(list(boosters.items()), df)
+    held = _held(known)
+    if held is None:
+        totals = _joined_rule_sums(df, known, boost, text, negations)
+        return _scored(df, totals, text, _marked(F.col("_total"), text), alpha)
+    raised = {r["word"]: r["valence"] for r in boost.collect()}
+    find = _finder(df.sparkSession.sparkContext.broadcast((held, raised)))
+    found = computed(df.drop("sentiment_score"), _words=_words_of(text))
+    found = computed(found, _low=F.transform("_words", F.lower))
+    found = computed(
+        found,
+        _hits=find("_low"),
+        _mixed=_mixed_case(F.col("_words")),
+        _but=F.array_position("_low", "but"),
+    )
+    words, mixed = F.col("_words"), F.col("_mixed")
+
+    def first(hit: Column) -> Column:
+        value = hit["valence"] / F.lit(float(UNIT))
+        v = value + _capitals_of(F.get(words, hit["at"]), mixed, value)
+        return F.struct(
+            hit["at"].alias("at"), hit["known"].alias("known"), hit["boost"].alias("boost"),
+            v.alias("v"),
+        )
+
+    def under(back: int) -> Callable[[Column], Column]:
+        def step(hit: Column) -> Column:
+            def before(b: int) -> Column:
+                return F.when(hit["at"] >= b, F.get(words, hit["at"] - b))
+
+            place = F.lit(back - 1)
+            held_too = F.coalesce(F.get(hit["known"], place), F.lit(False))
+            return hit.withField(
+                "v",
+                _step(
+                    hit["v"], back, before, held_too, F.get(hit["boost"], place), mixed, negations
+                ),
+            )
+
+        return step
+
+    hits = F.transform("_hits", first)
+    for back in (1, 2, 3):
+        hits = F.transform(hits, under(back))
+    total = F.aggregate(
+        hits,
+        F.lit(0).cast("decimal(38,15)"),
+        lambda sum_, hit: (sum_ + _exact(hit["v"] * _side(hit["at"], F.col("_but")))).cast(
+            "decimal(38,15)"
+        ),
+    )
+    summed = computed(found, _total=total.cast("double"))
+    score = normalize_score(_marked(F.col("_total"), text), alpha)
+    return computed(summed, sentiment_score=score).drop(
+        "_words", "_low", "_hits", "_mixed", "_but", "_total"
+    )
+
+
+def _words_of(text: str) -> Column:
+    return F.transform(F.filter(F.split(F.col(text), SPACES), lambda w: w != ""), bare_word)
+
+
+def _exact(value: Column) -> Column:
+    """A value whose sums are the same in any order of rows."""
+    return value.cast("decimal(28,15)")
+
+
+def _side(at: Column, but: Column) -> Column:
+    """The weight of a place before or after the "but" at position ``but`` (from 1, 0: none)."""
+    return (
+        F.when((but == 0) | (at + 1 == but), F.lit(1.0))
+        .when(at + 1 < but, F.lit(BEFORE_BUT))
+        .otherwise(F.lit(AFTER_BUT))
     )
+
+
+def _marked(total: Column, text: str) -> Column:
+    """A sum with the emphasis of its text, in units."""
+    total = F.coalesce(total, F.lit(0.0))
+    emphasis = F.coalesce(_emphasis(F.col(text)), F.lit(0.0))
+    return (total + F.signum(total) * emphasis) * UNIT
+
+
+def _joined_rule_sums(
+    df: DataFrame, known: DataFrame, boost: DataFrame, text: str, negations: Sequence[str]
+) -> DataFrame:
+    """``_a, _b, _total`` of texts with a word of the lexicon, for lexicons of any size: each word
+    carries the three before it, and only words of the lexicon go on to look at them."""
+    boost = boost.withColumnRenamed("valence", "boost")
+    texts = computed(
+        df.filter(F.col(text).isNotNull()).select(*_text_key(text), F.col(text).alias("_text")),
+        _words=_words_of("_text"),
+    ).drop("_text")
     texts = computed(
         texts,
         _mixed=_mixed_case(F.col("_words")),
@@ -165,28 +322,26 @@ def rule_score(
             .join(known.select("word", F.lit(True).alias(f"k{back}")), "word", "left")
             .join(boost.withColumnRenamed("boost", f"b{back}"), "word", "left")
         )
-    value = F.col("valence") / F.lit(float(UNIT))
-    rows = rows.withColumn("v", value + _capitals_of("w0", value))
+    value, mixed = F.col("valence") / F.lit(float(UNIT)), F.col("_mixed")
+    rows = rows.withColumn("v", value + _capitals_of(F.col("w0"), mixed, value))
     for back in (1, 2, 3):
-        rows = rows.withColumn("v", _step(back, negations))
-    side = (
-        F.when((F.col("_but") == 0) | (F.col("_at") + 1 == F.col("_but")), F.lit(1.0))
-        .when(F.col("_at") + 1 < F.col("_but"), F.lit(BEFORE_BUT))
-        .otherwise(F.lit(AFTER_BUT))
-    )
-    # Exact in any order of rows: decimals. A repeated text counts once per occurrence.
+        rows = rows.withColumn(
+            "v",
+            _step(
+                F.col("v"), back, lambda b: F.col(f"w{b}"), F.col(f"k{back}").isNotNull(),
+                F.col(f"b{back}"), mixed, negations,
+            ),
+        )
+    # A repeated text counts once per occurrence.
     sums = rows.groupBy("_a", "_b").agg(
-        F.sum((F.col("v") * side).cast("decimal(28,15)")).alias("_sum")
+        F.sum(_exact(F.col("v") * _side(F.col("_at"), F.col("_but")))).alias("_sum")
     )
     copies = df.filter(F.col(text).isNotNull()).groupBy(*_text_key(text)).agg(
         F.count("*").alias("_copies")
     )
-    totals = sums.join(copies, ["_a", "_b"]).select(
+    return sums.join(copies, ["_a", "_b"]).select(
         "_a", "_b", (F.col("_sum").cast("double") / F.col("_copies")).alias("_total")
     )
-    total = F.coalesce("_total", F.lit(0.0))
-    marked = (total + F.signum(total) * _emphasis(F.col(text))) * UNIT
-    return _scored(df, totals, text, marked, alpha)
 
 
 def _is_capitals(word: Column) -> Column:
@@ -198,22 +353,33 @@ def _mixed_case(words: Column) -> Column:
     return (capitals > 0) & (capitals < F.size(words))
 
 
-def _capitals_of(word: str, value: Column) -> Column:
+def _capitals_of(word: Column, mixed: Column, value: Column) -> Column:
     """What capitals among other case add to a value, in its direction."""
     amount = F.when(value > 0, F.lit(CAPITALS)).otherwise(F.lit(-CAPITALS))
-    return F.when(F.col("_mixed") & _is_capitals(F.col(word)), amount).otherwise(F.lit(0.0))
-
-
-def _step(back: int, negations: Sequence[str]) -> Column:
-    """The value ``v`` under the word ``back`` places before. A word of the lexicon, and the front
-    of the text, change nothing."""
-    v, low = F.col("v"), F.lower(f"w{back}")
+    return F.when(mixed & _is_capitals(word), amount).otherwise(F.lit(0.0))
+
+
+def _step(
+    v: Column,
+    back: int,
+    before: Callable[[int], Column],
+    held: Column,
+    boost: Column,
+    mixed: Column,
+    negations: Sequence[str],
+) -> Column:
+    """The value ``v`` under the word ``back`` places before. A word of the lexicon (``held``), and
+    the front of the text, change nothing."""
+    word = before(back)
+    low = F.lower(word)
 
     def nearer(*words: str) -> Column:
-        return F.coalesce(any_of(F.lower(f"w{b}").isin(*words) for b in range(1, back)), F.lit(False))
+        return F.coalesce(
+            any_of(F.lower(before(b)).isin(*words) for b in range(1, back)), F.lit(False)
+        )
 
-    base = F.col(f"b{back}") / F.lit(float(UNIT))
-    signed = F.when(v < 0, -base).otherwise(base) + _capitals_of(f"w{back}", v)
+    base = boost / F.lit(float(UNIT))
+    signed = F.when(v < 0, -base).otherwise(base) + _capitals_of(word, mixed, v)
     boosted = v + F.coalesce(signed * DISTANCE[back - 1], F.lit(0.0))
     turned = (
         F.when((low == "never") & nearer("so", "this"), F.lit(NEVER_SO))
@@ -221,8 +387,7 @@ def _step(back: int, negations: Sequence[str]) -> Column:
         .when(low.isin(*negations) | F.contains(low, F.lit("n't")), F.lit(NEGATION))
         .otherwise(F.lit(1.0))
     )
-    counts = F.col(f"w{back}").isNotNull() & F.col(f"k{back}").isNull()
-    return F.when(counts, boosted * turned).otherwise(v)
+    return F.when(word.isNotNull() & ~held, boosted * turned).otherwise(v)
 
 
 def _emphasis(text: Column) -> Column:

@@ -100,8 +100,15 @@ def brute_score(text):
     return round(total / math.sqrt(total * total + 15), 4)
 
 
+@pytest.fixture(params=["held", "joined"])
+def way(request, monkeypatch):
+    """Both ways to the same scores: a lexicon within the bound, and one beyond it."""
+    if request.param == "joined":
+        monkeypatch.setattr(sentiment, "HELD_CHARACTERS", 0)
+
+
 @pytest.mark.parametrize("kind", ["list", "table"])
-def test_scores(spark, kind):
+def test_scores(spark, kind, way):
     rows = list(enumerate(SAID)) + [(0, SAID[4]), (None, SAID[0]), (None, SAID[0])]
     df = spark.createDataFrame(rows, "review_id int, text string")
     lexicon = LEXICON
@@ -113,7 +120,7 @@ def test_scores(spark, kind):
     )
 
 
-def test_first_spelling_of_a_word_counts(spark):
+def test_first_spelling_of_a_word_counts(spark, way):
     df = spark.createDataFrame([(1, "good")], "review_id int, text string")
     words = [("good", 1.0), ("Good", 3.0), ("Good", 2.0), (None, 1.0), ("bad", None)]
     score = sentiment.lexicon_score(df, words).first()["sentiment_score"]
@@ -155,7 +162,7 @@ SENTENCES = [
 ]
 
 
-def test_context_rules(spark):
+def test_context_rules(spark, way):
     df = spark.createDataFrame(
         [(i, t) for i, (t, _) in enumerate(SENTENCES)], "review_id int, text string"
     )
@@ -163,7 +170,7 @@ def test_context_rules(spark):
     assert [r["sentiment_score"] for r in rows] == [score for _, score in SENTENCES]
 
 
-def test_but_never_and_questions(spark):
+def test_but_never_and_questions(spark, way):
     said = ["good but horrible", "never so good", "without doubt good", "horrible??", "good???? ok"]
     df = spark.createDataFrame(list(enumerate(said)), "review_id int, text string")
     rows = sentiment.rule_score(df, STATED).orderBy("review_id").collect()
@@ -177,3 +184,19 @@ def test_but_never_and_questions(spark):
     ]
     want = [round(s / math.sqrt(s * s + 15), 4) for s in sums]
     assert [r["sentiment_score"] for r in rows] == want
+
+
+def test_both_ways_agree_on_whole_texts(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    odd = [(-1, "NOT\u00a0so very\u2003Good, İ ß good BUT\x1cbad"), (-2, " good"), (-3, None), (-3, "bad")]
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    words = [("good", 1.9), ("bad", -2.5), ("the", 0.5), ("data", 1.1), ("query", -0.7), ("", 3.0)]
+    raised = {"is": 0.3, "of": -0.2}
+
+    def both():
+        scored = sentiment.lexicon_score(docs, words).withColumnRenamed("sentiment_score", "plain")
+        return sorted(map(repr, sentiment.rule_score(scored, words, boosters=raised).collect()))
+
+    held = both()
+    monkeypatch.setattr(sentiment, "HELD_CHARACTERS", 0)
+    assert both() == held

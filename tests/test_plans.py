@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from echotide.operators import select as sel
-from echotide.operators.sentiment import lexicon_score
+from echotide.operators.sentiment import lexicon_score, rule_score
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -49,6 +49,14 @@ def test_text_queries_read_without_a_shuffle(spark, sf):
         assert "Exchange" not in text, name
 
 
+def test_texts_are_scored_where_they_stand(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for scored in (lexicon_score(docs, [("good", 1.9)]), rule_score(docs, [("good", 1.9)])):
+        text = plan(scored.filter("sentiment_score > 0"))
+        assert "Exchange" not in text
+        assert text.count("FileScan") == 1 and text.count("ArrowEvalPython") == 1
+
+
 def test_heavy_columns_are_computed_once(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     text = plan(sel.dedup_text(docs, "text", [F.col("doc_id")]))
