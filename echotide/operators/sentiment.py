@@ -110,8 +110,7 @@ def _adder(shared):
         held = shared.value
 
         def of(piece: str) -> int:
-            bare = piece.strip(PUNCTUATION)
-            return held.get(piece if len(bare) <= 2 else bare, 0)
+            return held.get(_bare(piece), 0)
 
         # What ``split`` takes for space is what ``SPACES`` names.
         sums = [sum(map(of, text.split())) if text else 0 for text in texts]
@@ -162,16 +161,18 @@ def _scored(
 
 
 def _finder(shared):
-    """Where the lower-cased words of a text are in the lexicon: place, valence, and of the three
-    words before, nearest first, whether the lexicon holds them and how much they boost."""
+    """Where the words of a text are in the lexicon: place, valence, and of the three words before,
+    nearest first, whether the lexicon holds them and how much they boost. ``but`` is the position
+    of the first "but", from 1, or 0."""
 
     @F.pandas_udf(
-        "array<struct<at: int, valence: bigint, known: array<boolean>, boost: array<bigint>>>"
+        """but int, hits array<struct<at: int, valence: bigint, known: array<boolean>,
+        boost: array<bigint>>>"""
     )
-    def find(texts: pd.Series) -> pd.Series:
+    def find(texts: pd.Series) -> pd.DataFrame:
         held, boost = shared.value
 
-        def hit(words, at: int) -> dict:
+        def hit(words: list[str], at: int) -> dict:
             before = [words[at - back] for back in (1, 2, 3) if at >= back]
             return {
                 "at": at,
@@ -180,18 +181,24 @@ def _finder(shared):
                 "boost": [boost.get(word) for word in before],
             }
 
-        return pd.Series(
-            [
-                [hit(words, at) for at, w in enumerate(words) if w in held and w not in boost]
-                if words is not None
-                else []
-                for words in texts
-            ]
-        )
+        buts, found = [], []
+        for text in texts:
+            # What ``split`` takes for space is what ``SPACES`` names.
+            words = [_bare(piece).lower() for piece in text.split()] if text else []
+            buts.append(words.index("but") + 1 if "but" in words else 0)
+            hits = (at for at, w in enumerate(words) if w in held and w not in boost)
+            found.append([hit(words, at) for at in hits])
+        return pd.DataFrame({"but": pd.Series(buts, dtype="int32"), "hits": found})
 
     return find
 
 
+def _bare(piece: str) -> str:
+    """``bare_word`` of one piece."""
+    bare = piece.strip(PUNCTUATION)
+    return piece if len(bare) <= 2 else bare
+
+
 def rule_score(
     df: DataFrame,
     lexicon: Lexicon | DataFrame,
@@ -214,14 +221,11 @@ def rule_score(
         return _scored(df, totals, text, _marked(F.col("_total"), text), alpha)
     raised = {r["word"]: r["valence"] for r in boost.collect()}
     find = _finder(df.sparkSession.sparkContext.broadcast((held, raised)))
-    found = computed(df.drop("sentiment_score"), _words=_words_of(text))
-    found = computed(found, _low=F.transform("_words", F.lower))
-    found = computed(
-        found,
-        _hits=find("_low"),
-        _mixed=_mixed_case(F.col("_words")),
-        _but=F.array_position("_low", "but"),
-    )
+    found = computed(df.drop("sentiment_score"), _found=find(text))
+    # The words themselves are looked at only where there is one of the lexicon.
+    some = F.size("_found.hits") > 0
+    found = computed(found, _words=F.when(some, _words_of(text)))
+    found = computed(found, _mixed=_mixed_case(F.col("_words")))
     words, mixed = F.col("_words"), F.col("_mixed")
 
     def first(hit: Column) -> Column:
@@ -248,20 +252,20 @@ def rule_score(
 
         return step
 
-    hits = F.transform("_hits", first)
+    hits = F.transform("_found.hits", first)
     for back in (1, 2, 3):
         hits = F.transform(hits, under(back))
     total = F.aggregate(
         hits,
         F.lit(0).cast("decimal(38,15)"),
-        lambda sum_, hit: (sum_ + _exact(hit["v"] * _side(hit["at"], F.col("_but")))).cast(
+        lambda sum_, hit: (sum_ + _exact(hit["v"] * _side(hit["at"], F.col("_found.but")))).cast(
             "decimal(38,15)"
         ),
     )
     summed = computed(found, _total=total.cast("double"))
     score = normalize_score(_marked(F.col("_total"), text), alpha)
     return computed(summed, sentiment_score=score).drop(
-        "_words", "_low", "_hits", "_mixed", "_but", "_total"
+        "_found", "_words", "_mixed", "_total"
     )
 
 
@@ -349,8 +353,7 @@ def _is_capitals(word: Column) -> Column:
 
 
 def _mixed_case(words: Column) -> Column:
-    capitals = F.size(F.filter(words, _is_capitals))
-    return (capitals > 0) & (capitals < F.size(words))
+    return F.exists(words, _is_capitals) & F.exists(words, lambda w: ~_is_capitals(w))
 
 
 def _capitals_of(word: Column, mixed: Column, value: Column) -> Column:
