@@ -70,3 +70,48 @@ def stream_dedup(spark, sf_dir):
     ids = first.select("event_type", "user_id")
     path = _run(spark, st.append_once, ids, "stream_dedup")
     return st.written(spark, path, ids.schema)
+
+
+def _landings(spark, sf_dir, n=3):
+    """The events as they would land: ``n`` spans of time, one after the other."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    seconds = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    edges = events.agg(F.min(seconds), F.max(seconds)).first()
+    first, last = (edges[0] or 0), (edges[1] or 0)
+    span = F.floor((seconds - first) * n / (last - first + 1))
+    return [events.filter(span == i) for i in range(n)]
+
+
+def _over_runs(spark, sf_dir, name, budget):
+    """A stream that is run, and stopped, once for each landing."""
+    place = f"{name}-{uuid.uuid4().hex}"
+    root = checkpoint_root(spark)
+    landed, path = f"{root}/{place}-in", f"{root}/{place}-out"
+    for rows in _landings(spark, sf_dir):
+        rows.write.mode("append").parquet(landed)
+        kept = budget(st.stream_reviews(spark, landed, _EVENTS, format="parquet"))
+        st.append_once(kept, place, path).awaitTermination()
+    return st.written(spark, path, kept.schema).select("event_id", "event_type")
+
+
+@query(
+    """select event_id, event_type from events where event_type in ('error', 'click')
+       qualify row_number() over (partition by event_type order by ts, event_id)
+               <= case event_type when 'error' then 300 else 900 end"""
+)
+def stream_budget_per_app(spark, sf_dir):
+    """Budgets of two event types that last over three runs."""
+    targets = {"error": 300, "click": 900}
+    return _over_runs(
+        spark, sf_dir, "stream_budget",
+        lambda df: st.stream_budget(df, ["event_type"], ["ts", "event_id"], targets),
+    )
+
+
+@query("select event_id, event_type from events order by ts, event_id limit 700")
+def stream_budget_global(spark, sf_dir):
+    """One budget over all rows that lasts over three runs."""
+    return _over_runs(
+        spark, sf_dir, "stream_budget_global",
+        lambda df: st.stream_budget(df, [], ["ts", "event_id"], 700),
+    )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import IntegralType, StructType
 
 from ..functions.numbers import safe_divide
 from ..operators.measures import is_negative
@@ -49,6 +51,66 @@ def stream_dedup(
     return timed.dropDuplicatesWithinWatermark(list(keys))
 
 
+def stream_budget(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    n: int | Mapping,
+) -> DataFrame:
+    """The first ``n`` rows per group that ever arrive, over all triggers and restarts; without
+    ``keys``, the first ``n`` of all. Within a trigger ``order`` decides, which must be total.
+
+    A mapping gives each value of the first key its own ``n``; groups it does not name are dropped.
+    The state of a group is the number of rows it has had. Before rows meet by group, each partition
+    keeps no more than the first ``n`` of a group, so a group of any size reaches its task as at most
+    ``n`` rows of every partition, and a budget that is used up takes none.
+    """
+    by, names, given = list(keys), list(order), df.schema
+    # As decimals, whole numbers stay exact in pandas next to nulls.
+    whole = {f.name for f in given if isinstance(f.dataType, IntegralType)}
+    df = df.select(
+        *(F.col(c).cast("decimal(20,0)").alias(c) if c in whole else c for c in given.names)
+    )
+    kind = df.schema
+    most = n if isinstance(n, int) else max(n.values(), default=0)
+    if not isinstance(n, int):
+        df = df.filter(F.col(by[0]).isin([k for k, room in n.items() if room > 0]))
+
+    def first(rows: pd.DataFrame, room: int) -> pd.DataFrame:
+        rows = rows.sort_values(names, kind="stable", na_position="first")
+        if not by:
+            return rows.head(room)
+        return rows.groupby(by, sort=False, dropna=False).head(room)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = None
+        for batch in batches:
+            kept = first(batch if kept is None else pd.concat([kept, batch]), most)
+        if kept is not None:
+            yield kept
+
+    def take(
+        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
+        had = state.get[0] if state.exists else 0
+        room = (n if isinstance(n, int) else n[key[0]]) - had
+        kept = None
+        for batch in batches:
+            if room > 0:
+                kept = first(batch if kept is None else pd.concat([kept, batch]), room)
+        if kept is not None:
+            state.update((had + len(kept),))
+            yield kept[kind.names]
+
+    cut_down = df.mapInPandas(cut, kind)
+    if not by:
+        cut_down = cut_down.withColumn("_all", F.lit(0))
+    taken = cut_down.groupBy(*(by or ["_all"])).applyInPandasWithState(
+        take, kind, "had long", "append", GroupStateTimeout.NoTimeout
+    )
+    return taken.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in given))
+
+
 def stream_daily_negativity(
     df: DataFrame, ts: str = "ts", sentiment: str = "sentiment", by: Sequence[str] = ()
 ) -> DataFrame:

@@ -13,7 +13,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-STREAMS = {"stream_daily", "stream_dedup"}
+STREAMS = {"stream_daily", "stream_dedup", "stream_budget_per_app", "stream_budget_global"}
 CORPUS = {n for n in contract.queries() if n.startswith("op") or n == "pipeline"}
 
 

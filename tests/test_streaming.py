@@ -126,3 +126,45 @@ def test_no_input_gives_no_rows(spark, sf, tmp_path):
     st.append_once(stream, uuid.uuid4().hex, out).awaitTermination()
     assert st.written(spark, out, stream.schema).collect() == []
     assert st.written(spark, str(tmp_path / "never"), stream.schema).collect() == []
+
+
+def test_budget_lasts_over_triggers(spark, tmp_path):
+    """A hot group, one not named, ties in time and a budget that is used up early."""
+    landed, out, name = tmp_path / "landed", str(tmp_path / "out"), uuid.uuid4().hex
+    rows = []
+    for turn in range(3):
+        batch = [("hot", turn * 10 + i // 100, turn * 1000 + i) for i in range(1000)]
+        batch += [("rare", turn, 9000 + turn), ("other", turn, 9100 + turn), (None, turn, 9200 + turn)]
+        rows += batch
+        df = spark.createDataFrame(batch, "app string, at long, id long")
+        df.repartition(7).write.mode("append").parquet(str(landed))
+        stream = st.stream_reviews(
+            spark, str(landed), "app string, at long, id long", format="parquet"
+        )
+        kept = st.stream_budget(stream, ["app"], ["at", "id"], {"hot": 1500, "rare": 2})
+        st.append_once(kept, name, out).awaitTermination()
+    got = sorted(map(tuple, st.written(spark, out, kept.schema).collect()))
+    hot = sorted(r for r in rows if r[0] == "hot")[:1500]
+    assert got == sorted(hot + [("rare", 0, 9000), ("rare", 1, 9001)])
+
+
+def test_budget_without_keys_and_with_null_groups(spark, tmp_path):
+    landed = tmp_path / "landed"
+    far = 2**60  # beyond what a double holds
+    rows = [(None if i % 3 else "a", i % 5, far + i) for i in range(50)]
+    schema = "app string, at long, id long"
+    late = spark.createDataFrame([("b", 9, None)], schema)
+    spark.createDataFrame(rows, schema).union(late).repartition(3).write.parquet(str(landed))
+
+    def run(keys, n):
+        stream = st.stream_reviews(spark, str(landed), schema, format="parquet")
+        kept = st.stream_budget(stream, keys, ["at", "id"], n)
+        out = str(tmp_path / uuid.uuid4().hex)
+        st.append_once(kept, uuid.uuid4().hex, out).awaitTermination()
+        return {r["id"] for r in st.written(spark, out, kept.schema).collect()}
+
+    ranked = sorted(rows, key=lambda r: r[1:])
+    assert run([], 7) == {r[2] for r in ranked[:7]}
+    assert run(["app"], 4) == {None} | {
+        r[2] for app in ("a", None) for r in [x for x in ranked if x[0] == app][:4]
+    }
