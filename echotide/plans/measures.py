@@ -6,7 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators import collation
 from ..operators import measures as ms
+from ..operators.context import Model
 from ..operators.select import top_n
 from ..operators.star import with_dim
 from ..session import checkpoint_root
@@ -252,3 +254,67 @@ def coverage_observed(spark, sf_dir):
     place = f"{checkpoint_root(spark)}/collected-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     return ms.observed_coverage(docs, _TARGETS, "source", lambda rows: rows.write.parquet(place))
+
+
+# Ids and categories that differ in case only: every review has two facts, each in its own spelling.
+_SQL_SPELLED = """reviews as (
+  select 'Doc-' || doc_id review_id, case when doc_id % 5 < 2 then 'negative' else 'Positive' end
+         sentiment from documents),
+spelled as (
+  select case k when 0 then 'doc-' else 'DOC-' end || doc_id review_id,
+         case when (doc_id + k) % 2 = 0 then name else upper(name) end l1_category
+  from (select doc_id, case doc_id % 3 when 0 then 'Login' when 1 then 'Price' else 'Speed' end name
+        from documents), (values (0), (1)) t(k))"""
+
+
+def _spelled(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    name = F.get(F.array(*map(F.lit, ("Login", "Price", "Speed"))), (F.col("doc_id") % 3).cast("int"))
+    sentiment = F.when(F.col("doc_id") % 5 < 2, "negative").otherwise("Positive")
+    dim = docs.select(
+        F.concat(F.lit("Doc-"), "doc_id").alias("review_id"), sentiment.alias("sentiment")
+    )
+    copies = docs.select("doc_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
+    own = F.when(F.col("k") == 0, "doc-").otherwise("DOC-")
+    fact = copies.select(
+        F.concat(own, "doc_id").alias("review_id"),
+        F.when((F.col("doc_id") + F.col("k")) % 2 == 0, name)
+        .otherwise(F.upper(name))
+        .alias("l1_category"),
+    )
+    return {"dim_reviews_core": dim, "fact_l1_tags": fact}
+
+
+@query(
+    f"""with {_SQL_SPELLED}
+        select upper(l1_category) l1_category, count(distinct lower(s.review_id)) total
+        from spelled s join reviews r on lower(s.review_id) = lower(r.review_id)
+        where lower(sentiment) = 'negative' group by 1"""
+)
+def model_ignoring_case(spark, sf_dir):
+    """Distinct negative reviews per category where ids and categories are equal in any case."""
+    tables = collation.model_ignoring_case(
+        _spelled(spark, sf_dir), "review_id", "l1_category", "sentiment"
+    )
+    fact = collation.first_spelling(tables["fact_l1_tags"], "l1_category")
+    model = Model({**tables, "fact_l1_tags": fact})
+    negative = model.keep("dim_reviews_core", "sentiment", ["Negative"])
+    counted = negative.distinct_reviews("fact_l1_tags", ["l1_category"], any=F.lit(True))
+    return collation.exact_case(counted.select("l1_category", "total"))
+
+
+@query(
+    f"""with {_SQL_SPELLED}
+        select l1_category, count(distinct s.review_id) total,
+               count(distinct r.review_id) known
+        from spelled s left join reviews r on s.review_id = r.review_id group by 1"""
+)
+def model_exact_case(spark, sf_dir):
+    """The same tables compared letter by letter: each spelling counts, and none has a review."""
+    tables = {name: collation.exact_case(df) for name, df in _spelled(spark, sf_dir).items()}
+    model = Model(tables)
+    rows = model.related("fact_l1_tags", ["sentiment"])
+    known = F.count_distinct(F.when(F.col("sentiment").isNotNull(), F.col("review_id")))
+    return rows.groupBy("l1_category").agg(
+        F.count_distinct("review_id").alias("total"), known.alias("known")
+    )

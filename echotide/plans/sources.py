@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..session import checkpoint_root
-from ..sources import feeds, files, pages
+from ..sources import feeds, files, pages, variants
 from .fixtures import sql_collapse, sql_trim
 from .registry import ORACLES, day, query, table
 
@@ -731,3 +731,55 @@ def news_thread_first(spark, sf_dir):
         F.concat(F.lit("https://n/"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("url"),
     )
     return files.thread_first(threads, page).select("review_id", "text", "url")
+
+
+# Payloads whose fields change over time: a rating as a number, a text, an object or nonsense, an id
+# as a number, a key that no schema knows, and lines that are cut off.
+_CHANGED = "reviewId STRING, score INT, user STRUCT<name: STRING>, tags ARRAY<STRUCT<label: STRING>>"
+
+
+@query(
+    """select case when broken then null else cast(doc_id as varchar) end review_id,
+              case when broken or kind >= 2 then null else (doc_id % 6)::int end score,
+              case when broken or kind = 3 then null else text end username,
+              case when broken or kind = 2 then null else 't' || doc_id end tag,
+              case when broken then null when kind = 1 then 'thumbsUp' else '' end undeclared,
+              case when not broken and kind = 1 then doc_id % 7 end thumbs, broken
+       from (select doc_id, text, (doc_id % 4)::int kind, doc_id % 10 = 9 broken from documents)"""
+)
+def changed_payloads(spark, sf_dir):
+    read = variants.open_payloads(_changed_lines(spark, sf_dir), "line", _CHANGED)
+    payload = F.col(variants.PAYLOAD)
+    return read.select(
+        F.col("reviewId").alias("review_id"),
+        "score",
+        F.col("user.name").alias("username"),
+        F.get("tags", F.lit(0))["label"].alias("tag"),
+        F.array_join(variants.undeclared(payload, _CHANGED, spark), ",").alias("undeclared"),
+        F.try_variant_get(payload, "$.thumbsUp", "bigint").alias("thumbs"),
+        F.col(files.CORRUPT).isNotNull().alias("broken"),
+    )
+
+
+def _changed_lines(spark, sf_dir):
+    """The payloads as JSON texts."""
+    id, kind, rating = F.col("doc_id"), _which(4), _which(6)
+    label = F.array(F.struct(F.concat(F.lit("t"), "doc_id").alias("label")))
+    user = F.struct(F.col("text").alias("name"))
+
+    def line(*fields):
+        return F.to_json(F.struct(*fields))
+
+    text = rating.cast("string").alias("score")
+    whole = (
+        F.when(kind == 0, line(id.alias("reviewId"), rating.alias("score"), user.alias("user"),
+                               label.alias("tags")))
+        .when(kind == 1, line(id.cast("string").alias("reviewId"), text, user.alias("user"),
+                              label.alias("tags"), _which(7).alias("thumbsUp")))
+        .when(kind == 2, line(id.alias("reviewId"), F.struct(rating.alias("stars")).alias("score"),
+                              user.alias("user"), F.lit("none").alias("tags")))
+        .otherwise(line(id.alias("reviewId"), F.lit("good").alias("score"),
+                        F.col("text").alias("user"), label.alias("tags")))
+    )
+    cut = F.when(_which(10) == 9, F.substring(whole, 1, 12)).otherwise(whole)
+    return table(spark, sf_dir, "documents").select(cut.alias("line"))
