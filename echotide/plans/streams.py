@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
+from ..streaming import cursor
 from ..streaming import reviews as st
 from .registry import day, query, table
 
@@ -115,3 +117,46 @@ def stream_budget_global(spark, sf_dir):
         spark, sf_dir, "stream_budget_global",
         lambda df: st.stream_budget(df, [], ["ts", "event_id"], 700),
     )
+
+
+def _pages(spark, sf_dir, size=5000):
+    """Events as pages of a feed per event type, each naming the next; ``late`` pages land last."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type").filter(
+        "event_type is not null and event_id is not null"
+    )
+    placed = events.select(
+        F.col("event_type").alias("feed"),
+        F.floor(F.col("event_id") / size).alias("page"),
+        F.to_json(F.struct("event_id")).alias("payload"),
+    )
+    # One row a page.
+    w = Window.partitionBy("feed").orderBy("page")
+    chain = placed.select("feed", "page").distinct().select(
+        "feed",
+        "page",
+        F.when(F.row_number().over(w) == 1, cursor.FIRST)
+        .otherwise(F.concat(F.lit("p/"), "page"))
+        .alias("cursor"),
+        F.concat(F.lit("p/"), F.coalesce(F.lead("page").over(w), F.lit(-1))).alias("next"),
+        (F.row_number().over(w) > 1).alias("late"),
+    )
+    return placed.join(chain, ["feed", "page"])
+
+
+@query(
+    """select event_type feed, event_id from events
+       where event_type is not null and event_id is not null"""
+)
+def stream_cursor_feed(spark, sf_dir):
+    """Pages of a feed that land in two goes, each read once over two runs."""
+    place = f"stream_cursor_feed-{uuid.uuid4().hex}"
+    root = checkpoint_root(spark)
+    landed, path = f"{root}/{place}-in", f"{root}/{place}-out"
+    pages = _pages(spark, sf_dir)
+    for late in (False, True):
+        cursor.land_pages(pages.filter(F.col("late") == late), landed)
+        entries = cursor.stream_feed(spark, landed).select(
+            "feed", F.get_json_object("payload", "$.event_id").cast("bigint").alias("event_id")
+        )
+        st.append_once(entries, place, path).awaitTermination()
+    return st.written(spark, path, entries.schema)

@@ -13,7 +13,8 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-STREAMS = {"stream_daily", "stream_dedup", "stream_budget_per_app", "stream_budget_global"}
+STREAMS = {"stream_daily", "stream_dedup", "stream_budget_per_app", "stream_budget_global",
+           "stream_cursor_feed"}
 CORPUS = {n for n in contract.queries() if n.startswith("op") or n == "pipeline"}
 
 
