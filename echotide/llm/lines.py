@@ -31,6 +31,7 @@ LEAST_OFTEN = 100
 LETTERS = "etaoinsrhldcumfpgwybvk"
 NEWLINE = "\n"
 LINE = ["h1", "h2"]
+PARITIES = ["chars", "low", "high"]
 
 
 def segment_bounds(length: Column, edits: int, i: int) -> tuple[Column, Column]:
@@ -222,14 +223,33 @@ def _identity(line: str) -> list[Column]:
 
 
 def parities(line: Column) -> Column:
-    """64 bits, each for the characters of some code points: whether their number in the line is
-    odd. An edit changes two bits at most."""
+    """``chars, low, high``: bits for the characters of some code points, and for some pairs of
+    neighbouring characters, each whether their number in the line is odd. An edit changes two bits
+    of ``chars`` at most, and four of ``low`` and ``high``."""
 
-    def step(bits: Column, letter: Column) -> Column:
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(letter) % 64)
-        return bits.bitwiseXOR(bit)
+    def bit(place: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), place % 64)
 
-    return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), step)
+    def step(bits: Column, at: Column) -> Column:
+        none = F.lit(0).cast("long")
+        return F.struct(
+            bits["chars"].bitwiseXOR(bit(at["one"])).alias("chars"),
+            bits["low"].bitwiseXOR(F.when(at["two"] < 64, bit(at["two"])).otherwise(none)).alias("low"),
+            bits["high"].bitwiseXOR(F.when(at["two"] < 64, none).otherwise(bit(at["two"]))).alias("high"),
+        )
+
+    def places(codes: Column) -> Column:
+        # Any rule for the place of a pair gives the same result; the last character's is with none.
+        after = lambda i: F.coalesce(F.get(codes, i + 1), F.lit(0))
+        return F.transform(
+            codes,
+            lambda c, i: F.struct(c.alias("one"), ((c % 65536 * 37 + after(i)) % 128).alias("two")),
+        )
+
+    codes = F.transform(F.split(line, ""), F.ascii)
+    start = F.struct(*(F.lit(0).cast("long").alias(c) for c in ("chars", "low", "high")))
+    # The codes are computed once, each pair looks at two of them.
+    return F.aggregate(F.transform(F.array(codes), places)[0], start, step)
 
 
 def sharing(lines: DataFrame, firsts: DataFrame, edits: int) -> DataFrame:
@@ -278,18 +298,23 @@ def first_texts(docs: DataFrame, places: DataFrame) -> DataFrame:
 def met(shared: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     """Pairs of different lines (``a`` and ``b``, two hashes each, unverified) that share a key, and
     whose lengths (``n``) and parities (``odd``) in ``texts`` allow ``edits`` edits. Lines of one
-    template that differ by whole words rarely do, so few of those pairs become rows; the fewer
-    characters a script has, the more."""
-    known = shared.join(texts.select("id.*", "n", "odd"), LINE)
+    template that differ by words, or by letters at several places, rarely do, so few of those pairs
+    become rows; the fewer characters a script has, the more."""
+    known = shared.join(texts.select("id.*", "n", "odd.*"), LINE)
     own, other = (
-        known.select("key", "own", *(F.col(c).alias(f"{side}_{c}") for c in ("n", "odd")),
+        known.select("key", "own", *(F.col(c).alias(f"{side}_{c}") for c in ("n", *PARITIES)),
                      F.struct(*LINE).alias(side))
         for side in "ab"
     )
+
+    def differ(c: str) -> Column:
+        return F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}")))
+
     possible = (
         (F.col("a") != F.col("b"))
         & (F.abs(F.col("a_n") - F.col("b_n")) <= edits)
-        & (F.bit_count(F.col("a_odd").bitwiseXOR(F.col("b_odd"))) <= 2 * edits)
+        & (differ("chars") <= 2 * edits)
+        & (differ("low") + differ("high") <= 4 * edits)
     )
     own, other = own.filter("own").drop("own"), other.drop("own").withColumnRenamed("key", "probe")
     return (

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -243,6 +244,35 @@ def test_template_lines_meet_without_pairs(spark):
     assert lines.near_links(docs, firsts, 2).count() == 1
 
 
+def test_lines_with_letters_at_several_places_meet_without_pairs(spark):
+    """Copies of a long line, each with letters added at places of its own, have equal lengths and
+    often like parities of characters; their neighbouring characters tell them apart."""
+    rng = random.Random(16)
+    words = prose(rng, 60).split(" ")
+    family = []
+    for _ in range(120):
+        at = rng.randrange(len(words))
+        added = "".join(rng.choices("abcdefghijklmnop", k=4))
+        family.append(" ".join([*words[:at], words[at] + added, *words[at + 1 :]]))
+    near = [family[0] + "z", family[1][:-1], "z" + family[2][:40] + family[2][41:]]
+    docs = spark.createDataFrame(list(enumerate([*family, *near])), "row long, text string")
+    docs = docs.withColumn("doc_id", F.col("row"))
+    found = lines.numbered_lines(docs).select("row", "place", *lines._identity("line"))
+    firsts = found.withColumn("n_lines", F.lit(1).cast("long"))
+    shared = lines.sharing(lines.numbered_lines(docs), firsts, 2)
+    texts = lines.first_texts(docs, found)
+    texts = texts.withColumn("n", F.char_length("line"))
+    texts = texts.withColumn("odd", lines.parities(F.col("line")))
+    pairs = lines.met(shared, texts, 2)
+    assert pairs.count() <= 4 * len(family)
+    every = [*family, *near]
+    unlike = lambda a, b: ((Counter(a) - Counter(b)) + (Counter(b) - Counter(a))).total()
+    few = [(a, b) for i, a in enumerate(every) for b in every[:i] if a != b and unlike(a, b) <= 4]
+    few = [(a, b) for a, b in few if unlike([*zip(a, a[1:])], [*zip(b, b[1:])]) <= 8]
+    want = sum(distance(a, b) <= 2 for a, b in few)
+    assert want >= len(near) and lines.near_links(docs, firsts, 2).count() == want
+
+
 def test_line_dedup_has_no_python(spark):
     docs = spark.createDataFrame(line_rows(), SCHEMA)
     plan = lines.dedup_lines(docs)._jdf.queryExecution().toString()
