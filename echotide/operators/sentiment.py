@@ -13,12 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import SPACES, any_of
 from ..schemas import computed
+from .phrases import joined, slices
 
 # Fixed values of the published model.
 ALPHA = 15
@@ -105,16 +106,16 @@ def _held(known: DataFrame) -> dict[str, int] | None:
 def _adder(shared):
     """The sum of the valences of a lower-cased text, in units; 0 for a null."""
 
-    @F.pandas_udf("bigint")
-    def total(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("bigint")
+    def total(texts: pa.Array) -> pa.Array:
         held = shared.value
 
         def of(piece: str) -> int:
             return held.get(_bare(piece), 0)
 
         # What ``split`` takes for space is what ``SPACES`` names.
-        sums = [sum(map(of, text.split())) if text else 0 for text in texts]
-        return pd.Series(sums, dtype="int64")
+        sums = (sum(map(of, t.split())) if t else 0 for part in slices(texts) for t in part)
+        return pa.array(sums, pa.int64())
 
     return total
 
@@ -165,11 +166,15 @@ def _finder(shared):
     nearest first, whether the lexicon holds them and how much they boost. ``but`` is the position
     of the first "but", from 1, or 0."""
 
-    @F.pandas_udf(
+    around = [("known", pa.list_(pa.bool_())), ("boost", pa.list_(pa.int64()))]
+    one = pa.struct([("at", pa.int32()), ("valence", pa.int64()), *around])
+    kind = pa.struct([("but", pa.int32()), ("hits", pa.list_(one))])
+
+    @F.arrow_udf(
         """but int, hits array<struct<at: int, valence: bigint, known: array<boolean>,
         boost: array<bigint>>>"""
     )
-    def find(texts: pd.Series) -> pd.DataFrame:
+    def find(texts: pa.Array) -> pa.Array:
         held, boost = shared.value
 
         def hit(words: list[str], at: int) -> dict:
@@ -181,14 +186,16 @@ def _finder(shared):
                 "boost": [boost.get(word) for word in before],
             }
 
-        buts, found = [], []
-        for text in texts:
+        def of(text: str | None) -> dict:
             # What ``split`` takes for space is what ``SPACES`` names.
             words = [_bare(piece).lower() for piece in text.split()] if text else []
-            buts.append(words.index("but") + 1 if "but" in words else 0)
             hits = (at for at, w in enumerate(words) if w in held and w not in boost)
-            found.append([hit(words, at) for at in hits])
-        return pd.DataFrame({"but": pd.Series(buts, dtype="int32"), "hits": found})
+            return {
+                "but": words.index("but") + 1 if "but" in words else 0,
+                "hits": [hit(words, at) for at in hits],
+            }
+
+        return joined([pa.array([of(t) for t in part], kind) for part in slices(texts)], kind)
 
     return find
 

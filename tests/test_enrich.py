@@ -2,6 +2,7 @@
 
 import math
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,6 +139,23 @@ def test_many_words_are_found(spark):
         assert r["sentiment_score"] == round(v / math.sqrt(v * v + 15), 4)
 
 
+def test_texts_of_a_batch_become_strings_slice_by_slice(spark, monkeypatch):
+    """However large a batch, few of its texts are Python strings at once, with the same results."""
+    texts = ["good day " * 50, None, "", "bad é " * 70, "good"] * 40
+    monkeypatch.setattr(phrases, "SLICE_BYTES", 500)
+    parts = list(phrases.slices(pa.array(texts)))
+    assert [t for part in parts for t in part] == texts
+    assert all(sum(len((t or "").encode()) for t in part[:-1]) < 500 for part in parts)
+    assert list(phrases.slices(pa.array([], pa.string()))) == []
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    rules = [enrich.IssueRule("a", "b", "day"), enrich.IssueRule("a", "c", "é")]
+    found = sentiment.lexicon_score(enrich.tag_issues(df, rules), [("good", 1.0), ("bad", -1.0)])
+    for r in found.collect():
+        t = r["text"] or ""
+        assert [x["l2"] for x in r["tags"]] == ["b"] * ("day" in t) + ["c"] * ("é" in t)
+        assert (r["sentiment_score"] > 0) == ("good" in t) and (r["sentiment_score"] < 0) == ("bad" in t)
+
+
 def test_label_thresholds(values):
     scores = [0.05, 0.0499, 0.0, -0.0499, -0.05]
     assert values(sentiment.sentiment_label, scores, "double") == [
