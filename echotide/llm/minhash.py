@@ -8,8 +8,9 @@ Documents with equal sets collapse to one. Signatures are cut into bands; docume
 band are candidates. Instead of all pairs of a bucket, each member is first held against the
 bucket's centre, the member that meets most others over all bands. What that links is joined into
 components. Members that are still outside the largest component of their bucket are then compared
-with all its members, in blocks of bounded size, by their signatures: first their closest partners
-are confirmed, and in the end every partner whose signature leaves a link possible. Pairs are
+with all its members, in blocks of bounded size, by their signatures and by parities of their sets:
+first their closest partners are confirmed, and in the end every partner whose signature and parities
+leave a link possible. Pairs are
 therefore counted where they lie and only likely links leave a task, but none is left out.
 """
 
@@ -36,6 +37,9 @@ SEED = 5
 #: A pair at the threshold agrees in 288 of 384 coordinates on average; fewer than this many would
 #: be a deviation of five sigma, and is taken for no candidate.
 LEAST_AGREEING = 246
+#: Bits that tell whether the number of shingles of a set with that place is odd. Where those of two
+#: sets differ, so do the sets; any number of bits gives the same links.
+ODD_BITS = 2048
 CENTRE_TURNS = 2
 CLOSEST = 2
 BLOCK = 2_000
@@ -75,6 +79,12 @@ class Signer:
         return out
 
 
+def odd_places(values: np.ndarray) -> bytes:
+    """``ODD_BITS`` bits: whether an odd number of values has that place."""
+    places = (mix(values * np.uint64(3)) % np.uint64(ODD_BITS)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=ODD_BITS).astype(np.uint8) & 1).tobytes()
+
+
 def _encoded(batch: pa.RecordBatch) -> list[bytes]:
     return [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
 
@@ -85,8 +95,8 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, n_shingles, set_a, set_b, signature, bands`` of every row; the pair of sums
-    identifies the set. Bands hash whole coordinates, the signature keeps a byte of each."""
+    """``row, doc_id, n_shingles, set_a, set_b, signature, odd, bands`` of every row; the pair of
+    sums identifies the set. Bands hash whole coordinates, the signature keeps a byte of each."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer()
@@ -109,15 +119,16 @@ def signatures(docs: DataFrame) -> DataFrame:
                         ]
                     ),
                     pa.array([r.tobytes() for r in signed.astype(np.uint8)], pa.binary()),
+                    pa.array([odd_places(s ^ signer.salt) for s in sets], pa.binary()),
                     _lists(list(bands.view(np.int64)), pa.int64()),
                 ],
-                ["row", "doc_id", "n_shingles", "set_a", "set_b", "signature", "bands"],
+                ["row", "doc_id", "n_shingles", "set_a", "set_b", "signature", "odd", "bands"],
             )
 
     return docs.select("row", "doc_id", "text").mapInArrow(
         sign,
         "row long, doc_id long, n_shingles long, set_a long, set_b long, signature binary,"
-        " bands array<long>",
+        " odd binary, bands array<long>",
     )
 
 
@@ -194,17 +205,20 @@ def _arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     n = batch.num_rows
     signed = b"".join(batch.column("signature").to_pylist())
     out["signature"] = np.frombuffer(signed, np.uint8).reshape(n, COORDINATES)
+    odd = b"".join(batch.column("odd").to_pylist())
+    out["odd"] = np.frombuffer(odd, np.uint64).reshape(n, ODD_BITS // 64)
     out["bands"] = batch.column("bands").flatten().to_numpy().reshape(n, BANDS)
     return out
 
 
 def partners(rows: dict[str, np.ndarray], most: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Likely links of the members of a block that ``ask`` with the others, of other components,
-    for each the ``most`` closest ones or all. A pair that shares several bands counts in the first
+    for each the ``most`` closest ones or all. Of those whose signatures agree often enough, the ones
+    go that surely differ in too many shingles. A pair that shares several bands counts in the first
     of them."""
     asking, other = np.flatnonzero(rows["ask"]), np.flatnonzero(~rows["ask"])
     root, n, ids = (rows[c][other] for c in ("root", "n_shingles", "id"))
-    signed, bands = rows["signature"][other], rows["bands"][other]
+    signed, odd, bands = (rows[c][other] for c in ("signature", "odd", "bands"))
     a, b = [], []
     for x in asking.tolist():
         fit = np.flatnonzero((root != rows["root"][x]) & _sizes_fit(n, rows["n_shingles"][x]))
@@ -212,6 +226,12 @@ def partners(rows: dict[str, np.ndarray], most: int | None) -> tuple[np.ndarray,
             count = (signed[fit] == rows["signature"][x]).sum(axis=1)
             close = count >= LEAST_AGREEING
             fit, count = fit[close], count[close]
+        if len(fit):
+            # Sets differ in as many shingles at least as these bits do; a link leaves room for few.
+            differ = np.bitwise_count(odd[fit] ^ rows["odd"][x]).sum(axis=1, dtype=np.int64)
+            total = n[fit] + rows["n_shingles"][x]
+            near = differ * (100 + PERCENT) <= total * (100 - PERCENT)
+            fit, count = fit[near], count[near]
         if len(fit):
             first = (bands[fit] == rows["bands"][x]).argmax(axis=1) == rows["place"][x]
             fit, count = fit[first], count[first]
@@ -278,7 +298,7 @@ def outsiders(placed: DataFrame, signed: DataFrame, most: int | None) -> DataFra
     rows = (
         placed.join(buckets, "band")
         .select("band", "place", "id", "root", "inside", "i_blocks", "j_blocks")
-        .join(signed.select(F.col("row").alias("id"), "n_shingles", "signature", "bands"), "id")
+        .join(signed.select(F.col("row").alias("id"), "n_shingles", "signature", "odd", "bands"), "id")
     )
     rows = staged(rows, "outsiders")
 
@@ -288,7 +308,7 @@ def outsiders(placed: DataFrame, signed: DataFrame, most: int | None) -> DataFra
     def one(n):
         return F.pmod(F.xxhash64("id"), F.col(n))
 
-    columns = [*MEET, *KEPT, "signature", "bands"]
+    columns = [*MEET, *KEPT, "signature", "odd", "bands"]
     ask = rows.filter("root != inside").withColumns({"i": one("i_blocks"), "ask": F.lit(True)})
     ask = ask.withColumn("j", each("j_blocks")).select(columns)
     answer = rows.withColumns({"j": one("j_blocks"), "ask": F.lit(False)})

@@ -74,6 +74,27 @@ def test_near_duplicates_of_a_large_group(spark, monkeypatch, turns, block):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == want
 
 
+def test_partners_leave_out_sets_that_surely_differ():
+    """Members of a group that are just too unlike are told apart before their sets are compared."""
+    rng = np.random.default_rng(17)
+    base = rng.integers(0, 1 << 62, 400).astype(np.uint64)
+    changed = [80] * 60 + [24] * 6  # of 400 shingles
+    sets = [np.r_[base[rng.permutation(400)[k:]], rng.integers(0, 1 << 62, k).astype(np.uint64)] for k in changed]
+    signer, n = minhash.Signer(), 2 * len(sets)
+    odd = np.frombuffer(b"".join(map(minhash.odd_places, sets)), np.uint64).reshape(len(sets), -1)
+    one = {"n_shingles": np.full(len(sets), 400), "odd": odd, "id": np.arange(len(sets))}
+    one["signature"] = np.vstack([signer(s) for s in sets]).astype(np.uint8)
+    rows = {c: np.concatenate([x, x]) for c, x in one.items()}
+    rows |= {"root": rows["id"], "ask": np.arange(n) < len(sets), "place": np.zeros(n, np.int64)}
+    rows["bands"] = np.zeros((n, minhash.BANDS), np.int64)
+    found = set(zip(*(x.tolist() for x in minhash.partners(rows, None)), strict=True))
+    common = lambda a, b: len(np.intersect1d(sets[a], sets[b]))
+    every = {(a, b) for a in range(len(sets)) for b in range(len(sets)) if a != b}
+    links = {(a, b) for a, b in every if common(a, b) * 100 >= (800 - common(a, b)) * minhash.PERCENT}
+    assert len(links) >= 30 and links <= found
+    assert len(found) <= len(links) + len(every) // 20
+
+
 def test_near_duplicates_of_odd_ids(spark):
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (1, "A B c d e f"), (5, None)]
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
