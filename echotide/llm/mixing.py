@@ -176,10 +176,15 @@ def mix(
     own = sources.withColumnRenamed("source", "name")
     known = rows.join(own, rows["source"].eqNullSafe(own["name"])).drop("name")
     keyed = _identified(rows.filter("size > 0").select("row", "_part", *identity), identity)
-    keyed = staged(keyed.select("row", "key_a", "key_b", "copy"), "keys")
     content = ["key_a", "key_b", "copy"]
     shard = F.pmod(seeded(*content, seed=seed), F.col("shards"))
-    placed = known.join(keyed, "row").withColumn("shard", shard)
+    # Steps that several later ones use are staged, so that no plan holds the steps before it again.
+    placed = staged(
+        known.join(keyed.select("row", *content), "row").select(
+            "row", "rank", "size", shard.alias("shard"), *content
+        ),
+        "placed",
+    )
     shards = placed.groupBy("rank", "shard").agg(F.sum("size").alias("shard_size"))
 
     # Blocks by source, then by shard.
@@ -210,7 +215,7 @@ def mix(
         F.lit(0),
     )
     # Whole turns of the line, then blocks of it, never more than MOST_TIMES.
-    line = (
+    line = staged(
         dealt.withColumn("beyond", beyond)
         .withColumn("wanted", wanted)
         .filter("shard_size > 0")
@@ -221,7 +226,8 @@ def mix(
             F.floor(F.col("wanted") / F.col("shard_size")).alias("turns"),
             (F.col("wanted") % F.col("shard_size")).alias("rest"),
             F.ceil(F.col("shard_size") / block).alias("blocks"),
-        )
+        ),
+        "shards",
     )
     # Of the blocks of a line, those of least seeded hash until the rest is made up; the last one
     # is taken in part.
@@ -237,19 +243,19 @@ def mix(
         seeded("rank", "shard", "b", seed=seed), "b"
     )
     use = F.least("length", F.col("rest") - (F.col("sum") - F.col("length")))
-    chosen = (
+    chosen = staged(
         each.withColumn("length", length)
         .withColumn("sum", F.sum("length").over(drawn))
         .withColumn("use", use)
         .filter("use > 0")
-        .select("rank", "shard", "b", "use")
+        .select("rank", "shard", "b", "use"),
+        "blocks",
     )
     order = Window.partitionBy("rank", "shard").orderBy(
         seeded(*content, seed=seed + 1), *content
     )
     on_line = staged(
-        placed.select("row", "rank", "shard", "size", *content)
-        .withColumn("start", F.sum("size").over(order) - F.col("size"))
+        placed.withColumn("start", F.sum("size").over(order) - F.col("size"))
         .drop(*content),
         "lines",
     )
